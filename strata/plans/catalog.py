@@ -111,7 +111,7 @@ def late_accepted(spark, sf_dir):
 
 
 def late_rejected(spark, sf_dir):
-    return M.route(_dt(spark, sf_dir).order_events()).rejected
+    return M.route(_dt(spark, sf_dir).order_events()).rejected.select(*M.REJECTED_COLUMNS)
 
 
 def order_collapse(spark, sf_dir):

@@ -34,6 +34,7 @@ ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "unit_pric
                  "status", "order_ts", "source", "updated_at"]
 EVENT_COLUMNS = ["event_id", "order_id", "customer_id", "product_id", "quantity", "unit_price", "status",
                  "event_time", "produced_at", "_ingested_at", "lateness_hours"]
+REJECTED_COLUMNS = EVENT_COLUMNS + ["reject_reason", "rejected_at"]
 
 ORDERS_SCHEMA = flat_schema(
     "order_id string, customer_id bigint, product_id bigint, quantity int, unit_price double, "
@@ -156,7 +157,7 @@ def build_layers(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
     # one pass over the events, one partitioned write; each output is a partition read
     routed = routed.over(keep(routed.routed, "silver_routed_events", partition_by=[ROUTE]))
     accepted = routed.accepted.select(*EVENT_COLUMNS)
-    rejected = routed.rejected
+    rejected = routed.rejected.select(*REJECTED_COLUMNS)
     silver = {
         "customers": keep(silver_customers(bronze["customers_raw"]), "silver_customers"),
         "products": keep(silver_products(bronze["products_raw"]), "silver_products"),
