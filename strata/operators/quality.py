@@ -122,7 +122,7 @@ def check_counts(tables: Mapping[str, DataFrame], checks: Sequence[Check]) -> Da
 def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], stage: str,
                run_ts: Column | None = None) -> DataFrame:
     """Audit rows ``(run_ts, stage, check_name, severity, violations, passed)``."""
-    spark = next(iter(tables.values())).sparkSession
+    spark = tables[checks[0].table].sparkSession
     meta = spark.createDataFrame([(c.name, c.severity) for c in checks],
                                  "check_name string, severity string")
     counts = check_counts(tables, checks)

@@ -2,8 +2,8 @@
 
 A Type 2 dimension row is a version valid on ``[effective_from,
 effective_to)``; ``effective_to`` NULL means open, ``is_current`` flags the
-open version. The whole SCD2 step is one plan: closed ∪ untouched ∪ opened,
-computed from the same inputs, so no intermediate state must be pinned.
+open version. One SCD2 run is one plan, closed ∪ untouched ∪ opened, computed
+from the same inputs; only the change set, read twice, is worth pinning.
 """
 
 from __future__ import annotations
@@ -72,21 +72,29 @@ def scd2_open(changes: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str]
 
 def scd2_apply(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[str],
                attrs: Sequence[str], sk: str, changed_at: str = "updated_at",
-               null_safe: bool = False, max_buckets: int = 4096) -> DataFrame:
+               null_safe: bool = False, max_buckets: int = 4096, stage=None) -> DataFrame:
     """One SCD2 run: close changed current versions, open new ones.
 
     ``attrs`` are all carried attributes (tracked and untracked). A change
     with the same ``changed_at`` as the version it replaces yields a
     zero-length closed version ``[t, t)``, which covers no instant.
+
+    The change set is read by both steps; ``stage`` (a DataFrame →
+    DataFrame function such as a write to the shared folder) pins it once
+    so the comparison join is not recomputed.
     """
     changes = scd2_changes(dim, source, key, tracked, null_safe=null_safe)
+    if stage is not None:
+        changes = stage(changes)
     closed = scd2_close(dim, changes, key, changed_at)
     opened = scd2_open(changes, dim, key, attrs, sk, changed_at, max_buckets=max_buckets)
     return closed.unionByName(opened)
 
 
 def empty_dim(spark, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """A typed empty dimension (first run) the optimizer can fold away."""
+    return (spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+                 .filter(F.lit(False)))
 
 
 __all__ = ["empty_dim", "scd1", "scd2_apply", "scd2_changes", "scd2_close", "scd2_open"]

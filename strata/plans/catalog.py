@@ -129,78 +129,61 @@ def _dim_day1(spark, dt):
 
 
 def scd2_changes_q(spark, sf_dir):
-    dt = _dt(spark, sf_dir)
-    return scd2_changes(_dim_day1(spark, dt), M.silver_customers(dt.customers_bronze()),
-                        "customer_id", M.SCD2_TRACKED)
+    L = M.build_layers(spark, sf_dir)
+    return scd2_changes(L.dim_customer_day1(), L["silver.customers"], "customer_id", M.SCD2_TRACKED)
 
 
 def scd2_close_q(spark, sf_dir):
-    dt = _dt(spark, sf_dir)
-    dim = _dim_day1(spark, dt)
-    changes = scd2_changes(dim, M.silver_customers(dt.customers_bronze()), "customer_id", M.SCD2_TRACKED)
+    L = M.build_layers(spark, sf_dir)
+    dim = L.dim_customer_day1()
+    changes = scd2_changes(dim, L["silver.customers"], "customer_id", M.SCD2_TRACKED)
     return scd2_close(dim, changes, "customer_id")
 
 
 def scd2_apply_q(spark, sf_dir):
-    dt = _dt(spark, sf_dir)
-    return M.dim_customer(spark, [M.silver_customers(dt.customers_raw("day1")),
-                                  M.silver_customers(dt.customers_bronze())])
+    return M.build_layers(spark, sf_dir)["gold.dim_customer"]
 
 
 def surrogate_keys(spark, sf_dir):
-    dt = _dt(spark, sf_dir)
-    start = max_key(_dim_day1(spark, dt), "customer_sk")
-    cust = M.silver_customers(dt.customers_bronze()).select("customer_id")
+    L = M.build_layers(spark, sf_dir)
+    start = max_key(L.dim_customer_day1(), "customer_sk")
+    cust = L["silver.customers"].select("customer_id")
     return assign_surrogate_keys(cust, "customer_id", out="customer_sk", start=start)
 
 
-def _silver_orders(spark, dt):
-    return M.silver_orders(spark, M.batch_orders(dt.orders_raw()), M.route(dt.order_events()).accepted)
-
-
-def _dim_customer(spark, dt):
-    return M.dim_customer(spark, [M.silver_customers(dt.customers_raw("day1")),
-                                  M.silver_customers(dt.customers_bronze())])
-
-
-def _dim_product(spark, dt):
-    return M.dim_product(spark, [M.silver_products(dt.products_raw(1)),
-                                 M.silver_products(dt.products_bronze())])
-
-
 def asof_lookup_q(spark, sf_dir):
-    dt = _dt(spark, sf_dir)
-    orders = _silver_orders(spark, dt).select("order_id", "customer_id", "order_ts")
-    return asof_lookup(orders, _dim_customer(spark, dt), "customer_id", "order_ts", "customer_sk")
+    L = M.build_layers(spark, sf_dir)
+    orders = L["silver.orders"].select("order_id", "customer_id", "order_ts")
+    return asof_lookup(orders, L["gold.dim_customer"], "customer_id", "order_ts", "customer_sk")
 
 
 def unknown_member_q(spark, sf_dir):
-    dt = _dt(spark, sf_dir)
-    orders = _silver_orders(spark, dt).select("order_id", "product_id")
-    return unknown_member(orders, _dim_product(spark, dt), "product_id", "product_sk")
+    L = M.build_layers(spark, sf_dir)
+    orders = L["silver.orders"].select("order_id", "product_id")
+    return unknown_member(orders, L["gold.dim_product"], "product_id", "product_sk")
 
 
 def fact_orders(spark, sf_dir):
-    return M.build_layers(spark, sf_dir).gold["fact_orders"]
+    return M.build_layers(spark, sf_dir)["gold.fact_orders"]
 
 
 def dim_date(spark, sf_dir):
-    return dim_date_covering(_silver_orders(spark, _dt(spark, sf_dir)), "order_ts")
+    return dim_date_covering(M.build_layers(spark, sf_dir)["silver.orders"], "order_ts")
 
 
 def daily_sales(spark, sf_dir):
-    return M.build_layers(spark, sf_dir).gold["daily_sales"]
+    return M.build_layers(spark, sf_dir)["gold.daily_sales"]
 
 
 def _dq(kinds):
     def q(spark, sf_dir):
-        return M.run_stage_checks(M.build_layers(spark, sf_dir).all(), kinds=kinds)
+        return M.run_stage_checks(M.build_layers(spark, sf_dir), kinds=kinds)
     return q
 
 
 def _ex(kinds):
     def q(spark, sf_dir):
-        return M.run_suites(M.build_layers(spark, sf_dir).all(), kinds=kinds)
+        return M.run_suites(M.build_layers(spark, sf_dir), kinds=kinds)
     return q
 
 

@@ -7,8 +7,6 @@ them stage by stage with quality gates in between.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -19,7 +17,7 @@ from strata.operators import quality as dq
 from strata.operators.keyed import latest_by
 from strata.operators.late import ROUTE, Routed, route_events, stream_orders
 from strata.operators.merge import merge_guarded, merge_upsert
-from strata.operators.scd import scd1, scd2_apply
+from strata.operators.scd import empty_dim, scd1, scd2_apply
 from strata.operators.star import daily_sales, fact_orders
 from strata.sinks import store
 from strata.sources.calendar import dim_date_covering
@@ -95,7 +93,13 @@ def route(order_events: DataFrame) -> Routed:
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """A typed empty table the optimizer can see through (empty-relation propagation).
+
+    ``createDataFrame([])`` is an opaque RDD scan; a ``WHERE false`` over a
+    one-row projection folds to an empty local relation, so a first run's
+    MERGE into an empty target plans no join at all.
+    """
+    return empty_dim(spark, schema)
 
 
 def silver_orders(spark: SparkSession, batch: DataFrame, accepted: DataFrame,
@@ -109,11 +113,15 @@ def silver_orders(spark: SparkSession, batch: DataFrame, accepted: DataFrame,
 # -- gold builders --------------------------------------------------------------------------
 
 def dim_customer(spark: SparkSession, states: list[DataFrame],
-                 previous: DataFrame | None = None) -> DataFrame:
-    """Apply SCD2 runs in order, one per silver customer state."""
+                 previous: DataFrame | None = None, stage=None) -> DataFrame:
+    """Apply SCD2 runs in order, one per silver customer state.
+
+    ``stage`` (e.g. ``store.materialize``) pins each run's change set, which
+    the close and open steps both read.
+    """
     dim = previous if previous is not None else empty(spark, DIM_CUSTOMER_SCHEMA)
     for state in states:
-        dim = scd2_apply(dim, state, "customer_id", SCD2_TRACKED, CUSTOMER_ATTRS, "customer_sk")
+        dim = scd2_apply(dim, state, "customer_id", SCD2_TRACKED, CUSTOMER_ATTRS, "customer_sk", stage=stage)
     return dim
 
 
@@ -126,55 +134,126 @@ def dim_product(spark: SparkSession, states: list[DataFrame],
     return dim
 
 
-@dataclass
 class Layers:
-    bronze: dict[str, DataFrame]
-    silver: dict[str, DataFrame]
-    gold: dict[str, DataFrame]
-
-    def all(self) -> dict[str, DataFrame]:
-        out = {}
-        for layer, tables in (("bronze", self.bronze), ("silver", self.silver), ("gold", self.gold)):
-            out.update({f"{layer}.{k}": v for k, v in tables.items()})
-        return out
-
-
-def build_layers(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Layers:
-    """All 14 layer tables over the driver's data.
+    """The 14 layer tables over the driver's data, built on first use.
 
     Two customer snapshots (day1, day2) and two product dumps are loaded, so
     the dimensions go through an insert run and an update run. With
     ``materialize`` every silver and gold table (and each SCD2 run) is
-    written once to the shared checkpoint folder and read back, as the
-    layered tables of a real run would be: later stages start from files
-    (short lineage, column pruning) instead of re-planning the whole chain.
+    written once to the shared checkpoint folder and read back, as the layer
+    tables of a real run are: later stages start from files (short lineage,
+    column pruning, nothing recomputed after a lost executor) instead of
+    re-planning the whole chain. Tables are built lazily, so a query that
+    reads one table builds only that table and what it depends on.
     """
-    keep = store.materialize if materialize else (lambda df, name, partition_by=None: df)
-    dt = DriverTables(spark, sf_dir)
-    bronze = {"customers_raw": dt.customers_bronze(), "products_raw": dt.products_bronze(),
-              "orders_raw": dt.orders_raw(), "order_events": dt.order_events()}
-    routed = route(bronze["order_events"])
-    # one pass over the events, one partitioned write; each output is a partition read
-    routed = routed.over(keep(routed.routed, "silver_routed_events", partition_by=[ROUTE]))
-    accepted = routed.accepted.select(*EVENT_COLUMNS)
-    rejected = routed.rejected.select(*REJECTED_COLUMNS)
-    silver = {
-        "customers": keep(silver_customers(bronze["customers_raw"]), "silver_customers"),
-        "products": keep(silver_products(bronze["products_raw"]), "silver_products"),
-        "order_events": accepted,
-        "order_events_rejected": rejected,
+
+    NAMES = {
+        "bronze": ["customers_raw", "products_raw", "orders_raw", "order_events"],
+        "silver": ["customers", "products", "orders", "order_events", "order_events_rejected"],
+        "gold": ["dim_customer", "dim_product", "dim_date", "fact_orders", "daily_sales"],
     }
-    silver["orders"] = keep(silver_orders(spark, batch_orders(bronze["orders_raw"]), accepted), "silver_orders")
-    dc = empty(spark, DIM_CUSTOMER_SCHEMA)
-    for i, state in enumerate([silver_customers(dt.customers_raw("day1")), silver["customers"]]):
-        dc = keep(dim_customer(spark, [state], previous=dc), f"gold_dim_customer_run{i + 1}")
-    dp = keep(dim_product(spark, [silver_products(dt.products_raw(1)), silver["products"]]), "gold_dim_product")
-    fact = keep(fact_orders(silver["orders"], dc, dp), "gold_fact_orders")
-    gold = {"dim_customer": dc, "dim_product": dp,
-            "dim_date": keep(dim_date_covering(silver["orders"], "order_ts"), "gold_dim_date"),
-            "fact_orders": fact,
-            "daily_sales": keep(daily_sales(fact, dp), "gold_daily_sales")}
-    return Layers(bronze, silver, gold)
+
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+        self.spark = spark
+        self.dt = DriverTables(spark, sf_dir)
+        self.materialize = materialize
+        self._cache: dict[str, DataFrame] = {}
+        self._routed: Routed | None = None
+
+    def _keep(self, df: DataFrame, name: str, partition_by=None) -> DataFrame:
+        return store.materialize(df, name, partition_by) if self.materialize else df
+
+    def _stage(self, name: str):
+        return (lambda df: self._keep(df, name)) if self.materialize else None
+
+    def dim_customer_day1(self) -> DataFrame:
+        """The customer dimension after the first (day1) SCD2 run."""
+        self["gold.dim_customer"]
+        return self._cache["gold.dim_customer.run1"]
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            layer, _, table = name.partition(".")
+            if table not in self.NAMES.get(layer, []):
+                raise KeyError(name)
+            self._cache[name] = getattr(self, f"_{layer}_{table}")()
+        return self._cache[name]
+
+    def __contains__(self, name: str) -> bool:
+        layer, _, table = name.partition(".")
+        return table in self.NAMES.get(layer, [])
+
+    def names(self) -> list[str]:
+        return [f"{layer}.{t}" for layer, ts_ in self.NAMES.items() for t in ts_]
+
+    def all(self) -> dict[str, DataFrame]:
+        return {n: self[n] for n in self.names()}
+
+    # bronze: lazy views over the driver tables
+    def _bronze_customers_raw(self):
+        return self.dt.customers_bronze()
+
+    def _bronze_products_raw(self):
+        return self.dt.products_bronze()
+
+    def _bronze_orders_raw(self):
+        return self.dt.orders_raw()
+
+    def _bronze_order_events(self):
+        return self.dt.order_events()
+
+    # silver
+    def routed(self) -> Routed:
+        """One pass over the events and one write partitioned by route."""
+        if self._routed is None:
+            r = route(self["bronze.order_events"])
+            self._routed = r.over(self._keep(r.routed, "silver_routed_events", partition_by=[ROUTE]))
+        return self._routed
+
+    def _silver_customers(self):
+        return self._keep(silver_customers(self["bronze.customers_raw"]), "silver_customers")
+
+    def _silver_products(self):
+        return self._keep(silver_products(self["bronze.products_raw"]), "silver_products")
+
+    def _silver_order_events(self):
+        return self.routed().accepted.select(*EVENT_COLUMNS)
+
+    def _silver_order_events_rejected(self):
+        return self.routed().rejected.select(*REJECTED_COLUMNS)
+
+    def _silver_orders(self):
+        batch = batch_orders(self["bronze.orders_raw"])
+        return self._keep(silver_orders(self.spark, batch, self["silver.order_events"]), "silver_orders")
+
+    # gold
+    def _gold_dim_customer(self):
+        dc = empty(self.spark, DIM_CUSTOMER_SCHEMA)
+        states = [silver_customers(self.dt.customers_raw("day1")), self["silver.customers"]]
+        for i, state in enumerate(states):
+            if i == 1:
+                self._cache["gold.dim_customer.run1"] = dc
+            dc = self._keep(dim_customer(self.spark, [state], previous=dc, stage=self._stage(f"scd2_changes_run{i + 1}")),
+                            f"gold_dim_customer_run{i + 1}")
+        return dc
+
+    def _gold_dim_product(self):
+        states = [silver_products(self.dt.products_raw(1)), self["silver.products"]]
+        return self._keep(dim_product(self.spark, states), "gold_dim_product")
+
+    def _gold_dim_date(self):
+        return self._keep(dim_date_covering(self["silver.orders"], "order_ts"), "gold_dim_date")
+
+    def _gold_fact_orders(self):
+        f = fact_orders(self["silver.orders"], self["gold.dim_customer"], self["gold.dim_product"])
+        return self._keep(f, "gold_fact_orders")
+
+    def _gold_daily_sales(self):
+        return self._keep(daily_sales(self["gold.fact_orders"], self["gold.dim_product"]), "gold_daily_sales")
+
+
+def build_layers(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Layers:
+    return Layers(spark, sf_dir, materialize)
 
 
 # -- quality definitions --------------------------------------------------------------------
@@ -248,7 +327,7 @@ def suites() -> dict[str, list[ex.Expectation]]:
     }
 
 
-def run_stage_checks(tables: dict[str, DataFrame], stages=("bronze", "silver", "gold"),
+def run_stage_checks(tables, stages=("bronze", "silver", "gold"),
                      kinds: set[str] | None = None) -> DataFrame:
     """Audit rows for the chosen stages (and check kinds), one DataFrame."""
     out = None
@@ -261,7 +340,7 @@ def run_stage_checks(tables: dict[str, DataFrame], stages=("bronze", "silver", "
     return out
 
 
-def run_suites(tables: dict[str, DataFrame], kinds: set[str] | None = None) -> DataFrame:
+def run_suites(tables, kinds: set[str] | None = None) -> DataFrame:
     out = None
     for table, exps in suites().items():
         es = [e for e in exps if kinds is None or e.kind in kinds]

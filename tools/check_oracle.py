@@ -22,15 +22,20 @@ from strata.session import get_spark  # noqa: E402
 from strata.sources.driver_tables import TABLES  # noqa: E402
 
 
+EXACT = "--exact" in sys.argv
+if EXACT:
+    sys.argv.remove("--exact")
+
+
 def norm(v):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return "nan"
-        return float(f"{v:.10g}")
+        return v if EXACT else float(f"{v:.10g}")
     if hasattr(v, "is_nan"):  # Decimal
-        return float(f"{float(v):.10g}")
+        return str(v) if EXACT else float(f"{float(v):.10g}")
     if hasattr(v, "item"):
         return norm(v.item())
     if hasattr(v, "to_pydatetime"):
