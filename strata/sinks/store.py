@@ -26,10 +26,7 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    w = df.write.mode("error")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    _writer(df, "error", partition_by).parquet(path)
     return spark.read.parquet(path)
 
 
@@ -53,14 +50,20 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
     return sorted(out)
 
 
+def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
+    if partition_by:
+        # AQE rebalance: one shuffle on the partition columns that splits big
+        # partitions and merges small ones, so each day gets a few right-sized
+        # files instead of one small file per task.
+        return df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
+    return df.write.mode(mode)
+
+
 def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
     """Create-or-replace: write a new committed version folder; return its path."""
     vs = _versions(df.sparkSession, base)
     path = f"{base.rstrip('/')}/{_VERSION}{(vs[-1] + 1) if vs else 0}"
-    w = df.write.mode("error")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    _writer(df, "error", partition_by).parquet(path)
     return path
 
 
@@ -76,7 +79,4 @@ def read_latest(spark: SparkSession, base: str, schema: StructType | None = None
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Append rows by name (the file set is the table)."""
-    w = df.write.mode("append")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    _writer(df, "append", partition_by).parquet(path)
