@@ -48,9 +48,12 @@ def unknown_member(fact: DataFrame, dim: DataFrame, key: str, sk: str,
     """Left join to a dimension unique on ``key``; no match → ``sk = default``."""
     fk = fact_key or key
     d = dim.select(F.col(key).alias("__u_key"), F.col(sk).alias("__u_sk"))
-    j = fact.join(d, fact[fk] == F.col("__u_key"), "left")
-    return (j.withColumn(sk, F.coalesce(F.col("__u_sk"), F.lit(default).cast(dim.schema[sk].dataType)))
-             .drop("__u_key", "__u_sk"))
+    # NULL keys cannot match: they skip the join instead of piling into one task
+    keyed = fact.filter(F.col(fk).isNotNull()).join(d, F.col(fk) == F.col("__u_key"), "left")
+    unkeyed = fact.filter(F.col(fk).isNull())
+    default_sk = F.lit(default).cast(dim.schema[sk].dataType)
+    keyed = keyed.withColumn(sk, F.coalesce(F.col("__u_sk"), default_sk)).drop("__u_key", "__u_sk")
+    return keyed.unionByName(unkeyed.withColumn(sk, default_sk))
 
 
 FACT_COLUMNS = ["order_id", "date_key", "customer_sk", "product_sk", "quantity", "unit_price",

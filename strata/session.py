@@ -9,6 +9,26 @@ import uuid
 from pyspark.sql import SparkSession
 
 
+# Join-strategy policy. Static broadcast decisions use size *estimates*
+# (compressed file sizes), which can be far below the in-memory size of a
+# large table, so they are switched off. AQE still turns a join into a
+# broadcast join when the *measured* shuffle output of one side is small.
+# Sides whose size is bounded by construction (one-row scalars, bucket
+# offset tables, fixed reference tables) are broadcast explicitly.
+JOIN_POLICY = {
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
+}
+
+
+def apply_policy(spark: SparkSession) -> SparkSession:
+    """Session settings every strata job relies on (UTC clock, join policy)."""
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for k, v in JOIN_POLICY.items():
+        spark.conf.set(k, v)
+    return spark
+
+
 def get_spark(app_name: str = "strata", master: str | None = None,
               shuffle_partitions: int | None = None) -> SparkSession:
     """Session with UTC time, AQE (coalescing + skew-join splitting) and no UI.
@@ -28,9 +48,7 @@ def get_spark(app_name: str = "strata", master: str | None = None,
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
     if shuffle_partitions:
         b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    spark = b.getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+    return apply_policy(b.getOrCreate())
 
 
 def checkpoint_root(spark: SparkSession) -> str:

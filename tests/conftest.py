@@ -18,6 +18,8 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    from strata.session import apply_policy
+    apply_policy(s)
     if not s.conf.get("spark.checkpoint.dir", None):
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-test-ckpt-"))
     yield s
