@@ -16,6 +16,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from strata.operators.late import ROUTE, route_events
+from strata.operators.merge import NotMatched
+from strata.sinks.partitioned import merge_into_partitions
+from strata.sinks.store import materialize
 from strata.session import scratch_path
 from strata.sources.json_events import ORDER_EVENT_SCHEMA, decode_json_events
 
@@ -77,6 +80,26 @@ def route_each_batch(out: str, limit_hours: float = 48) -> Callable[[DataFrame,
     return run
 
 
+def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: float = 48,
+                       key: str = "event_id") -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` body: lateness split, then insert-only MERGE per micro-batch.
+
+    Accepted and quarantined events go to tables partitioned by event day;
+    each batch touches only the days it carries (``merge_into_partitions``).
+    Insert-only on ``event_id`` makes a replayed batch, or an event delivered
+    twice, a no-op — the stream's exactly-once guarantee does not have to
+    reach into the silver tables.
+    """
+    def run(batch: DataFrame, batch_id: int) -> None:
+        r = route_events(batch, limit_hours=limit_hours, key=key,
+                         rejected_at=F.current_timestamp().cast("timestamp_ntz"))
+        routed = r.over(materialize(r.routed, f"routed_batch_{batch_id}"))
+        for df, path in ((routed.accepted, accepted_path), (routed.rejected, rejected_path)):
+            merge_into_partitions(path, df.withColumn("dt", F.to_date("event_time")), key, ["dt"],
+                                  [], [NotMatched()], check_unique_source=False)
+    return run
+
+
 def ingest_payload_files_once(spark: SparkSession, records: DataFrame) -> DataFrame:
     """Land ``records`` as files, run the ingest stream to completion, read bronze back.
 

@@ -1,7 +1,7 @@
 import os
 
 from conftest import rows
-from strata.streaming.ingest import file_records, route_each_batch, start_ingest
+from strata.streaming.ingest import bronze_events, file_records, route_each_batch, silver_events_sink, start_ingest
 
 
 def _land(spark, folder, recs):
@@ -39,3 +39,25 @@ def test_foreach_batch_routing_is_idempotent_per_batch_id(spark, tmp_dir):
     run(batch, 0)  # replay of the same micro-batch
     got = spark.read.parquet(out)
     assert rows(got, "event_id", "route") == [("a", "accepted"), ("b", "rejected")]
+
+
+def test_stream_to_silver_insert_only_per_batch(spark, tmp_dir):
+    from datetime import datetime, timedelta, timezone
+    now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    on_time, late = str(now - timedelta(hours=1)), str(now - timedelta(days=30))
+    landing, acc, rej, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "acc", "rej", "ckpt"))
+    _land(spark, landing, [_ev(1, on_time), _ev(2, late), _ev(3, on_time)])
+    sink = silver_events_sink(acc, rej)
+
+    def go():
+        q = (bronze_events(file_records(spark, landing)).drop("dt").writeStream
+             .foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+    go()
+    assert rows(spark.read.parquet(acc), "event_id") == [("e1",), ("e3",)]
+    assert rows(spark.read.parquet(rej), "event_id", "reject_reason") == \
+        [("e2", "arrived more than 48h after event_time")]
+    # a redelivered event (same id) and a new one arrive later: insert-only keeps one copy
+    _land(spark, landing, [_ev(1, on_time), _ev(5, on_time)])
+    go()
+    assert rows(spark.read.parquet(acc), "event_id") == [("e1",), ("e3",), ("e5",)]
