@@ -4,10 +4,48 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import OPEN_END, UNKNOWN_SK, date_key
+from strata.functions.columns import OPEN_END, UNKNOWN_SK, date_key, typed_null
+
+
+def lookup_intervals(dim: DataFrame, key: str, sk: str, valid_from: str = "effective_from",
+                     valid_to: str = "effective_to") -> DataFrame:
+    """Per key, intervals ``[lo, hi)`` that tile the whole time line, each with the sk to use.
+
+    Covering versions keep their own ``[from, coalesce(to, OPEN_END))``
+    (empty and NULL-start versions cover nothing); every gap — before the
+    first version, between versions, after the open end — maps to the key's
+    earliest version (NULL ``valid_from`` first, then the lower sk). NULL
+    ``lo``/``hi`` mean unbounded. ``null_ts`` flags the one interval a
+    fact with a NULL time falls back to. All work is on the dimension side:
+    a window over the versions of each key (few rows per key).
+    """
+    vf, vt = F.col(valid_from), F.col(valid_to)
+    end = F.coalesce(vt, F.lit(OPEN_END).cast(dim.schema[valid_to].dataType))
+    earliest = (dim.groupBy(key)
+                   .agg(F.min_by(F.col(sk), F.struct(vf.isNotNull(), vf, F.col(sk))).alias("__first")))
+    covers = (dim.filter(vf.isNotNull() & (vf < end))
+                 .select(key, vf.alias("lo"), end.alias("hi"), F.col(sk).alias("__sk")))
+    w = Window.partitionBy(key).orderBy("lo", "hi")
+    cw = covers.withColumn("__prev_hi", F.lag("hi").over(w)).withColumn("__next_lo", F.lead("lo").over(w))
+    # gap before each cover (the first one's starts at -inf) and after the last one
+    before = (cw.filter(F.col("__prev_hi").isNull() | (F.col("__prev_hi") < F.col("lo")))
+                .select(key, F.col("__prev_hi").alias("lo"), F.col("lo").alias("hi"),
+                        F.col("__prev_hi").isNull().alias("null_ts")))
+    after = cw.filter(F.col("__next_lo").isNull()).select(
+        key, F.col("hi").alias("lo"), typed_null(dim.schema[valid_to].dataType).alias("hi"),
+        F.lit(False).alias("null_ts"))
+    gaps = before.unionByName(after).join(earliest, key).select(key, "lo", "hi", F.col("__first").alias("__sk"),
+                                                                 "null_ts")
+    # keys without any covering version: one unbounded interval
+    bare = earliest.join(covers.select(key).distinct(), key, "left_anti").select(
+        key, typed_null(dim.schema[valid_from].dataType).alias("lo"),
+        typed_null(dim.schema[valid_to].dataType).alias("hi"), F.col("__first").alias("__sk"),
+        F.lit(True).alias("null_ts"))
+    return (covers.withColumn("null_ts", F.lit(False)).unionByName(gaps).unionByName(bare)
+                  .withColumnRenamed("__sk", sk))
 
 
 def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str,
@@ -21,26 +59,24 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str,
     lower surrogate key). Facts whose key has no version at all are dropped
     (inner-join semantics).
 
-    Plan: ``earliest`` is one aggregate over the dimension; the fact is
-    shuffled once on the key and joined to it, then left-joined on the key
-    plus the range predicate, reusing the same partitioning. No window runs
-    over the fact. Versions of one key must not overlap (true for SCD2
-    output; zero-length versions cover nothing) or a fact could match twice.
+    Plan: the dimension is turned into intervals that tile the time line
+    per key (``lookup_intervals``), so the fact meets the dimension in ONE
+    equi-join on the key with a range condition, each fact row matching
+    exactly one interval. The fact is shuffled once, and because the join's
+    two inputs are shuffle stages, AQE can split a key that holds a large
+    share of the facts. No window runs over the fact. Versions of one key
+    must not overlap (true for SCD2 output; zero-length versions cover
+    nothing).
     """
     fk = fact_key or key
-    vf = F.col(valid_from)
-    order = F.struct(vf.isNotNull(), vf, F.col(sk))
-    earliest = (dim.groupBy(key)
-                   .agg(F.min_by(F.col(sk), order).alias("__sk_first"))
-                   .withColumnRenamed(key, "__e_key"))
-    versions = dim.select(F.col(key).alias("__v_key"), F.col(sk).alias("__sk_cover"),
-                          vf.alias("__vf"), F.col(valid_to).alias("__vt"))
-    ts_c = F.col(ts)
-    end = F.coalesce(F.col("__vt"), F.lit(OPEN_END).cast(dim.schema[valid_to].dataType))
-    j = fact.join(earliest, fact[fk] == F.col("__e_key"), "inner")
-    j = j.join(versions, (F.col(fk) == F.col("__v_key")) & (ts_c >= F.col("__vf")) & (ts_c < end), "left")
-    return (j.withColumn(sk, F.coalesce(F.col("__sk_cover"), F.col("__sk_first")))
-             .drop("__e_key", "__sk_first", "__v_key", "__sk_cover", "__vf", "__vt"))
+    iv = lookup_intervals(dim, key, sk, valid_from, valid_to).select(
+        F.col(key).alias("__i_key"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"),
+        F.col(sk).alias("__i_sk"), F.col("null_ts").alias("__null_ts"))
+    t = F.col(ts)
+    in_range = ((F.col("__lo").isNull() | (t >= F.col("__lo"))) & (F.col("__hi").isNull() | (t < F.col("__hi"))))
+    cond = (F.col(fk) == F.col("__i_key")) & F.when(t.isNull(), F.col("__null_ts")).otherwise(in_range)
+    j = fact.join(iv, cond, "inner")
+    return j.withColumn(sk, F.col("__i_sk")).drop("__i_key", "__lo", "__hi", "__i_sk", "__null_ts")
 
 
 def unknown_member(fact: DataFrame, dim: DataFrame, key: str, sk: str,
