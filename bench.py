@@ -16,7 +16,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from strata.plans.catalog import queries  # noqa: E402
-from strata.session import get_spark  # noqa: E402
+from strata.session import get_spark, release_scratch  # noqa: E402
 
 
 def main() -> None:
@@ -35,6 +35,7 @@ def main() -> None:
         t0 = time.perf_counter()
         q(spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        release_scratch()  # this query's staged tables are no longer read
         print(f"# {name}: {times[name]:.2f}s", file=sys.stderr, flush=True)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({"metric": "total_query_seconds", "value": round(sum(times.values()), 3), "unit": "sec",

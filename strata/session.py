@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -67,10 +70,49 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root
 
 
+_SCRATCH: list[tuple[SparkSession, str]] = []
+_SCRATCH_LOCK = threading.Lock()
+_REGISTERED = False
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, never-reused path under the shared checkpoint folder."""
+    """A fresh, never-reused path under the shared checkpoint folder.
+
+    Paths handed out here are intermediate results of this process (staged
+    layer tables, change sets, stream landing folders); ``release_scratch``
+    deletes them once their readers are done, and does so at exit.
+    """
+    global _REGISTERED
     root = checkpoint_root(spark).rstrip("/")
-    return f"{root}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{root}/strata/{name}-{uuid.uuid4().hex[:12]}"
+    with _SCRATCH_LOCK:
+        _SCRATCH.append((spark, path))
+        if not _REGISTERED:
+            # registered after the JVM gateway exists, so it runs before the gateway shuts down
+            atexit.register(release_scratch)
+            _REGISTERED = True
+    return path
+
+
+def release_scratch() -> int:
+    """Delete every scratch path this process created; return how many."""
+    with _SCRATCH_LOCK:
+        items = list(_SCRATCH)
+        _SCRATCH.clear()
+    n = 0
+    for spark, path in items:
+        try:
+            jvm = spark.sparkContext._jvm
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+            if fs.exists(p):
+                fs.delete(p, True)
+                n += 1
+        except Exception:  # noqa: BLE001 — the JVM may already be gone at exit
+            if is_local_path(path) and os.path.isdir(local_fs_path(path)):
+                shutil.rmtree(local_fs_path(path), ignore_errors=True)
+                n += 1
+    return n
 
 
 def is_local_path(path: str) -> bool:
