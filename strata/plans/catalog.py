@@ -23,7 +23,8 @@ from strata.operators.star import asof_lookup, unknown_member
 from strata.plans import medallion as M
 from strata.sources.calendar import dim_date_covering
 from strata.sources.driver_tables import RUN_AS_OF, DriverTables, ts
-from strata.sources.files import apply_schema, with_lineage
+from strata.session import scratch_path
+from strata.sources.files import typed_csv
 from strata.sources.json_events import decode_json_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -48,8 +49,10 @@ def _newer(raw: DataFrame) -> DataFrame:
 
 
 def csv_typed_load(spark, sf_dir):
-    raw = _dt(spark, sf_dir).orders_raw_strings()
-    return with_lineage(apply_schema(raw, M.RAW_ORDERS_SCHEMA), as_of=RUN_AS_OF)
+    """Land the raw orders as CSV files, then scan them as the batch loader does."""
+    path = scratch_path(spark, "landing_orders_csv")
+    _dt(spark, sf_dir).orders_raw_strings().write.option("header", True).csv(path)
+    return typed_csv(spark, path, M.RAW_ORDERS_SCHEMA, as_of=RUN_AS_OF)
 
 
 def clean_orders(spark, sf_dir):

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators import expectations as ex
@@ -42,11 +42,12 @@ class RunResult:
     snapshot: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
+    rows_written: dict[str, int] = field(default_factory=dict)
 
 
 class _Store:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark, self.root = spark, root.rstrip("/")
+    def __init__(self, spark: SparkSession, root: str, counts: dict[str, int]):
+        self.spark, self.root, self.counts = spark, root.rstrip("/"), counts
 
     def path(self, name: str) -> str:
         layer, _, table = name.partition(".")
@@ -56,7 +57,10 @@ class _Store:
         return store.read_latest(self.spark, self.path(name), schema)
 
     def replace(self, name: str, df: DataFrame, partition_by=None) -> DataFrame:
-        path = store.write_version(df, self.path(name), partition_by)
+        # row count collected by the write job itself (no second scan)
+        obs = Observation(name)
+        path = store.write_version(df.observe(obs, F.count(F.lit(1)).alias("rows")), self.path(name), partition_by)
+        self.counts[name] = int(obs.get["rows"])
         return self.spark.read.parquet(path)
 
     def append(self, name: str, df: DataFrame) -> DataFrame:
@@ -78,8 +82,8 @@ def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "
     """One full run for ``snapshot``; raises ``QualityGateError`` at the first failed gate."""
     if snapshot not in SNAPSHOTS:
         raise ValueError(f"unknown snapshot {snapshot!r}, expected one of {SNAPSHOTS}")
-    s, dt, run_ts = _Store(spark, root), DriverTables(spark, sf_dir), ts(as_of)
     r = RunResult(root, snapshot)
+    s, dt, run_ts = _Store(spark, root, r.rows_written), DriverTables(spark, sf_dir), ts(as_of)
     T = r.tables
 
     # bronze: customers are replaced per snapshot label, the rest is a full reload

@@ -22,6 +22,8 @@ def test_two_snapshots_then_rerun_is_idempotent(spark):
         assert _same(r2.tables[name], layers[name]), name
         assert _same(r3.tables[name], r2.tables[name]), name
     assert sorted(r2.warnings) == ["orders_raw_duplicate_ids", "orders_raw_negative_values", "orders_raw_null_keys"]
+    assert r3.rows_written["gold.dim_customer"] == r3.tables["gold.dim_customer"].count()
+    assert r3.rows_written["silver.orders"] == layers["silver.orders"].count()
     assert r3.tables["audit.dq_results"].count() == 3 * 21
     assert r3.tables["audit.ge_results"].count() == 3 * 15
 

@@ -46,3 +46,10 @@ def test_dim_date_weekend_is_a_parameter(spark):
         [("Saturday", True, 20260103)]
     assert rows(df.filter("full_date = DATE'2026-01-02'"), "day_name", "is_weekend") == [("Friday", True)]
     assert d("2026-01-01") == rows(df, "full_date")[0][0]
+
+
+def test_register_views_for_sql(spark):
+    from strata.sources.views import register_views
+    names = register_views({"silver.t": spark.range(3)})
+    assert names == ["silver_t"]
+    assert spark.sql("SELECT count(*) AS n FROM silver_t").collect()[0].n == 3
