@@ -125,3 +125,15 @@ def flat_schema(ddl: str) -> StructType:
         name, typ = part.split()
         fields.append(T.StructField(name, getattr(T, _TYPES[typ.lower()])(), True))
     return StructType(fields)
+
+
+def null_key_salt(keys: Sequence[str], cols: Sequence[str]) -> Column:
+    """Extra join key that spreads NULL-key rows without letting them match.
+
+    0 for rows whose keys are all set; for rows with a NULL key, a hash of the
+    whole row. Joining on ``key = key AND salt = salt`` leaves matches of
+    non-NULL keys unchanged (both salts 0), while NULL keys still never match
+    (``NULL = x`` is not true) but now hash to many partitions instead of
+    one. Deterministic, so a retried task partitions its rows identically.
+    """
+    return F.when(any_null(list(keys)), F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("long"))

@@ -12,8 +12,8 @@ every output column is a ``CASE`` over the clauses. Rules, as in SQL MERGE:
   an error;
 * two source rows matching one target row is an error (raised inside the
   plan; the source-side count shares the join's shuffle);
-* rows with a NULL key bypass the join entirely (they cannot match), so a
-  table with many NULL keys does not funnel them all into one task;
+* rows with a NULL key cannot match; a deterministic salt spreads them over
+  the join's partitions, so many NULL keys do not funnel into one task;
 * target rows without a source partner are kept (no NOT MATCHED BY SOURCE).
 """
 
@@ -25,7 +25,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import all_of, any_null
+from strata.functions.columns import all_of, null_key_salt
 
 _T = "__t_"
 _S = "__s_"
@@ -108,21 +108,19 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str] | str,
 
     tdf = target.select(*[F.col(c).alias(_T + c) for c in tcols], F.lit(True).alias(_TP))
     sdf = source.select(*[F.col(c).alias(_S + c) for c in scols], F.lit(True).alias(_SP))
-    # A row with a NULL key can never match. Such rows bypass the join (a
-    # union instead of one hash partition that receives every NULL key).
-    t_null = any_null([_T + k for k in on])
-    s_null = any_null([_S + k for k in on])
-    t_side, s_side = tdf.filter(~t_null), sdf.filter(~s_null)
+    # A row with a NULL key can never match; a salt spreads such rows over
+    # partitions instead of hashing them all to one (see null_key_salt).
+    tdf = tdf.withColumn("__t_salt", null_key_salt([_T + k for k in on], [_T + c for c in tcols]))
+    sdf = sdf.withColumn("__s_salt", null_key_salt([_S + k for k in on], [_S + c for c in scols]))
     if check_unique_source and matched:
         # Same hash partitioning as the join below, so no extra shuffle.
-        s_side = s_side.withColumn(_SN, F.count(F.lit(1)).over(Window.partitionBy(*[_S + k for k in on])))
+        sdf = sdf.withColumn(_SN, F.count(F.lit(1)).over(
+            Window.partitionBy(*[_S + k for k in on], "__s_salt")))
 
-    cond = all_of(F.col(_T + k) == F.col(_S + k) for k in on)
+    cond = all_of(F.col(_T + k) == F.col(_S + k) for k in on) & (F.col("__t_salt") == F.col("__s_salt"))
     if target_condition is not None:
         cond = cond & target_condition(t)
-    j = t_side.join(s_side, cond, "full_outer")
-    j = j.unionByName(tdf.filter(t_null), allowMissingColumns=True)
-    j = j.unionByName(sdf.filter(s_null), allowMissingColumns=True)
+    j = tdf.join(sdf, cond, "full_outer")
 
     is_m = F.col(_TP).isNotNull() & F.col(_SP).isNotNull()
     is_new = F.col(_TP).isNull()

@@ -92,11 +92,14 @@ def _violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     if check.kind == "ref_integrity":
         parent = tables[p["parent"]].select(F.col(p["parent_key"]).alias("__pk")).distinct()
         child = df.select(F.col(p["key"]).alias("__ck"))
-        # NULL child keys are orphans by definition; count them without
-        # sending them all to one partition of the anti join
-        orphans = child.filter(F.col("__ck").isNotNull()).join(parent, F.col("__ck") == F.col("__pk"), "left_anti")
-        nulls = child.filter(F.col("__ck").isNull())
-        return orphans.unionByName(nulls).agg(F.count(F.lit(1)).cast("long").alias("violations"))
+        # NULL child keys are orphans by definition: counted by their own
+        # narrow scan of the key column instead of all hashing to one
+        # partition of the anti join
+        orphans = (child.filter(F.col("__ck").isNotNull())
+                        .join(parent, F.col("__ck") == F.col("__pk"), "left_anti")
+                        .agg(F.count(F.lit(1)).alias("__a")))
+        nulls = child.agg(F.count_if(F.col("__ck").isNull()).alias("__n"))
+        return orphans.crossJoin(nulls).select((F.col("__a") + F.col("__n")).cast("long").alias("violations"))
     if check.kind == "single_current":
         per_key = df.filter(F.col(p["flag"])).groupBy(p["key"]).agg(F.count(F.lit(1)).alias("__c"))
         return per_key.agg(F.count_if(F.col("__c") > 1).cast("long").alias("violations"))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import OPEN_END, UNKNOWN_SK, date_key, typed_null
+from strata.functions.columns import OPEN_END, UNKNOWN_SK, date_key, null_key_salt, typed_null
 
 
 def lookup_intervals(dim: DataFrame, key: str, sk: str, valid_from: str = "effective_from",
@@ -83,13 +83,13 @@ def unknown_member(fact: DataFrame, dim: DataFrame, key: str, sk: str,
                    default: int = UNKNOWN_SK, fact_key: str | None = None) -> DataFrame:
     """Left join to a dimension unique on ``key``; no match → ``sk = default``."""
     fk = fact_key or key
-    d = dim.select(F.col(key).alias("__u_key"), F.col(sk).alias("__u_sk"))
-    # NULL keys cannot match: they skip the join instead of piling into one task
-    keyed = fact.filter(F.col(fk).isNotNull()).join(d, F.col(fk) == F.col("__u_key"), "left")
-    unkeyed = fact.filter(F.col(fk).isNull())
+    d = dim.select(F.col(key).alias("__u_key"), F.col(sk).alias("__u_sk"), F.lit(0).cast("long").alias("__u_salt"))
+    # NULL keys cannot match; the salt spreads them instead of piling them into one task
+    f = fact.withColumn("__f_salt", null_key_salt([fk], fact.columns))
+    j = f.join(d, (F.col(fk) == F.col("__u_key")) & (F.col("__f_salt") == F.col("__u_salt")), "left")
     default_sk = F.lit(default).cast(dim.schema[sk].dataType)
-    keyed = keyed.withColumn(sk, F.coalesce(F.col("__u_sk"), default_sk)).drop("__u_key", "__u_sk")
-    return keyed.unionByName(unkeyed.withColumn(sk, default_sk))
+    return (j.withColumn(sk, F.coalesce(F.col("__u_sk"), default_sk))
+             .drop("__u_key", "__u_sk", "__u_salt", "__f_salt"))
 
 
 FACT_COLUMNS = ["order_id", "date_key", "customer_sk", "product_sk", "quantity", "unit_price",
