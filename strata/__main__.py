@@ -17,7 +17,7 @@ from strata.session import get_spark
 def _run(a) -> int:
     from strata.operators.quality import QualityGateError
     from strata.plans.runner import run_medallion
-    spark = get_spark("strata-run", master=a.master)
+    spark = get_spark("strata-run", master=a.master, cluster=a.cluster)
     try:
         r = run_medallion(spark, a.sf_dir, a.root, a.snapshot)
     except QualityGateError as e:
@@ -32,7 +32,7 @@ def _run(a) -> int:
 
 def _stream(a) -> int:
     from strata.streaming.ingest import file_records, kafka_records, start_ingest
-    spark = get_spark("strata-stream", master=a.master)
+    spark = get_spark("strata-stream", master=a.master, cluster=a.cluster)
     records = kafka_records(spark, a.kafka, a.topic) if a.kafka else file_records(spark, a.landing)
     trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
     q = start_ingest(records, a.out, a.checkpoint, trigger)
@@ -44,7 +44,7 @@ def _show(a) -> int:
     from strata.operators.profile import layer_profile, preview
     from strata.plans.medallion import Layers
     from strata.sinks.store import read_latest
-    spark = get_spark("strata-show", master=a.master)
+    spark = get_spark("strata-show", master=a.master, cluster=a.cluster)
     tables = {}
     for layer, names in Layers.NAMES.items():
         if a.layer not in ("all", layer):
@@ -66,6 +66,7 @@ def _show(a) -> int:
 def main(argv=None) -> int:
     p = argparse.ArgumentParser(prog="strata")
     p.add_argument("--master", default=None, help="e.g. local[*]; left to spark-submit when omitted")
+    p.add_argument("--cluster", action="store_true", help="apply the large-cluster sizing (CLUSTER_CONF)")
     sub = p.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run")
     r.add_argument("--sf-dir", required=True)
