@@ -1,6 +1,5 @@
 import os
 
-from pyspark.sql import functions as F
 
 from conftest import rows
 from strata.operators.merge import Matched, NotMatched
