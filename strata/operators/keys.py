@@ -15,11 +15,34 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, IntegralType, StringType, TimestampNTZType, TimestampType
 
 _B = "__sk_bucket"
 
 
+_PREFIX_BYTES = 7  # 56 bits: fits a signed long
+
+
+def _string_rank_key(df: DataFrame, order_col: str) -> Column:
+    """Order-preserving long for a string column (coarse: ties allowed).
+
+    Spark orders strings by their UTF-8 bytes. All values share the common
+    prefix of ``min`` and ``max`` (one aggregate row, collected), so the key
+    is the next 7 bytes, zero-padded, read as a big-endian number. Strings
+    equal on those bytes share a key and are ordered exactly inside their
+    range by the window.
+    """
+    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
+    common = 0
+    if lo is not None and hi is not None:
+        a, b = lo.encode("utf-8"), hi.encode("utf-8")
+        while common < min(len(a), len(b)) and a[common] == b[common]:
+            common += 1
+    raw = F.substring(F.encode(F.col(order_col), "UTF-8"), common + 1, _PREFIX_BYTES)
+    padded = F.rpad(F.hex(raw), 2 * _PREFIX_BYTES, "0")
+    return F.conv(padded, 16, 10).cast("long")
+
+
 def _as_long(df: DataFrame, order_col: str) -> Column:
     dt = df.schema[order_col].dataType
     c = F.col(order_col)
@@ -29,7 +52,9 @@ def _as_long(df: DataFrame, order_col: str) -> Column:
         return F.unix_date(c).cast("long")
     if isinstance(dt, (TimestampType, TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp"))
-    raise TypeError(f"surrogate keys need an integral, date or timestamp order column, "
+    if isinstance(dt, StringType):
+        return _string_rank_key(df, order_col)
+    raise TypeError(f"surrogate keys need an integral, date, timestamp or string order column, "
                     f"got {dt.simpleString()} for {order_col!r}")
 
 

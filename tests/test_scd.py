@@ -85,3 +85,14 @@ def test_surrogate_keys_start_from_a_one_row_frame(spark):
     df = spark.createDataFrame([(5,), (3,)], "k int")
     start = spark.createDataFrame([(100,)], "max_sk bigint")
     assert rows(assign_surrogate_keys(df, "k", start=start)) == [(3, 101), (5, 102)]
+
+
+def test_surrogate_keys_on_string_keys_equal_global_row_number(spark):
+    rnd = random.Random(3)
+    keys = [f"ORD-{rnd.randint(0, 10**9):010d}" for _ in range(2000)] + ["ORD-", "ORD-9", "ORDé", None]
+    keys += [f"X{rnd.random()}" for _ in range(200)]
+    df = spark.createDataFrame([(k,) for k in set(keys)], "k string")
+    expect = df.withColumn("sk", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first())))
+    for buckets in (3, 512):
+        got = assign_surrogate_keys(df, "k", out="sk", max_buckets=buckets)
+        assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
