@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.operators import quality as dq
 from strata.operators.keyed import snapshot_replace
 from strata.operators.keys import assign_surrogate_keys, max_key
 from strata.operators.late import lateness_hours, stream_orders
@@ -22,8 +21,8 @@ from strata.operators.scd import scd2_changes, scd2_close
 from strata.operators.star import asof_lookup, unknown_member
 from strata.plans import medallion as M
 from strata.sources.calendar import dim_date_covering
-from strata.sources.driver_tables import RUN_AS_OF, DriverTables, ts
 from strata.session import scratch_path
+from strata.sources.driver_tables import RUN_AS_OF, DriverTables, ts
 from strata.sources.files import typed_csv
 from strata.sources.json_events import decode_json_events
 
@@ -127,10 +126,6 @@ def scd1_upsert(spark, sf_dir):
                                  M.silver_products(dt.products_bronze())])
 
 
-def _dim_day1(spark, dt):
-    return M.dim_customer(spark, [M.silver_customers(dt.customers_raw("day1"))])
-
-
 def scd2_changes_q(spark, sf_dir):
     L = M.build_layers(spark, sf_dir)
     return scd2_changes(L.dim_customer_day1(), L["silver.customers"], "customer_id", M.SCD2_TRACKED)
@@ -248,4 +243,4 @@ def queries() -> dict[str, Query]:
     }
 
 
-__all__ = ["queries", "dq"]
+__all__ = ["queries"]
