@@ -195,7 +195,7 @@ def layer_profile_q(spark, sf_dir):
 
 def stream_ingest(spark, sf_dir):
     from strata.streaming.ingest import ingest_payload_files_once
-    return ingest_payload_files_once(spark, _dt(spark, sf_dir).payloads())
+    return ingest_payload_files_once(spark, _dt(spark, sf_dir).payloads(), as_of=ts(RUN_AS_OF))
 
 
 def queries() -> dict[str, Query]:

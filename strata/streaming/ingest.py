@@ -48,20 +48,26 @@ def file_records(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return r.parquet(path)
 
 
-def bronze_events(records: DataFrame) -> DataFrame:
-    """Decode, drop unparseable records, stamp arrival time, fix column order, add ``dt``."""
+def bronze_events(records: DataFrame, as_of=None) -> DataFrame:
+    """Decode, drop unparseable records, stamp arrival time, fix column order, add ``dt``.
+
+    The arrival stamp is the micro-batch clock, or ``as_of`` when a run
+    clock is pinned (reproducible runs and checks).
+    """
     ev = decode_json_events(records, ORDER_EVENT_SCHEMA, key="event_id")
-    ev = ev.withColumn("_ingested_at", F.current_timestamp().cast("timestamp_ntz"))
+    stamp = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
+    ev = ev.withColumn("_ingested_at", stamp)
     return ev.select(*BRONZE_EVENT_COLUMNS).withColumn("dt", F.to_date("event_time"))
 
 
-def start_ingest(records: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+def start_ingest(records: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
+                 as_of=None) -> StreamingQuery:
     """Append decoded events to ``out`` partitioned by event day.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
     ``{"processingTime": "30 seconds"}``, or ``{"availableNow": True}``).
     """
-    w = (bronze_events(records).writeStream.format("parquet").outputMode("append")
+    w = (bronze_events(records, as_of).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("dt"))
     w = w.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return w.start(out)
@@ -100,7 +106,7 @@ def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: floa
     return run
 
 
-def ingest_payload_files_once(spark: SparkSession, records: DataFrame) -> DataFrame:
+def ingest_payload_files_once(spark: SparkSession, records: DataFrame, as_of=None) -> DataFrame:
     """Land ``records`` as files, run the ingest stream to completion, read bronze back.
 
     Folders are fresh paths under the session's checkpoint folder.
@@ -109,6 +115,6 @@ def ingest_payload_files_once(spark: SparkSession, records: DataFrame) -> DataFr
     out = scratch_path(spark, "bronze_order_events")
     ckpt = scratch_path(spark, "ckpt_order_events")
     records.select("value", "partition", "offset").write.parquet(landing)
-    q = start_ingest(file_records(spark, landing), out, ckpt, {"availableNow": True})
+    q = start_ingest(file_records(spark, landing), out, ckpt, {"availableNow": True}, as_of)
     q.awaitTermination()
     return spark.read.parquet(out)
