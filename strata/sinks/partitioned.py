@@ -33,12 +33,6 @@ from strata.operators.merge import Matched, NotMatched, merge
 from strata.sinks import store
 
 
-def _exists(spark, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
-
-
 def _delete(spark, path: str) -> None:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -75,7 +69,7 @@ def merge_into_partitions(target_path: str, source: DataFrame, on: Sequence[str]
         raise ValueError(f"source touches more than {max_partitions} partitions; use a full MERGE")
     if not touched:
         return []
-    if not _exists(spark, target_path):
+    if not store.path_exists(spark, target_path):
         inserted = merge(source.filter(F.lit(False)), source, on, [], list(not_matched) or [NotMatched()],
                          check_unique_source=False)
         inserted.write.mode("error").partitionBy(*parts).parquet(target_path)

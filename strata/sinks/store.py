@@ -35,6 +35,12 @@ def with_day(df: DataFrame, ts_col: str, out: str = "dt") -> DataFrame:
     return df.withColumn(out, F.to_date(F.col(ts_col)))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _versions(spark: SparkSession, base: str) -> list[int]:
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -15,10 +15,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.operators.late import ROUTE, route_events
-from strata.operators.merge import NotMatched
+from strata.operators.late import ROUTE, route_events, stream_orders_touched
+from strata.operators.merge import Matched, NotMatched
 from strata.sinks.partitioned import merge_into_partitions
-from strata.sinks.store import materialize
+from strata.sinks.store import materialize, path_exists
 from strata.session import scratch_path
 from strata.sources.json_events import ORDER_EVENT_SCHEMA, decode_json_events
 
@@ -87,7 +87,8 @@ def route_each_batch(out: str, limit_hours: float = 48) -> Callable[[DataFrame,
 
 
 def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: float = 48,
-                       key: str = "event_id") -> Callable[[DataFrame, int], None]:
+                       key: str = "event_id", orders_path: str | None = None,
+                       order_buckets: int = 64) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: lateness split, then insert-only MERGE per micro-batch.
 
     Accepted and quarantined events go to tables partitioned by event day;
@@ -95,6 +96,11 @@ def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: floa
     Insert-only on ``event_id`` makes a replayed batch, or an event delivered
     twice, a no-op — the stream's exactly-once guarantee does not have to
     reach into the silver tables.
+
+    With ``orders_path``, the current state of the orders touched by the
+    batch is recomputed from their accepted history and upserted into
+    ``silver.orders``, which is laid out in ``order_buckets`` hash buckets of
+    ``order_id``, so a batch rewrites only the buckets of its orders.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         r = route_events(batch, limit_hours=limit_hours, key=key,
@@ -103,6 +109,11 @@ def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: floa
         for df, path in ((routed.accepted, accepted_path), (routed.rejected, rejected_path)):
             merge_into_partitions(path, df.withColumn("dt", F.to_date("event_time")), key, ["dt"],
                                   [], [NotMatched()], check_unique_source=False)
+        if orders_path is not None and path_exists(batch.sparkSession, accepted_path):
+            history = batch.sparkSession.read.parquet(accepted_path)
+            state = stream_orders_touched(history, routed.accepted)
+            state = state.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(order_buckets)).cast("int"))
+            merge_into_partitions(orders_path, state, "order_id", ["bucket"], [Matched()], [NotMatched()])
     return run
 
 

@@ -61,3 +61,32 @@ def test_stream_to_silver_insert_only_per_batch(spark, tmp_dir):
     _land(spark, landing, [_ev(1, on_time), _ev(5, on_time)])
     go()
     assert rows(spark.read.parquet(acc), "event_id") == [("e1",), ("e3",), ("e5",)]
+
+
+def test_stream_maintains_silver_orders_incrementally(spark, tmp_dir):
+    from datetime import datetime, timedelta, timezone
+
+    from strata.operators.late import stream_orders
+    now = datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
+    landing, acc, rej, orders, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "acc", "rej", "orders", "ckpt"))
+
+    def ev(i, order, status, minutes):
+        t = str(now - timedelta(minutes=minutes))
+        return (f'{{"event_id": "e{i}", "order_id": "{order}", "customer_id": 1, "product_id": 2, '
+                f'"quantity": 2, "unit_price": 1.25, "status": "{status}", "event_time": "{t}", '
+                f'"produced_at": "{t}"}}', 0, i)
+    sink = silver_events_sink(acc, rej, orders_path=orders)
+
+    def go():
+        q = (bronze_events(file_records(spark, landing)).drop("dt").writeStream
+             .foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+    _land(spark, landing, [ev(1, "A", "created", 50), ev(2, "B", "created", 40)])
+    go()
+    _land(spark, landing, [ev(3, "A", "paid", 30), ev(4, "C", "created", 20), ev(5, "A", "shipped", 35)])
+    go()
+    got = spark.read.parquet(orders).drop("bucket")
+    full = stream_orders(spark.read.parquet(acc).drop("dt"))
+    assert got.count() == 3
+    assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
+    assert rows(got.filter("order_id = 'A'"), "status", "total_amount") == [("paid", 2.5)]
