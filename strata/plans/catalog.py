@@ -187,6 +187,7 @@ def _ex(kinds):
 
 def layer_profile_q(spark, sf_dir):
     layers = M.build_layers(spark, sf_dir)
+    layers.prefetch(layers.names())
     tables = layers.all()
     tables["audit.dq_results"] = M.run_stage_checks(tables)
     tables["audit.ge_results"] = M.run_suites(tables)

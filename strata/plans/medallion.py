@@ -7,6 +7,9 @@ them stage by stage with quality gates in between.
 
 from __future__ import annotations
 
+import threading
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -159,6 +162,29 @@ class Layers:
         self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
         self._routed: Routed | None = None
+        self._guard = threading.Lock()
+        self._locks: dict[str, threading.Lock] = {}
+
+    def _lock(self, name: str) -> threading.Lock:
+        with self._guard:
+            return self._locks.setdefault(name, threading.Lock())
+
+    def prefetch(self, names, workers: int = 4) -> None:
+        """Build the named tables (and what they depend on) concurrently.
+
+        Independent tables (customers, products, events, the two dimension
+        chains) are separate Spark jobs; submitting them from several threads
+        lets the scheduler run them side by side instead of leaving executors
+        idle between small jobs. Each table is built once: a per-table lock
+        makes a second requester wait for the first build.
+        """
+        names = [n for n in dict.fromkeys(names) if n in self]
+        if not self.materialize or len(names) < 2:
+            for n in names:
+                self[n]
+            return
+        with ThreadPoolExecutor(max_workers=min(workers, len(names))) as pool:
+            list(pool.map(self.__getitem__, names))
 
     def _keep(self, df: DataFrame, name: str, partition_by=None) -> DataFrame:
         return store.materialize(df, name, partition_by) if self.materialize else df
@@ -171,12 +197,23 @@ class Layers:
         self["gold.dim_customer"]
         return self._cache["gold.dim_customer.run1"]
 
+    def tables_for_checks(self, stages=("bronze", "silver", "gold"), kinds=None) -> list[str]:
+        out = []
+        for st in stages:
+            for c in checks()[st]:
+                if kinds is None or c.kind in kinds:
+                    out.append(c.table)
+                    if c.kind == "ref_integrity":
+                        out.append(c.params["parent"])
+        return out
+
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._cache:
-            layer, _, table = name.partition(".")
-            if table not in self.NAMES.get(layer, []):
-                raise KeyError(name)
-            self._cache[name] = getattr(self, f"_{layer}_{table}")()
+        layer, _, table = name.partition(".")
+        if table not in self.NAMES.get(layer, []):
+            raise KeyError(name)
+        with self._lock(name):
+            if name not in self._cache:
+                self._cache[name] = getattr(self, f"_{layer}_{table}")()
         return self._cache[name]
 
     def __contains__(self, name: str) -> bool:
@@ -205,9 +242,10 @@ class Layers:
     # silver
     def routed(self) -> Routed:
         """One pass over the events and one write partitioned by route."""
-        if self._routed is None:
-            r = route(self["bronze.order_events"])
-            self._routed = r.over(self._keep(r.routed, "silver_routed_events", partition_by=[ROUTE]))
+        with self._lock("routed"):
+            if self._routed is None:
+                r = route(self["bronze.order_events"])
+                self._routed = r.over(self._keep(r.routed, "silver_routed_events", partition_by=[ROUTE]))
         return self._routed
 
     def _silver_customers(self):
@@ -245,6 +283,7 @@ class Layers:
         return self._keep(dim_date_covering(self["silver.orders"], "order_ts"), "gold_dim_date")
 
     def _gold_fact_orders(self):
+        self.prefetch(["silver.orders", "gold.dim_customer", "gold.dim_product"])
         f = fact_orders(self["silver.orders"], self["gold.dim_customer"], self["gold.dim_product"])
         return self._keep(f, "gold_fact_orders")
 
@@ -330,6 +369,8 @@ def suites() -> dict[str, list[ex.Expectation]]:
 def run_stage_checks(tables, stages=("bronze", "silver", "gold"),
                      kinds: set[str] | None = None) -> DataFrame:
     """Audit rows for the chosen stages (and check kinds), one DataFrame."""
+    if isinstance(tables, Layers):
+        tables.prefetch(tables.tables_for_checks(stages, kinds))
     out = None
     for stage in stages:
         cs = [c for c in checks()[stage] if kinds is None or c.kind in kinds]
@@ -341,6 +382,8 @@ def run_stage_checks(tables, stages=("bronze", "silver", "gold"),
 
 
 def run_suites(tables, kinds: set[str] | None = None) -> DataFrame:
+    if isinstance(tables, Layers):
+        tables.prefetch([t for t, es in suites().items() if any(kinds is None or e.kind in kinds for e in es)])
     out = None
     for table, exps in suites().items():
         es = [e for e in exps if kinds is None or e.kind in kinds]
