@@ -151,12 +151,14 @@ def surrogate_keys(spark, sf_dir):
 
 def asof_lookup_q(spark, sf_dir):
     L = M.build_layers(spark, sf_dir)
+    L.prefetch(["silver.orders", "gold.dim_customer"])
     orders = L["silver.orders"].select("order_id", "customer_id", "order_ts")
     return asof_lookup(orders, L["gold.dim_customer"], "customer_id", "order_ts", "customer_sk")
 
 
 def unknown_member_q(spark, sf_dir):
     L = M.build_layers(spark, sf_dir)
+    L.prefetch(["silver.orders", "gold.dim_product"])
     orders = L["silver.orders"].select("order_id", "product_id")
     return unknown_member(orders, L["gold.dim_product"], "product_id", "product_sk")
 
