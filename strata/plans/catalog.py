@@ -8,6 +8,7 @@ match the DuckDB oracle in ``strata.plans.oracle``.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,13 +127,20 @@ def scd1_upsert(spark, sf_dir):
                                  M.silver_products(dt.products_bronze())])
 
 
-def scd2_changes_q(spark, sf_dir):
+def _day1_inputs(spark, sf_dir):
     L = M.build_layers(spark, sf_dir)
+    with ThreadPoolExecutor(2) as pool:
+        dim, cur = pool.map(lambda f: f(), [L.dim_customer_day1, lambda: L["silver.customers"]])
+    return L, dim, cur
+
+
+def scd2_changes_q(spark, sf_dir):
+    L, _, _ = _day1_inputs(spark, sf_dir)
     return scd2_changes(L.dim_customer_day1(), L["silver.customers"], "customer_id", M.SCD2_TRACKED)
 
 
 def scd2_close_q(spark, sf_dir):
-    L = M.build_layers(spark, sf_dir)
+    L, _, _ = _day1_inputs(spark, sf_dir)
     dim = L.dim_customer_day1()
     changes = scd2_changes(dim, L["silver.customers"], "customer_id", M.SCD2_TRACKED)
     return scd2_close(dim, changes, "customer_id")
@@ -143,7 +151,7 @@ def scd2_apply_q(spark, sf_dir):
 
 
 def surrogate_keys(spark, sf_dir):
-    L = M.build_layers(spark, sf_dir)
+    L, _, _ = _day1_inputs(spark, sf_dir)
     start = max_key(L.dim_customer_day1(), "customer_sk")
     cust = L["silver.customers"].select("customer_id")
     return assign_surrogate_keys(cust, "customer_id", out="customer_sk", start=start)

@@ -192,11 +192,6 @@ class Layers:
     def _stage(self, name: str):
         return (lambda df: self._keep(df, name)) if self.materialize else None
 
-    def dim_customer_day1(self) -> DataFrame:
-        """The customer dimension after the first (day1) SCD2 run."""
-        self["gold.dim_customer"]
-        return self._cache["gold.dim_customer.run1"]
-
     def tables_for_checks(self, stages=("bronze", "silver", "gold"), kinds=None) -> list[str]:
         out = []
         for st in stages:
@@ -265,15 +260,21 @@ class Layers:
         return self._keep(silver_orders(self.spark, batch, self["silver.order_events"]), "silver_orders")
 
     # gold
+    def _dim_customer_run(self, i: int, previous: DataFrame, state: DataFrame) -> DataFrame:
+        return self._keep(dim_customer(self.spark, [state], previous=previous,
+                                       stage=self._stage(f"scd2_changes_run{i}")), f"gold_dim_customer_run{i}")
+
+    def dim_customer_day1(self) -> DataFrame:
+        """The customer dimension after the first (day1) SCD2 run."""
+        with self._lock("gold.dim_customer.run1"):
+            if "gold.dim_customer.run1" not in self._cache:
+                self._cache["gold.dim_customer.run1"] = self._dim_customer_run(
+                    1, empty(self.spark, DIM_CUSTOMER_SCHEMA), silver_customers(self.dt.customers_raw("day1")))
+        return self._cache["gold.dim_customer.run1"]
+
     def _gold_dim_customer(self):
-        dc = empty(self.spark, DIM_CUSTOMER_SCHEMA)
-        states = [silver_customers(self.dt.customers_raw("day1")), self["silver.customers"]]
-        for i, state in enumerate(states):
-            if i == 1:
-                self._cache["gold.dim_customer.run1"] = dc
-            dc = self._keep(dim_customer(self.spark, [state], previous=dc, stage=self._stage(f"scd2_changes_run{i + 1}")),
-                            f"gold_dim_customer_run{i + 1}")
-        return dc
+        run1 = self.dim_customer_day1()
+        return self._dim_customer_run(2, run1, self["silver.customers"])
 
     def _gold_dim_product(self):
         states = [silver_products(self.dt.products_raw(1)), self["silver.products"]]
