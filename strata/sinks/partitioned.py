@@ -15,6 +15,11 @@ e.g. the event day), only the partitions the source touches can change:
 4. the staged rows replace exactly their partitions (dynamic partition
    overwrite); touched partitions left empty by deletes are removed.
 
+Insert-only MERGE (no matched clause) rewrites nothing: new keys are found
+with an anti join against the key column of the touched partitions and
+appended, so a stream feeding a day partition of hundreds of GB reads one
+column of it per micro-batch and writes only the new rows.
+
 The cost is proportional to the touched partitions, not the table. Each
 partition is replaced by a rename, so a failure mid-commit can leave some
 partitions new and some old; re-running the same MERGE converges, since
@@ -77,6 +82,16 @@ def merge_into_partitions(target_path: str, source: DataFrame, on: Sequence[str]
     target = spark.read.parquet(target_path)
     cols = target.columns
     current = target.filter(_partition_filter(parts, touched))
+    if not matched and target_condition is None:
+        # Insert-only: existing rows never change, so nothing is rewritten.
+        # Only the key columns of the touched partitions are read (pruned
+        # folders and columns); new keys are appended to their partitions.
+        keys = [on] if isinstance(on, str) else list(on)
+        new = source.select(*cols).join(current.select(*keys), keys, "left_anti")
+        inserted = merge(new.filter(F.lit(False)), new, keys, [], list(not_matched) or [NotMatched()],
+                         check_unique_source=False)
+        store.append(inserted.select(*cols), target_path, partition_by=parts)
+        return touched
     merged = merge(current, source.select(*cols), on, matched, not_matched, target_condition,
                    check_unique_source)
     # staged unpartitioned: an all-deleted result still has a readable schema

@@ -41,3 +41,17 @@ def test_partition_emptied_by_delete_is_removed(spark, tmp_dir):
                           [Matched(delete=True)])
     assert rows(spark.read.parquet(path), "id", "b") == [(1, 0)]
     assert not os.path.exists(os.path.join(path, "b=1"))
+
+
+def test_insert_only_appends_without_rewriting(spark, tmp_dir):
+    from strata.operators.merge import NotMatched
+    path = os.path.join(tmp_dir, "events")
+    S = "id int, v string, b int"
+    merge_into_partitions(path, spark.createDataFrame([(1, "a", 0), (2, "b", 0)], S), "id", ["b"], [], [NotMatched()])
+    before = _files_mtime(path)
+    merge_into_partitions(path, spark.createDataFrame([(2, "changed", 0), (3, "c", 0)], S), "id", ["b"],
+                          [], [NotMatched()])
+    after = _files_mtime(path)
+    assert all(after.get(f) == m for f, m in before.items())     # old files untouched
+    assert len(after) > len(before)                               # new rows appended
+    assert rows(spark.read.parquet(path), "id", "v") == [(1, "a"), (2, "b"), (3, "c")]
