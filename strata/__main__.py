@@ -43,17 +43,21 @@ def _stream(a) -> int:
 def _show(a) -> int:
     from strata.operators.profile import layer_profile, preview
     from strata.plans.medallion import Layers
-    from strata.sinks.store import read_latest
+    from strata.sinks.store import path_exists, read_latest
     spark = get_spark("strata-show", master=a.master, cluster=a.cluster)
     tables = {}
     for layer, names in Layers.NAMES.items():
         if a.layer not in ("all", layer):
             continue
         for t in names:
+            path = f"{a.root.rstrip('/')}/{layer}/{t}"
             try:
-                tables[f"{layer}.{t}"] = read_latest(spark, f"{a.root.rstrip('/')}/{layer}/{t}")
+                tables[f"{layer}.{t}"] = read_latest(spark, path)
             except FileNotFoundError:
-                print(f"{layer}.{t}: not available")
+                if path_exists(spark, path):  # in-place table (appended history)
+                    tables[f"{layer}.{t}"] = spark.read.parquet(path)
+                else:
+                    print(f"{layer}.{t}: not available")
     if tables:
         layer_profile(tables).show(len(tables), truncate=False)
         if a.preview:

@@ -3,9 +3,10 @@
 ``run_medallion(spark, sf_dir, root, snapshot)`` does what the scheduled
 chain of jobs does — seed bronze → gate → silver → gate → gold → gate →
 expectations — against tables stored under ``root`` (a folder in the shared
-storage). Every table write creates a new version folder, so a run never
+storage). Every replaced table is written as a new version folder, so a run never
 overwrites a path it is reading, and a failed run leaves the previous
-versions intact. Running the same snapshot twice yields the same tables
+versions intact. The event history tables grow in place by appends
+(insert-only MERGE into day partitions). Running the same snapshot twice yields the same tables
 (the run clock is a parameter).
 """
 
@@ -19,11 +20,12 @@ from pyspark.sql import functions as F
 from strata.operators import expectations as ex
 from strata.operators import quality as dq
 from strata.operators.keyed import snapshot_replace
-from strata.operators.merge import merge_conditional, merge_insert_only, merge_upsert
+from strata.operators.merge import NotMatched, merge_conditional, merge_upsert
 from strata.operators.scd import scd1, scd2_apply
 from strata.operators.star import daily_sales, fact_orders
 from strata.plans import medallion as M
 from strata.sinks import store
+from strata.sinks.partitioned import merge_into_partitions
 from strata.sources.calendar import dim_date_covering
 from strata.sources.driver_tables import RUN_AS_OF, DriverTables, ts
 from strata.streaming.ingest import BRONZE_EVENT_COLUMNS
@@ -63,6 +65,10 @@ class _Store:
         self.counts[name] = int(obs.get["rows"])
         return self.spark.read.parquet(path)
 
+    def read_table(self, name: str) -> DataFrame:
+        """An in-place (appended / partition-merged) table."""
+        return self.spark.read.parquet(self.path(name))
+
     def append(self, name: str, df: DataFrame) -> DataFrame:
         path = self.path(name)
         store.append(df, path)
@@ -111,19 +117,15 @@ def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "
         M.silver_products(T["bronze.products_raw"]), "product_id"))
     routed = M.route(T["bronze.order_events"].drop("dt"))
     routed = routed.over(store.materialize(routed.routed, "routed_events", partition_by=["route"]))
-    ev_schema = M.flat_schema(
-        "event_id string, order_id string, customer_id bigint, product_id bigint, quantity int, unit_price double, "
-        "status string, event_time timestamp_ntz, produced_at timestamp_ntz, _ingested_at timestamp_ntz, "
-        "lateness_hours double")
-    rej_schema = M.flat_schema(
-        "event_id string, order_id string, customer_id bigint, product_id bigint, quantity int, unit_price double, "
-        "status string, event_time timestamp_ntz, produced_at timestamp_ntz, _ingested_at timestamp_ntz, "
-        "lateness_hours double, reject_reason string, rejected_at timestamp_ntz")
-    T["silver.order_events"] = s.replace("silver.order_events", merge_insert_only(
-        s.read("silver.order_events", ev_schema), routed.accepted.select(*M.EVENT_COLUMNS), "event_id"))
+    # Event history grows by appends: insert-only MERGE into day partitions
+    # reads the key column of the touched days and appends new events; the
+    # stored history is never rewritten (same as the streaming sink).
     rejected = routed.rejected.select(*M.EVENT_COLUMNS, "reject_reason", F.lit(run_ts).alias("rejected_at"))
-    T["silver.order_events_rejected"] = s.replace("silver.order_events_rejected", merge_insert_only(
-        s.read("silver.order_events_rejected", rej_schema), rejected, "event_id"))
+    for name, df in (("silver.order_events", routed.accepted.select(*M.EVENT_COLUMNS)),
+                     ("silver.order_events_rejected", rejected)):
+        merge_into_partitions(s.path(name), df.withColumn("dt", F.to_date("event_time")), "event_id", ["dt"],
+                              [], [NotMatched()], check_unique_source=False)
+        T[name] = s.read_table(name).drop("dt")
     T["silver.orders"] = s.replace("silver.orders", M.silver_orders(
         spark, M.batch_orders(T["bronze.orders_raw"]), T["silver.order_events"],
         previous=s.read("silver.orders", M.ORDERS_SCHEMA)))
