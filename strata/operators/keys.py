@@ -65,29 +65,25 @@ def assign_surrogate_keys(df: DataFrame, order_col: str, out: str = "sk",
 
     ``start`` is an integer or a one-row DataFrame whose first column is the
     offset (e.g. ``COALESCE(MAX(sk), 0)`` of the existing dimension). NULL
-    order values sort first, as in the SQL window.
+    order values sort first, as in the SQL window. The key range and the
+    offset are one-row aggregates fetched as scalars (bounded driver reads).
     """
     k = _as_long(df, order_col)
-    stats = df.agg(F.min(k).alias("__lo"), F.max(k).alias("__hi"))
-    width = F.greatest(F.lit(1).cast("long"),
-                       F.ceil((F.col("__hi") - F.col("__lo") + 1) / F.lit(max_buckets)).cast("long"))
+    # one-row scalars, fetched once: the key range and the numbering offset
+    lo, hi = df.agg(F.min(k), F.max(k)).first()
+    width = max(1, -(-((hi - lo + 1) if lo is not None else 1) // max_buckets))
+    base = int(start.first()[0] or 0) if isinstance(start, DataFrame) else int(start)
     # NULL order values get bucket -1, which sorts before every range.
-    bucket = F.coalesce(F.floor((k - F.col("__lo")) / F.col("__width")).cast("long"), F.lit(-1).cast("long"))
-    keyed = (df.crossJoin(F.broadcast(stats.select("__lo", width.alias("__width"))))
-               .withColumn(_B, bucket).drop("__lo", "__width"))
+    bucket = F.coalesce(F.floor((k - F.lit(lo if lo is not None else 0)) / F.lit(width)).cast("long"),
+                        F.lit(-1).cast("long"))
+    keyed = df.withColumn(_B, bucket)
 
     counts = keyed.groupBy(_B).agg(F.count(F.lit(1)).alias("__n"))
     # ≤ max_buckets + 1 rows: the running sum runs in one small task.
     offsets = counts.select(
         _B, (F.sum("__n").over(Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)))
         .alias("__off"))
-    offsets = offsets.select(_B, F.coalesce("__off", F.lit(0)).cast("long").alias("__off"))
-    if isinstance(start, DataFrame):
-        s0 = start.select(F.col(start.columns[0]).cast("long").alias("__start"))
-        offsets = offsets.crossJoin(F.broadcast(s0)).select(
-            _B, (F.col("__off") + F.col("__start")).alias("__off"))
-    else:
-        offsets = offsets.select(_B, (F.col("__off") + F.lit(int(start))).alias("__off"))
+    offsets = offsets.select(_B, (F.coalesce("__off", F.lit(0)) + F.lit(base)).cast("long").alias("__off"))
 
     w = Window.partitionBy(_B).orderBy(F.col(order_col).asc_nulls_first(), *[F.col(c) for c in tiebreak])
     numbered = keyed.withColumn("__rn", F.row_number().over(w))

@@ -97,9 +97,9 @@ def _violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
         # partition of the anti join
         orphans = (child.filter(F.col("__ck").isNotNull())
                         .join(parent, F.col("__ck") == F.col("__pk"), "left_anti")
-                        .agg(F.count(F.lit(1)).alias("__a")))
-        nulls = child.agg(F.count_if(F.col("__ck").isNull()).alias("__n"))
-        return orphans.crossJoin(nulls).select((F.col("__a") + F.col("__n")).cast("long").alias("violations"))
+                        .agg(F.count(F.lit(1)).alias("__v")))
+        nulls = child.agg(F.count_if(F.col("__ck").isNull()).alias("__v"))
+        return orphans.unionByName(nulls).agg(F.sum("__v").cast("long").alias("violations"))
     if check.kind == "single_current":
         per_key = df.filter(F.col(p["flag"])).groupBy(p["key"]).agg(F.count(F.lit(1)).alias("__c"))
         return per_key.agg(F.count_if(F.col("__c") > 1).cast("long").alias("violations"))
