@@ -12,6 +12,7 @@ versions intact. The event history tables grow in place by appends
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -83,6 +84,16 @@ def _checks(s: _Store, tables: dict[str, DataFrame], stage: str, run_ts: Column,
     r.warnings += dq.gate(results, stage)
 
 
+def _parallel(T: dict, jobs: dict) -> None:
+    """Run independent table writes as concurrent Spark jobs (one driver thread each)."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        futures = {name: pool.submit(fn) for name, fn in jobs.items()}
+    for name, fut in futures.items():
+        out = fut.result()
+        if name is not None:
+            T[name] = out
+
+
 def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "day1",
                   as_of: str = RUN_AS_OF) -> RunResult:
     """One full run for ``snapshot``; raises ``QualityGateError`` at the first failed gate."""
@@ -96,49 +107,56 @@ def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "
     prev_cust = s.read("bronze.customers_raw", M.flat_schema(
         "customer_id bigint, full_name string, email string, city string, segment string, signup_date date, "
         "updated_at timestamp_ntz, snapshot string, _ingested_at timestamp_ntz"))
-    T["bronze.customers_raw"] = s.replace("bronze.customers_raw",
-                                          snapshot_replace(prev_cust, dt.customers_raw(snapshot), "snapshot", snapshot))
-    T["bronze.products_raw"] = s.replace("bronze.products_raw", dt.products_raw(1 if snapshot == "day1" else 2))
-    T["bronze.orders_raw"] = s.replace("bronze.orders_raw", dt.orders_raw())
-    T["bronze.order_events"] = s.replace("bronze.order_events",
-                                         dt.order_events().select(*BRONZE_EVENT_COLUMNS)
-                                         .withColumn("dt", F.to_date("event_time")), partition_by=["dt"])
+    _parallel(T, {
+        "bronze.customers_raw": lambda: s.replace("bronze.customers_raw", snapshot_replace(
+            prev_cust, dt.customers_raw(snapshot), "snapshot", snapshot)),
+        "bronze.products_raw": lambda: s.replace("bronze.products_raw", dt.products_raw(1 if snapshot == "day1" else 2)),
+        "bronze.orders_raw": lambda: s.replace("bronze.orders_raw", dt.orders_raw()),
+        "bronze.order_events": lambda: s.replace("bronze.order_events", dt.order_events().select(*BRONZE_EVENT_COLUMNS)
+                                                 .withColumn("dt", F.to_date("event_time")), partition_by=["dt"]),
+    })
     _checks(s, T, "bronze", run_ts, r)
 
     # silver: MERGE into the previous versions
-    T["silver.customers"] = s.replace("silver.customers", merge_conditional(
-        s.read("silver.customers", M.flat_schema(
-            "customer_id bigint, full_name string, email string, city string, segment string, signup_date date, "
-            "updated_at timestamp_ntz")),
-        M.silver_customers(T["bronze.customers_raw"]), "customer_id", "updated_at"))
-    T["silver.products"] = s.replace("silver.products", merge_upsert(
-        s.read("silver.products", M.flat_schema(
-            "product_id bigint, product_name string, category string, unit_price double")),
-        M.silver_products(T["bronze.products_raw"]), "product_id"))
-    routed = M.route(T["bronze.order_events"].drop("dt"))
-    routed = routed.over(store.materialize(routed.routed, "routed_events", partition_by=["route"]))
-    # Event history grows by appends: insert-only MERGE into day partitions
-    # reads the key column of the touched days and appends new events; the
-    # stored history is never rewritten (same as the streaming sink).
-    rejected = routed.rejected.select(*M.EVENT_COLUMNS, "reject_reason", F.lit(run_ts).alias("rejected_at"))
-    for name, df in (("silver.order_events", routed.accepted.select(*M.EVENT_COLUMNS)),
-                     ("silver.order_events_rejected", rejected)):
-        merge_into_partitions(s.path(name), df.withColumn("dt", F.to_date("event_time")), "event_id", ["dt"],
-                              [], [NotMatched()], check_unique_source=False)
-        T[name] = s.read_table(name).drop("dt")
+    def events() -> None:
+        routed = M.route(T["bronze.order_events"].drop("dt"))
+        routed = routed.over(store.materialize(routed.routed, "routed_events", partition_by=["route"]))
+        # Event history grows by appends: insert-only MERGE into day partitions
+        # reads the key column of the touched days and appends new events; the
+        # stored history is never rewritten (same as the streaming sink).
+        rejected = routed.rejected.select(*M.EVENT_COLUMNS, "reject_reason", F.lit(run_ts).alias("rejected_at"))
+        for name, df in (("silver.order_events", routed.accepted.select(*M.EVENT_COLUMNS)),
+                         ("silver.order_events_rejected", rejected)):
+            merge_into_partitions(s.path(name), df.withColumn("dt", F.to_date("event_time")), "event_id", ["dt"],
+                                  [], [NotMatched()], check_unique_source=False)
+            T[name] = s.read_table(name).drop("dt")
+
+    _parallel(T, {
+        "silver.customers": lambda: s.replace("silver.customers", merge_conditional(
+            s.read("silver.customers", M.flat_schema(
+                "customer_id bigint, full_name string, email string, city string, segment string, "
+                "signup_date date, updated_at timestamp_ntz")),
+            M.silver_customers(T["bronze.customers_raw"]), "customer_id", "updated_at")),
+        "silver.products": lambda: s.replace("silver.products", merge_upsert(
+            s.read("silver.products", M.flat_schema(
+                "product_id bigint, product_name string, category string, unit_price double")),
+            M.silver_products(T["bronze.products_raw"]), "product_id")),
+        None: events,
+    })
     T["silver.orders"] = s.replace("silver.orders", M.silver_orders(
         spark, M.batch_orders(T["bronze.orders_raw"]), T["silver.order_events"],
         previous=s.read("silver.orders", M.ORDERS_SCHEMA)))
     _checks(s, T, "silver", run_ts, r)
 
     # gold
-    prev_dim = s.read("gold.dim_customer", M.DIM_CUSTOMER_SCHEMA)
-    T["gold.dim_customer"] = s.replace("gold.dim_customer", scd2_apply(
-        prev_dim, T["silver.customers"], "customer_id", M.SCD2_TRACKED, M.CUSTOMER_ATTRS, "customer_sk",
-        stage=lambda df: store.materialize(df, "scd2_changes")))
-    T["gold.dim_product"] = s.replace("gold.dim_product", scd1(
-        s.read("gold.dim_product", M.DIM_PRODUCT_SCHEMA), T["silver.products"], "product_id", sk="product_sk"))
-    T["gold.dim_date"] = s.replace("gold.dim_date", dim_date_covering(T["silver.orders"], "order_ts"))
+    _parallel(T, {
+        "gold.dim_customer": lambda: s.replace("gold.dim_customer", scd2_apply(
+            s.read("gold.dim_customer", M.DIM_CUSTOMER_SCHEMA), T["silver.customers"], "customer_id",
+            M.SCD2_TRACKED, M.CUSTOMER_ATTRS, "customer_sk", stage=lambda df: store.materialize(df, "scd2_changes"))),
+        "gold.dim_product": lambda: s.replace("gold.dim_product", scd1(
+            s.read("gold.dim_product", M.DIM_PRODUCT_SCHEMA), T["silver.products"], "product_id", sk="product_sk")),
+        "gold.dim_date": lambda: s.replace("gold.dim_date", dim_date_covering(T["silver.orders"], "order_ts")),
+    })
     # month partitions: a multi-year fact in day folders means thousands of
     # directories to list per read; a month keeps pruning useful and folders few
     T["gold.fact_orders"] = s.replace("gold.fact_orders", fact_orders(
