@@ -148,10 +148,15 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str] | str,
     deletes = [i for i, m in enumerate(matched) if m.delete]
     if deletes:
         keep = keep & ~(F.coalesce(F.col("__m_idx").isin(deletes), F.lit(False)))
+    if check_unique_source and matched:
+        # in the row filter, so no column pruning downstream can drop the check
+        keep = keep & F.when(is_m & (F.col(_SN) > 1),
+                             F.raise_error(F.lit("MERGE: several source rows match one target row"))
+                             ).otherwise(F.lit(True))
     j = j.filter(keep)
 
     out = []
-    for n, name in enumerate(tcols):
+    for name in tcols:
         expr = F.col(_T + name)
         for i in reversed(range(len(matched))):
             m = matched[i]
@@ -168,10 +173,6 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str] | str,
             ins = F.when(F.col("__n_idx") == i, v).otherwise(ins if ins is not None else F.lit(None))
         if ins is not None:
             expr = F.when(is_new, ins).otherwise(expr)
-        if n == 0 and check_unique_source and matched:
-            expr = F.when(is_m & (F.col(_SN) > 1),
-                          F.raise_error(F.lit("MERGE: several source rows match one target row"))
-                          ).otherwise(expr)
         out.append(expr.cast(target.schema[name].dataType).alias(name))
     return j.select(*out)
 

@@ -22,6 +22,8 @@ def test_two_source_rows_for_one_target_row_is_an_error(spark):
     source = spark.createDataFrame([(1, "a", 0), (1, "b", 0)], T)
     with pytest.raises(Exception, match="several source rows"):
         merge_upsert(target, source, "id").collect()
+    with pytest.raises(Exception, match="several source rows"):
+        merge_upsert(target, source, "id").count()          # no output column is read
 
 
 def test_null_keys_never_match(spark):
