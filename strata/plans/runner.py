@@ -95,8 +95,13 @@ def _parallel(T: dict, jobs: dict) -> None:
 
 
 def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "day1",
-                  as_of: str = RUN_AS_OF) -> RunResult:
-    """One full run for ``snapshot``; raises ``QualityGateError`` at the first failed gate."""
+                  as_of: str = RUN_AS_OF, keep_unroutable: bool = False) -> RunResult:
+    """One full run for ``snapshot``; raises ``QualityGateError`` at the first failed gate.
+
+    ``keep_unroutable`` stores on-time events without an ``order_id`` in
+    ``silver.order_events_unroutable`` instead of dropping them (the
+    default keeps the reference behaviour).
+    """
     if snapshot not in SNAPSHOTS:
         raise ValueError(f"unknown snapshot {snapshot!r}, expected one of {SNAPSHOTS}")
     r = RunResult(root, snapshot)
@@ -125,11 +130,16 @@ def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "
         # reads the key column of the touched days and appends new events; the
         # stored history is never rewritten (same as the streaming sink).
         rejected = routed.rejected.select(*M.EVENT_COLUMNS, "reject_reason", F.lit(run_ts).alias("rejected_at"))
-        for name, df in (("silver.order_events", routed.accepted.select(*M.EVENT_COLUMNS)),
-                         ("silver.order_events_rejected", rejected)):
+        outputs = [("silver.order_events", routed.accepted.select(*M.EVENT_COLUMNS)),
+                   ("silver.order_events_rejected", rejected)]
+        if keep_unroutable:
+            outputs.append(("silver.order_events_unroutable", routed.unroutable.select(*M.EVENT_COLUMNS)))
+        for name, df in outputs:
             merge_into_partitions(s.path(name), df.withColumn("dt", F.to_date("event_time")), "event_id", ["dt"],
                                   [], [NotMatched()], check_unique_source=False)
-            T[name] = s.read_table(name).drop("dt")
+            # a table that never received a row has no files yet: empty, typed
+            T[name] = (s.read_table(name).drop("dt") if store.path_exists(spark, s.path(name))
+                       else M.empty(spark, df.schema))
 
     _parallel(T, {
         "silver.customers": lambda: s.replace("silver.customers", merge_conditional(

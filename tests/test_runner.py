@@ -67,3 +67,9 @@ def test_results_do_not_depend_on_shuffle_width(spark, name):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert sorted(map(tuple, a), key=repr) == sorted(map(tuple, b), key=repr)
+
+
+def test_unroutable_events_are_kept_on_request(spark):
+    r = run_medallion(spark, SF, scratch_path(spark, "unroutable"), "day1", keep_unroutable=True)
+    # the driver data has no NULL order ids, so the table exists and is empty
+    assert r.tables["silver.order_events_unroutable"].count() == 0
