@@ -108,9 +108,10 @@ def daily_sales(fact: DataFrame, dim_product: DataFrame,
                 statuses: Sequence[str] = ("completed", "shipped")) -> DataFrame:
     """Mart by ``(date_key, category)``: distinct orders, units, revenue.
 
-    Revenue is summed as DECIMAL(18,2) per line, so it is exact and does not
-    depend on summation order (a double sum differs run to run in the last
-    bits). Unknown products (sk −1) fall into the NULL category.
+    Revenue is summed exactly as DECIMAL(18,2) per line and converted to
+    DOUBLE once, so it does not depend on summation order (a double sum can
+    differ run to run in the last bits) and keeps the reference's type.
+    Unknown products (sk −1) fall into the NULL category.
     """
     f = fact.filter(F.col("status").isin(list(statuses)))
     p = dim_product.select(F.col("product_sk").alias("__p_sk"), "category")
@@ -118,4 +119,4 @@ def daily_sales(fact: DataFrame, dim_product: DataFrame,
     return (j.groupBy("date_key", "category")
              .agg(F.countDistinct("order_id").alias("orders_count"),
                   F.sum("quantity").cast("long").alias("units_sold"),
-                  F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("decimal(38,2)").alias("revenue")))
+                  F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("double").alias("revenue")))

@@ -32,6 +32,7 @@ def con():
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns == ["date_key", "category", "orders_count", "units_sold", "revenue"]
+    assert df.schema["revenue"].dataType.simpleString() == "double"
     assert df.count() > 0
 
 

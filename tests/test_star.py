@@ -37,8 +37,7 @@ def test_unknown_member_and_mart(spark):
         ("c", 20240101, 10, 5, 1.0, "cancelled"), ("d", 20240101, 10, 1, 0.2, "shipped"),
     ], "order_id string, date_key int, product_sk bigint, quantity int, total_amount double, status string")
     got = rows(daily_sales(f, dimp), "date_key", "category", "orders_count", "units_sold", "revenue")
-    assert {(r[0], r[1], r[2], r[3], str(r[4])) for r in got} == \
-        {(20240101, None, 1, 1, "0.20"), (20240101, "toys", 2, 3, "10.30")}
+    assert set(got) == {(20240101, None, 1, 1, 0.2), (20240101, "toys", 2, 3, 10.3)}
 
 
 def test_asof_equals_literal_all_versions_pick(spark):
