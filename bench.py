@@ -23,7 +23,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
     only = set(sys.argv[1:])
-    spark = get_spark("strata-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2)
+    spark = get_spark("strata-bench", master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
+                      driver_memory=os.environ.get("BENCH_DRIVER_MEMORY", "4g"))
     spark.sparkContext.setLogLevel("ERROR")
     # warm-up: JVM, parquet footers, codegen caches
     spark.read.parquet(f"{sf_dir}/lineitem.parquet").write.format("noop").mode("overwrite").save()

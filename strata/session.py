@@ -52,7 +52,8 @@ def apply_policy(spark: SparkSession) -> SparkSession:
 
 
 def get_spark(app_name: str = "strata", master: str | None = None,
-              shuffle_partitions: int | None = None, cluster: bool = False) -> SparkSession:
+              shuffle_partitions: int | None = None, cluster: bool = False,
+              driver_memory: str | None = None) -> SparkSession:
     """Session with UTC time, AQE (coalescing + skew-join splitting) and no UI.
 
     ANSI mode stays on: raw input is cast with ``try_cast`` by the operators.
@@ -69,6 +70,8 @@ def get_spark(app_name: str = "strata", master: str | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true"))
+    if driver_memory:  # local mode: the driver JVM is the executor (takes effect at JVM start)
+        b = b.config("spark.driver.memory", driver_memory)
     if cluster:
         for k, v in CLUSTER_CONF.items():
             b = b.config(k, v)
