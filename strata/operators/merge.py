@@ -179,9 +179,9 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str] | str,
 
 # Shapes used by the medallion flow -------------------------------------------------------
 
-def merge_upsert(target: DataFrame, source: DataFrame, on) -> DataFrame:
+def merge_upsert(target: DataFrame, source: DataFrame, on, check_unique_source: bool = True) -> DataFrame:
     """MATCHED → UPDATE SET *; NOT MATCHED → INSERT *."""
-    return merge(target, source, on, [Matched()], [NotMatched()])
+    return merge(target, source, on, [Matched()], [NotMatched()], check_unique_source=check_unique_source)
 
 
 def merge_conditional(target: DataFrame, source: DataFrame, on, newer_col: str) -> DataFrame:
@@ -190,10 +190,12 @@ def merge_conditional(target: DataFrame, source: DataFrame, on, newer_col: str)
                  [Matched(cond=lambda t, s: s[newer_col] >= t[newer_col])], [NotMatched()])
 
 
-def merge_guarded(target: DataFrame, source: DataFrame, on, owner_col: str, owner: str) -> DataFrame:
+def merge_guarded(target: DataFrame, source: DataFrame, on, owner_col: str, owner: str,
+                  check_unique_source: bool = True) -> DataFrame:
     """Update only target rows owned by ``owner`` (``t.owner_col = owner``); insert new keys."""
     return merge(target, source, on,
-                 [Matched(cond=lambda t, s: t[owner_col] == F.lit(owner))], [NotMatched()])
+                 [Matched(cond=lambda t, s: t[owner_col] == F.lit(owner))], [NotMatched()],
+                 check_unique_source=check_unique_source)
 
 
 def merge_insert_only(target: DataFrame, source: DataFrame, on) -> DataFrame:
