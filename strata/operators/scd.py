@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import any_of, differs, typed_null
 from strata.operators.keys import assign_surrogate_keys, max_key
 from strata.operators.merge import Matched, merge, merge_upsert
+from strata.sinks.store import empty_table
 
 
 def scd1(dim: DataFrame, source: DataFrame, key: str, sk: str | None = None) -> DataFrame:
@@ -93,8 +94,7 @@ def scd2_apply(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[st
 
 def empty_dim(spark, schema) -> DataFrame:
     """A typed empty dimension (first run) the optimizer can fold away."""
-    return (spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-                 .filter(F.lit(False)))
+    return empty_table(spark, schema)
 
 
 __all__ = ["empty_dim", "scd1", "scd2_apply", "scd2_changes", "scd2_close", "scd2_open"]

@@ -20,7 +20,7 @@ from strata.operators import quality as dq
 from strata.operators.keyed import latest_by
 from strata.operators.late import ROUTE, Routed, route_events, stream_orders
 from strata.operators.merge import merge_guarded, merge_upsert
-from strata.operators.scd import empty_dim, scd1, scd2_apply
+from strata.operators.scd import scd1, scd2_apply
 from strata.operators.star import daily_sales, fact_orders
 from strata.sinks import store
 from strata.sources.calendar import dim_date_covering
@@ -96,13 +96,8 @@ def route(order_events: DataFrame) -> Routed:
 
 
 def empty(spark: SparkSession, schema: StructType) -> DataFrame:
-    """A typed empty table the optimizer can see through (empty-relation propagation).
-
-    ``createDataFrame([])`` is an opaque RDD scan; a ``WHERE false`` over a
-    one-row projection folds to an empty local relation, so a first run's
-    MERGE into an empty target plans no join at all.
-    """
-    return empty_dim(spark, schema)
+    """A typed empty table the optimizer can see through (``store.empty_table``)."""
+    return store.empty_table(spark, schema)
 
 
 def silver_orders(spark: SparkSession, batch: DataFrame, accepted: DataFrame,

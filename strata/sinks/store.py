@@ -35,6 +35,17 @@ def with_day(df: DataFrame, ts_col: str, out: str = "dt") -> DataFrame:
     return df.withColumn(out, F.to_date(F.col(ts_col)))
 
 
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """A typed empty table the optimizer can see through.
+
+    ``createDataFrame([])`` is an opaque RDD scan; a ``WHERE false`` over a
+    one-row projection folds to an empty local relation, so e.g. a first
+    run's MERGE into a missing target plans no join at all.
+    """
+    return (spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+                 .filter(F.lit(False)))
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -79,7 +90,7 @@ def read_latest(spark: SparkSession, base: str, schema: StructType | None = None
     if not vs:
         if schema is None:
             raise FileNotFoundError(base)
-        return spark.createDataFrame([], schema)
+        return empty_table(spark, schema)
     return spark.read.parquet(f"{base.rstrip('/')}/{_VERSION}{vs[-1]}")
 
 
