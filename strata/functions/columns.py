@@ -135,5 +135,12 @@ def null_key_salt(keys: Sequence[str], cols: Sequence[str]) -> Column:
     non-NULL keys unchanged (both salts 0), while NULL keys still never match
     (``NULL = x`` is not true) but now hash to many partitions instead of
     one. Deterministic, so a retried task partitions its rows identically.
+
+    The 0 is written as ``xxhash64(keys) & 0``: a literal 0 (or ``x * 0``,
+    which Catalyst simplifies when ``x`` cannot be NULL) would be
+    constant-folded, and the optimizer would then demote the salt equality to
+    a residual filter, leaving the join keyed, and partitioned, by the key
+    alone. ``tests/test_skew.py`` checks the salt stays a join key.
     """
-    return F.when(any_null(list(keys)), F.xxhash64(*[F.col(c) for c in cols])).otherwise(F.lit(0).cast("long"))
+    zero = F.xxhash64(*[F.col(k) for k in keys]).bitwiseAND(F.lit(0).cast("long"))
+    return F.when(any_null(list(keys)), F.xxhash64(*[F.col(c) for c in cols])).otherwise(zero)

@@ -83,7 +83,8 @@ def unknown_member(fact: DataFrame, dim: DataFrame, key: str, sk: str,
                    default: int = UNKNOWN_SK, fact_key: str | None = None) -> DataFrame:
     """Left join to a dimension unique on ``key``; no match → ``sk = default``."""
     fk = fact_key or key
-    d = dim.select(F.col(key).alias("__u_key"), F.col(sk).alias("__u_sk"), F.lit(0).cast("long").alias("__u_salt"))
+    d = dim.select(F.col(key).alias("__u_key"), F.col(sk).alias("__u_sk"))
+    d = d.withColumn("__u_salt", null_key_salt(["__u_key"], ["__u_key"]))
     # NULL keys cannot match; the salt spreads them instead of piling them into one task
     f = fact.withColumn("__f_salt", null_key_salt([fk], fact.columns))
     j = f.join(d, (F.col(fk) == F.col("__u_key")) & (F.col("__f_salt") == F.col("__u_salt")), "left")

@@ -1,5 +1,7 @@
 """A key holding a third of the rows is split by AQE, not processed by one task."""
 
+import re
+
 from datetime import datetime, timedelta
 
 from strata.operators.star import asof_lookup
@@ -63,3 +65,24 @@ def test_hot_product_is_split_in_unknown_member_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_null_keys_are_spread_by_a_real_join_key(spark):
+    """The NULL-key salt must stay an equi-join key (not folded into a filter)."""
+    from strata.operators.merge import merge_upsert
+    from strata.operators.star import unknown_member
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        dim = spark.range(10).selectExpr("id AS product_sk", "id AS product_id")
+        fact = spark.range(100).selectExpr("id AS order_id", "CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS product_id")
+        def plan_of(df):
+            return re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())
+        plan = plan_of(unknown_member(fact, dim, "product_id", "product_sk"))
+        assert "SortMergeJoin [product_id, __f_salt], [__u_key, __u_salt], LeftOuter" in plan, plan
+        t = spark.range(100).selectExpr("CASE WHEN id % 3 = 0 THEN NULL ELSE id END AS k", "id AS v")
+        s = spark.range(50).selectExpr("CASE WHEN id % 5 = 0 THEN NULL ELSE id END AS k", "id AS v")
+        plan = plan_of(merge_upsert(t, s, "k"))
+        assert "SortMergeJoin [__t_k, __t_salt], [__s_k, __s_salt], FullOuter" in plan, plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
