@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.functions.columns import any_of, differs, typed_null
+from strata.functions.columns import any_of, differs, null_key_salt, typed_null
 from strata.operators.keys import assign_surrogate_keys, max_key
 from strata.operators.merge import Matched, merge, merge_upsert
 from strata.sinks.store import empty_table
@@ -38,7 +38,10 @@ def scd2_changes(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[
     """
     cur = (dim.filter(F.col(current_flag))
               .select(F.col(key).alias("__d_key"), *[F.col(c).alias("__d_" + c) for c in tracked]))
-    j = source.join(cur, source[key] == cur["__d_key"], "left")
+    cur = cur.withColumn("__d_salt", null_key_salt(["__d_key"], ["__d_key"]))
+    # NULL source keys cannot match; the salt spreads them over the join
+    src = source.withColumn("__s_salt", null_key_salt([key], source.columns))
+    j = src.join(cur, (src[key] == cur["__d_key"]) & (src["__s_salt"] == cur["__d_salt"]), "left")
     changed = F.col("__d_key").isNull() | F.coalesce(
         any_of(differs(F.col("__d_" + c), F.col(c), null_safe) for c in tracked), F.lit(False))
     return j.filter(changed).select(*source.columns)
