@@ -19,7 +19,7 @@ from strata.operators import expectations as ex
 from strata.operators import quality as dq
 from strata.operators.keyed import latest_by
 from strata.operators.late import ROUTE, Routed, route_events, stream_orders
-from strata.operators.merge import merge_guarded, merge_upsert
+from strata.operators.merge import Matched, NotMatched, merge
 from strata.operators.scd import scd1, scd2_apply
 from strata.operators.star import daily_sales, fact_orders
 from strata.sinks import store
@@ -102,14 +102,23 @@ def empty(spark: SparkSession, schema: StructType) -> DataFrame:
 
 def silver_orders(spark: SparkSession, batch: DataFrame, accepted: DataFrame,
                   previous: DataFrame | None = None) -> DataFrame:
-    """Batch orders (never overwriting stream-owned ones), then the stream upsert."""
+    """Batch orders (never overwriting stream-owned ones), then the stream upsert — as ONE MERGE.
+
+    Applying the guarded batch MERGE and then the unconditional stream
+    upsert equals a single MERGE whose source is every stream order plus the
+    batch orders the stream does not carry, with ``WHEN MATCHED AND
+    (s.source = 'stream' OR t.source = 'batch') THEN UPDATE``. The target,
+    the largest input, is joined (and shuffled) once instead of twice. Both
+    inputs are unique per order_id by construction (``latest_by``, a
+    ``groupBy``) and disjoint after the anti join, so the duplicate-source
+    check is skipped.
+    """
     target = previous if previous is not None else empty(spark, ORDERS_SCHEMA)
-    # both sources are unique per order_id by construction (latest_by and a
-    # groupBy), so the duplicate-source check would only add work
-    after_batch = merge_guarded(target, batch.select(*ORDER_COLUMNS), "order_id", "source", "batch",
-                                check_unique_source=False)
-    return merge_upsert(after_batch, stream_orders(accepted).select(*ORDER_COLUMNS), "order_id",
-                        check_unique_source=False)
+    stream = stream_orders(accepted).select(*ORDER_COLUMNS)
+    batch_only = batch.select(*ORDER_COLUMNS).join(stream.select("order_id"), "order_id", "left_anti")
+    wins = lambda t, s: (s["source"] == F.lit("stream")) | (t["source"] == F.lit("batch"))
+    return merge(target, batch_only.unionByName(stream), "order_id", [Matched(cond=wins)], [NotMatched()],
+                 check_unique_source=False)
 
 
 # -- gold builders --------------------------------------------------------------------------

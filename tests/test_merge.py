@@ -61,3 +61,37 @@ def test_star_needs_every_target_column_in_source(spark):
     source = spark.createDataFrame([(1, "x")], "id int, v string")
     with pytest.raises(MergeError):
         merge_upsert(target, source, "id")
+
+
+def test_single_merge_silver_orders_equals_two_step(spark):
+    from datetime import datetime
+
+    from strata.operators.late import stream_orders
+    from strata.plans import medallion as M
+    t0 = datetime(2024, 1, 1)
+    O = M.ORDERS_SCHEMA
+    target = spark.createDataFrame([
+        ("k1", 1, 1, 1, 1.0, 1.0, "paid", t0, "batch", t0),
+        ("k2", 1, 1, 1, 1.0, 1.0, "paid", t0, "stream", t0),     # stream-owned: batch must not overwrite
+        ("k3", 1, 1, 1, 1.0, 1.0, "paid", t0, "batch", t0),
+        ("k6", 1, 1, 1, 1.0, 1.0, "paid", t0, "stream", t0),     # stream-owned, stream updates it
+    ], O)
+    batch = spark.createDataFrame([
+        ("k1", 2, 2, 2, 2.0, 4.0, "shipped", t0, "batch", t0),
+        ("k2", 2, 2, 2, 2.0, 4.0, "shipped", t0, "batch", t0),
+        ("k4", 2, 2, 2, 2.0, 4.0, "shipped", t0, "batch", t0),
+        ("k5", 2, 2, 2, 2.0, 4.0, "shipped", t0, "batch", t0),   # also in the stream: stream wins
+    ], O)
+    E = ("event_id string, order_id string, customer_id bigint, product_id bigint, quantity int, "
+         "unit_price double, status string, event_time timestamp_ntz, _ingested_at timestamp_ntz")
+    accepted = spark.createDataFrame([
+        ("e1", "k5", 3, 3, 3, 1.5, "completed", t0, t0),
+        ("e2", "k6", 3, 3, 3, 1.5, "cancelled", t0, t0),
+        ("e3", "k7", 3, 3, 3, 1.5, "created", t0, t0),
+    ], E)
+    one = M.silver_orders(spark, batch, accepted, previous=target)
+    two = merge_upsert(merge_guarded(target, batch, "order_id", "source", "batch"),
+                       stream_orders(accepted).select(*M.ORDER_COLUMNS), "order_id")
+    assert one.count() == 7
+    assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
+    assert rows(one.filter("order_id = 'k2'"), "status", "source") == [("paid", "stream")]
