@@ -53,3 +53,18 @@ def test_register_views_for_sql(spark):
     names = register_views({"silver.t": spark.range(3)})
     assert names == ["silver_t"]
     assert spark.sql("SELECT count(*) AS n FROM silver_t").collect()[0].n == 3
+
+
+def test_calendar_covers_the_data_span(spark):
+    from strata.sources.calendar import dim_date_covering
+    df = spark.createDataFrame([(ts("2024-02-27 10:00:00"),), (ts("2024-03-02 01:00:00"),), (None,)],
+                               "order_ts timestamp_ntz")
+    cal = dim_date_covering(df, "order_ts")
+    assert [r.date_key for r in cal.orderBy("full_date").collect()] == [20240227, 20240228, 20240229, 20240301, 20240302]
+
+
+def test_layer_profile_counts_every_table(spark):
+    from strata.operators.profile import layer_profile, preview
+    out = layer_profile({"silver.a": spark.range(3), "gold.b": spark.range(0)})
+    assert rows(out) == [("gold", "b", 0), ("silver", "a", 3)]
+    assert preview(spark.range(100), 5).count() == 5
