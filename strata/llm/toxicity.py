@@ -1,8 +1,8 @@
 """Toxicity by a support vector machine with a gap-weighted subsequence kernel.
 
 A word's features are its character triples in order, gaps allowed: a triple
-that spans s characters weighs ``DECAY ** s``. Two words' kernel is the cosine
-of their features, squared; a phrase (a few neighbouring words) sums over its
+that spans s characters weighs ``DECAY ** s``. Two words' kernel is the product of
+their features, scaled by the norm that words of their lengths have, cubed; a phrase (a few neighbouring words) sums over its
 words. Nyström: the kernel is taken against a set of landmark words only and
 whitened by the landmarks' own kernel matrix, so a phrase's score is a sum over
 its words. Inserted or doubled characters only widen the spans, so a disguised
@@ -25,25 +25,31 @@ from strata.llm.common import blocks
 
 DECAY = 0.6
 SPAN = 6               # widest triple
-PHRASE = 8             # words of a phrase at most
+PHRASE = 4             # words of a phrase at most
 PIECE = 24             # longer words are scored by overlapping pieces of this length
 SAMPLE_DOCS = 800      # most labelled documents of each class that the machine is trained on
 SAMPLE_BYTES = 32768   # longer documents are not taken into that sample
-LANDMARKS = 96         # of each kind: words of toxic documents, words of clean ones
+COST = 10.0
+POWER = 3
+LANDMARKS = 64         # of each kind: words of toxic documents, words of clean ones
 
-_END = re.compile(r"[.!?]+(?=\s|$)|\n+")
-_DROP = re.compile(r"[\W_]+")
+_END = re.compile(r"[.!?]+(?=\s|$)")
+_DROP = re.compile(r"[^\w\s]+|_+")
 _SPELT = re.compile(r"(?<!\S)(?:\S[ \t]+){2,}\S(?!\S)")
 
 
 def phrases(text: str) -> list[list[str]]:
-    """Lower-cased words without punctuation, in phrases of at most ``PHRASE`` words.
-    Letters spelt out with blanks between them are one word."""
+    """Lower-cased different words without punctuation, of at most ``PHRASE`` words of a
+    sentence. Letters spelt out with blanks between them are one word."""
     text = _SPELT.sub(lambda m: re.sub(r"[ \t]+", "", m[0]), text.lower())
     out = []
-    for sentence in _END.split(text):
-        words = [w for w in (_DROP.sub("", t) for t in sentence.split()) if w]
-        out.extend(words[i:i + PHRASE] for i in range(0, len(words), PHRASE))
+    for sentence in _DROP.sub("", _END.sub("\n", text)).split("\n"):
+        words = sentence.split()
+        if len(words) <= PHRASE:
+            if words:
+                out.append(list(dict.fromkeys(words)))
+        else:
+            out.extend(list(dict.fromkeys(words[i:i + PHRASE])) for i in range(0, len(words), PHRASE))
     return out
 
 
@@ -53,66 +59,57 @@ def _triples(width: int) -> tuple[np.ndarray, np.ndarray]:
     return t, DECAY ** (t[:, 2] - t[:, 0] + 1.0) if len(t) else np.zeros(0)
 
 
-def _features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """By padded length: (which words, triple codes, weights); one start and end mark pad each word."""
+def _features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """By length: (which words, code points with a start and an end mark, triples, weights scaled by the length's norm)."""
     groups: dict[int, list[int]] = {}
     for i, w in enumerate(words):
         groups.setdefault(len(w) + 2, []).append(i)
     for width, which in groups.items():
         t, weight = _triples(width)
-        for a in range(0, len(which), 8192):
-            part = which[a:a + 8192]
+        weight = weight / np.sqrt((weight ** 2).sum())
+        for a in range(0, len(which), 4096):
+            part = which[a:a + 4096]
             text = "".join([f"\x02{words[i]}\x03" for i in part])
-            chars = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(part), width).astype(np.uint64)
-            code = (chars[:, t[:, 0]] << np.uint64(42)) | (chars[:, t[:, 1]] << np.uint64(21)) | chars[:, t[:, 2]]
-            yield np.array(part), code, weight
+            yield np.array(part), np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(part), width), t, weight
 
 
-@dataclass
 class Kernel:
-    """Squared cosine kernel of words against fixed landmarks."""
+    """Cubed scaled kernel of words against fixed landmarks.
 
-    codes: np.ndarray    # sorted triples that any landmark has
-    table: np.ndarray    # (codes, landmarks): normalised weights
+    Characters that no landmark has count as one; ``row`` finds a triple's row of ``table`` (row 0: no landmark has it).
+    """
 
-    @classmethod
-    def of(cls, landmarks: list[str]) -> Kernel:
+    def __init__(self, landmarks: list[str]):
+        letters = sorted({ord(c) for w in landmarks for c in w} | {2, 3})
+        self.letter = np.zeros(0x110000, np.int64)
+        self.letter[letters] = np.arange(1, len(letters) + 1)
+        self.base = len(letters) + 1
         cells: dict[int, dict[int, float]] = {}
-        for i, w in enumerate(landmarks):
-            for _, code, weight in _features([w]):
-                for c, x in zip(code[0].tolist(), weight.tolist()):
-                    row = cells.setdefault(c, {})
-                    row[i] = row.get(i, 0.0) + x
-        codes = np.array(sorted(cells), np.uint64)
-        table = np.zeros((len(codes), len(landmarks)), np.float32)
-        for r, c in enumerate(codes.tolist()):
-            for i, x in cells[c].items():
-                table[r, i] = x
-        norm = np.sqrt((table ** 2).sum(axis=0))
-        return cls(codes, table / np.where(norm > 0, norm, 1))
+        for which, chars, t, weight in _features(landmarks):
+            for i, codes in zip(which.tolist(), self._codes(chars, t).tolist()):
+                for c, x in zip(codes, weight.tolist()):
+                    line = cells.setdefault(c, {})
+                    line[i] = line.get(i, 0.0) + x
+        self.row = np.zeros(self.base ** 3, np.int32)
+        self.table = np.zeros((len(cells) + 1, len(landmarks)), np.float32)
+        for r, (c, line) in enumerate(sorted(cells.items()), 1):
+            self.row[c] = r
+            self.table[r, list(line)] = list(line.values())
+
+    def _codes(self, chars: np.ndarray, t: np.ndarray) -> np.ndarray:
+        x = self.letter[chars]
+        return (x[:, t[:, 0]] * self.base + x[:, t[:, 1]]) * self.base + x[:, t[:, 2]]
 
     def __call__(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), self.table.shape[1]), np.float32)
-        for which, code, weight in _features(words):
-            n, m = code.shape
-            if not m:
-                continue
-            # a word's own norm: equal triples add up before squaring
-            by = np.argsort(code, axis=1)
-            c, x = np.take_along_axis(code, by, 1), weight[by]
-            new = np.ones((n, m), bool)
-            new[:, 1:] = c[:, 1:] != c[:, :-1]
-            x = np.add.reduceat(x.ravel(), np.flatnonzero(new.ravel()))
-            c = c[new]
-            row = np.repeat(np.arange(n), new.sum(axis=1))
-            norm = np.sqrt(np.bincount(row, x * x, n))
-            at = np.minimum(np.searchsorted(self.codes, c), max(len(self.codes) - 1, 0))
-            hit = self.codes[at] == c if len(self.codes) else np.zeros(len(c), bool)
-            row, at, x = row[hit], at[hit], (x[hit] / norm[row[hit]]).astype(np.float32)
-            if len(row):
-                first = np.flatnonzero(np.r_[True, row[1:] != row[:-1]])
-                out[which[row[first]]] = np.add.reduceat(self.table[at] * x[:, None], first, axis=0)
-        return out ** 2
+        for which, chars, t, weight in _features(words):
+            rows = self.row[self._codes(chars, t)]
+            word, col = np.nonzero(rows)
+            if len(word):
+                first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+                values = self.table[rows[word, col]] * weight[col].astype(np.float32)[:, None]
+                out[which[word[first]]] = np.add.reduceat(values, first, axis=0)
+        return out ** POWER
 
 
 def pieces(word: str) -> list[str]:
@@ -217,7 +214,7 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Mod
     if not any(bad) or not any(good):
         return None
     marks, odds = _landmarks(bad, good, landmarks)
-    kernel = Kernel.of(marks)
+    kernel = Kernel(marks)
     words = sorted({p for d in [*bad, *good] for ph in d for w in ph for p in pieces(w)})
     number = {w: i for i, w in enumerate(words)}
     k_words = np.concatenate([kernel(words[i:i + 20_000]) for i in range(0, len(words), 20_000)])
@@ -242,7 +239,7 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Mod
     for _ in range(4):
         xp = xb[positive]
         x, y = np.r_[xp, xg], np.r_[np.ones(len(xp)), -np.ones(len(xg))]
-        c = np.r_[np.full(len(xp), 4.0), np.full(len(xg), 4.0 * max(0.05, len(xp) / max(len(xg), 1)))]
+        c = np.r_[np.full(len(xp), COST), np.full(len(xg), COST)]
         w, b = _svm(x, y, c)
         margin = xb @ w + b
         top = np.full(len(bad), -np.inf)
