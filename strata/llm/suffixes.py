@@ -168,8 +168,8 @@ def deep_shallow(rows: np.ndarray, length: np.ndarray, shallow: int = SHALLOW) -
 
 def _prefixes(rows: np.ndarray, length: np.ndarray, order: np.ndarray) -> np.ndarray:
     out = np.zeros(len(order), np.int64)
-    for a in range(1, len(order), 100_000):
-        z = min(len(order), a + 100_000)
+    for a in range(1, len(order), 16384):
+        z = min(len(order), a + 16384)
         x, y = order[a - 1:z - 1], order[a:z]
         differ = rows[x] != rows[y]
         common = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
@@ -179,9 +179,13 @@ def _prefixes(rows: np.ndarray, length: np.ndarray, order: np.ndarray) -> np.nda
 
 def _padded(buf: np.ndarray, start: np.ndarray, length: np.ndarray, step: int) -> np.ndarray:
     width = max(8, -(-int(length.max(initial=0)) // 8) * 8)
+    out = np.zeros((len(start), width), np.uint8)
     col = np.arange(width)
-    at = np.clip(start[:, None] + step * col, 0, max(len(buf) - 1, 0))
-    return np.where(col < length[:, None], buf[at] if len(buf) else 0, 0).astype(np.uint8)
+    for a in range(0, len(start) if len(buf) else 0, 16384):
+        z = a + 16384
+        at = np.clip(start[a:z, None] + step * col, 0, len(buf) - 1)
+        out[a:z] = np.where(col < length[a:z, None], buf[at], 0)
+    return out
 
 
 def later_windows(buf: np.ndarray, start: np.ndarray, left: np.ndarray, right: np.ndarray, least: np.ndarray,
@@ -257,8 +261,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
     if not 0 < gram <= window:
         raise ValueError("gram must be from 1 to window")
     base, total = ex.chunked(spark, docs, id_col, text_col, "suffixes", chunk_bytes)
-    # anchors are about two in (window - gram + 2) bytes; buckets of 8 MB of text each
-    buckets = max(32, -(-total // (8 << 20)))
+    # hashes of 8 MB of text in a bucket; of the contexts, which take more memory, those of 1 MB
+    buckets, groups = (max(32, -(-total // size)) for size in (8 << 20, 1 << 20))
 
     def setup(table: pa.Table):
         rids, ids, buf, off = ex.load(table)
@@ -275,14 +279,14 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
         rids, ids, a, index, h, _ = setup(table)
         at, first = a.contexts(ex.answered(answers, 1, (h,), buckets)[index], window)
         at = at[first]          # the chunk itself knows that the others are later
-        bucket = ex.bucket_of(a.hash[at], buckets)
+        bucket = ex.bucket_of(a.hash[at], groups)
         null = np.asarray(ids.is_null())
         number = np.asarray(ids.fill_null(0))
         head = np.zeros(len(at), _HEAD)
         head["ctx"], head["left"], head["right"] = np.arange(len(at)), a.place[at] - a.low[at], a.high[at] + window - a.place[at]
         head["least"] = a.place[at] - a.high[at]
         head["null"], head["id"], head["rid"], head["at"] = null[a.doc[at]], number[a.doc[at]], rids[a.doc[at]], a.place[at] - a.off[a.doc[at]]
-        cut = np.searchsorted(bucket, np.arange(buckets + 1))      # contexts come in hash order
+        cut = np.searchsorted(bucket, np.arange(groups + 1))       # contexts come in hash order
         raw = a.buf.tobytes()
         full = np.flatnonzero(cut[1:] > cut[:-1])
         low, end = a.low[at].tolist(), (a.high[at] + window).tolist()
