@@ -186,17 +186,22 @@ def _landmarks(toxic: list[list[list[str]]], clean: list[list[list[str]]], n: in
     return list(dict.fromkeys([*bad, *good])), odds
 
 
-def _svm(x: np.ndarray, y: np.ndarray, c: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Linear machine with squared hinge loss by Newton steps on the active rows."""
-    x1 = np.c_[x, np.ones(len(x), np.float32)]
-    w = np.zeros(x1.shape[1])
-    reg = np.eye(len(w))
+def _svm(x: np.ndarray, y: np.ndarray, rounds: int = 30, rows: int = 8192) -> tuple[np.ndarray, float]:
+    """Linear machine with squared hinge loss by Newton steps on the active rows; rows with y = 0 are left out."""
+    n, m = x.shape
+    w = np.zeros(m + 1)
+    reg = np.eye(m + 1)
     reg[-1, -1] = 1e-3
     for _ in range(rounds):
-        active = y * (x1 @ w) < 1
-        a = x1[active]
-        new = np.linalg.solve(reg + 2 * (a * c[active, None]).T @ a, 2 * a.T @ (c[active] * y[active]))
-        if np.allclose(new, w, atol=1e-9):
+        gram, right = reg.copy(), np.zeros(m + 1)
+        for a in range(0, n, rows):
+            t = y[a:a + rows]
+            active = (t != 0) & (t * (x[a:a + rows] @ w[:-1] + w[-1]) < 1)
+            block = np.c_[x[a:a + rows][active], np.ones(active.sum())]
+            gram += 2 * COST * block.T @ block
+            right += 2 * COST * block.T @ t[active]
+        new = np.linalg.solve(gram, right)
+        if np.allclose(new, w, atol=1e-7):
             break
         w = new
     return w[:-1], float(w[-1])
@@ -215,45 +220,40 @@ def train(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS) -> Mod
         return None
     marks, odds = _landmarks(bad, good, landmarks)
     kernel = Kernel(marks)
-    words = sorted({p for d in [*bad, *good] for ph in d for w in ph for p in pieces(w)})
-    number = {w: i for i, w in enumerate(words)}
-    k_words = np.concatenate([kernel(words[i:i + 20_000]) for i in range(0, len(words), 20_000)])
-
     # whitening of the landmarks' kernel
     value, vector = np.linalg.eigh(kernel(marks).astype(float))
     keep = value > 1e-4 * value.max()
-    white = vector[:, keep] / np.sqrt(value[keep])
-
-    def rows(docs):
-        flat = [ph for d in docs for ph in d]
-        x = np.array([k_words[[number[p] for w in ph for p in pieces(w)]].sum(axis=0) for ph in flat]) @ white.astype(np.float32)
-        return x, np.repeat(np.arange(len(docs)), [len(d) for d in docs]), flat
-
-    xb, owner, flat = rows(bad)
-    xg, owner_g, _ = rows(good)
-    strong = np.array([max((odds.get(p, -9.0) for w in ph for p in pieces(w)), default=-9.0) for ph in flat])
-    top = np.full(len(bad), -np.inf)
-    np.maximum.at(top, owner, strong)
-    positive = (strong >= top[owner] - 1e-9) & (strong > 0)
-    w, b = None, 0.0
+    white = (vector[:, keep] / np.sqrt(value[keep])).astype(np.float32)
+
+    docs = [*bad, *good]
+    words = sorted({p for d in docs for ph in d for w in ph for p in pieces(w)})
+    number = {w: i for i, w in enumerate(words)}
+    parts = np.concatenate([kernel(words[i:i + 10_000]) @ white for i in range(0, len(words), 10_000)])
+
+    # a phrase is the sum of its words
+    flat = [np.array([number[p] for w in ph for p in pieces(w)]) for d in docs for ph in d]
+    owner = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    x = np.empty((len(flat), parts.shape[1]), np.float32)
+    for a in range(0, len(flat), 8192):
+        block = flat[a:a + 8192]
+        x[a:a + 8192] = np.add.reduceat(parts[np.concatenate(block)], np.cumsum([0] + [len(p) for p in block])[:-1], axis=0)
+    toxic_row = owner < len(bad)
+
+    word_odds = np.array([odds.get(w, -9.0) for w in words])
+    strength = np.array([word_odds[p].max() for p in flat])
+    worst = np.full(len(docs), -np.inf)
+    np.maximum.at(worst, owner, strength)
+    positive = toxic_row & (strength >= worst[owner] - 1e-9) & (strength > 0)
     for _ in range(4):
-        xp = xb[positive]
-        x, y = np.r_[xp, xg], np.r_[np.ones(len(xp)), -np.ones(len(xg))]
-        c = np.r_[np.full(len(xp), COST), np.full(len(xg), COST)]
-        w, b = _svm(x, y, c)
-        margin = xb @ w + b
-        top = np.full(len(bad), -np.inf)
-        np.maximum.at(top, owner, margin)
-        new = (margin > 0) | (margin >= top[owner])
+        w, b = _svm(x, np.where(positive, 1.0, np.where(toxic_row, 0.0, -1.0)))
+        margin = x @ w.astype(np.float32) + b
+        worst = np.full(len(docs), b)
+        np.maximum.at(worst, owner, margin)
+        new = toxic_row & ((margin > 0) | (margin >= worst[owner]))
         if (new == positive).all():
             break
         positive = new
-    worst = []
-    for x, own, n in ((xb, owner, len(bad)), (xg, owner_g, len(good))):
-        m = np.full(n, b)
-        np.maximum.at(m, own, x @ w + b)
-        worst.append(m)
-    slope, offset = _platt(np.concatenate(worst), np.r_[np.ones(len(bad)), np.zeros(len(good))])
+    slope, offset = _platt(worst, np.r_[np.ones(len(bad)), np.zeros(len(good))])
     return Model(kernel, (white @ w).astype(np.float32), b, slope, offset)
 
 
