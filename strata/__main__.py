@@ -19,7 +19,7 @@ def _run(a) -> int:
     from strata.plans.runner import run_medallion
     spark = get_spark("strata-run", master=a.master, cluster=a.cluster)
     try:
-        r = run_medallion(spark, a.sf_dir, a.root, a.snapshot)
+        r = run_medallion(spark, a.sf_dir, a.root, a.snapshot, a.as_of)
     except QualityGateError as e:
         print(e, file=sys.stderr)
         return 2
@@ -46,7 +46,7 @@ def _show(a) -> int:
     from strata.sinks.store import path_exists, read_latest
     spark = get_spark("strata-show", master=a.master, cluster=a.cluster)
     tables = {}
-    for layer, names in Layers.NAMES.items():
+    for layer, names in {**Layers.NAMES, "audit": ["dq_results", "ge_results"]}.items():
         if a.layer not in ("all", layer):
             continue
         for t in names:
@@ -76,6 +76,7 @@ def main(argv=None) -> int:
     r.add_argument("--sf-dir", required=True)
     r.add_argument("--root", required=True, help="table folder in shared storage")
     r.add_argument("--snapshot", default="day1", choices=["day1", "day2"])
+    r.add_argument("--as-of", help="run clock as a UTC timestamp (default: now)")
     s = sub.add_parser("stream")
     s.add_argument("--landing", help="folder of (value, partition, offset) parquet records")
     s.add_argument("--kafka", help="bootstrap servers; reads --topic instead of --landing")
@@ -86,7 +87,7 @@ def main(argv=None) -> int:
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
     sh = sub.add_parser("show")
     sh.add_argument("--root", required=True)
-    sh.add_argument("--layer", default="all", choices=["all", "bronze", "silver", "gold"])
+    sh.add_argument("--layer", default="all", choices=["all", "bronze", "silver", "gold", "audit"])
     sh.add_argument("--preview", action="store_true")
     a = p.parse_args(argv)
     return {"run": _run, "stream": _stream, "show": _show}[a.cmd](a)

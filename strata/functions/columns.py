@@ -54,8 +54,11 @@ def all_of(preds: Iterable[Column]) -> Column:
 
 
 def any_of(preds: Iterable[Column]) -> Column:
+    """Balanced OR: the expression is log(n) deep however many there are."""
     preds = list(preds)
-    return reduce(lambda a, b: a | b, preds) if preds else F.lit(False)
+    while len(preds) > 1:
+        preds = [reduce(lambda a, b: a | b, preds[i:i + 2]) for i in range(0, len(preds), 2)]
+    return preds[0] if preds else F.lit(False)
 
 
 def not_null(cols: Sequence[ColumnLike]) -> Column:

@@ -92,14 +92,11 @@ def _violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     if check.kind == "ref_integrity":
         parent = tables[p["parent"]].select(F.col(p["parent_key"]).alias("__pk")).distinct()
         child = df.select(F.col(p["key"]).alias("__ck"))
-        # NULL child keys are orphans by definition: counted by their own
-        # narrow scan of the key column instead of all hashing to one
-        # partition of the anti join
-        orphans = (child.filter(F.col("__ck").isNotNull())
-                        .join(parent, F.col("__ck") == F.col("__pk"), "left_anti")
-                        .agg(F.count(F.lit(1)).alias("__v")))
-        nulls = child.agg(F.count_if(F.col("__ck").isNull()).alias("__v"))
-        return orphans.unionByName(nulls).agg(F.sum("__v").cast("long").alias("violations"))
+        # one row per child key before the join, so neither a hot key nor the
+        # NULL keys (orphans by definition, one group) are shuffled row by row
+        keys = child.groupBy("__ck").agg(F.count(F.lit(1)).alias("__n"))
+        return (keys.join(parent, F.col("__ck") == F.col("__pk"), "left_anti")
+                    .agg(F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("violations")))
     if check.kind == "single_current":
         per_key = df.filter(F.col(p["flag"])).groupBy(p["key"]).agg(F.count(F.lit(1)).alias("__c"))
         return per_key.agg(F.count_if(F.col("__c") > 1).cast("long").alias("violations"))

@@ -28,6 +28,10 @@ def lookup_intervals(dim: DataFrame, key: str, sk: str, valid_from: str = "effec
                    .agg(F.min_by(F.col(sk), F.struct(vf.isNotNull(), vf, F.col(sk))).alias("__first")))
     covers = (dim.filter(vf.isNotNull() & (vf < end))
                  .select(key, vf.alias("lo"), end.alias("hi"), F.col(sk).alias("__sk")))
+    # overlapping versions: the earliest start (then the lower sk) keeps the time it covers
+    before_it = Window.partitionBy(key).orderBy("lo", "__sk").rowsBetween(Window.unboundedPreceding, -1)
+    covers = (covers.withColumn("lo", F.greatest("lo", F.max("hi").over(before_it)))
+                    .filter(F.col("lo") < F.col("hi")))
     w = Window.partitionBy(key).orderBy("lo", "hi")
     cw = covers.withColumn("__prev_hi", F.lag("hi").over(w)).withColumn("__next_lo", F.lead("lo").over(w))
     # gap before each cover (the first one's starts at -inf) and after the last one
@@ -62,11 +66,11 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str,
     Plan: the dimension is turned into intervals that tile the time line
     per key (``lookup_intervals``), so the fact meets the dimension in ONE
     equi-join on the key with a range condition, each fact row matching
-    exactly one interval. The fact is shuffled once, and because the join's
+    exactly one interval (of overlapping versions the earliest start wins, then the
+    lower sk). The fact is shuffled once, and because the join's
     two inputs are shuffle stages, AQE can split a key that holds a large
-    share of the facts. No window runs over the fact. Versions of one key
-    must not overlap (true for SCD2 output; zero-length versions cover
-    nothing).
+    share of the facts. No window runs over the fact. Zero-length versions
+    cover nothing.
     """
     fk = fact_key or key
     iv = lookup_intervals(dim, key, sk, valid_from, valid_to).select(
@@ -109,8 +113,8 @@ def daily_sales(fact: DataFrame, dim_product: DataFrame,
                 statuses: Sequence[str] = ("completed", "shipped")) -> DataFrame:
     """Mart by ``(date_key, category)``: distinct orders, units, revenue.
 
-    Revenue is summed exactly as DECIMAL(18,2) per line and converted to
-    DOUBLE once, so it does not depend on summation order (a double sum can
+    Revenue is summed exactly (decimals of eight places) and rounded to cents
+    once, so lines of less than a cent count and it does not depend on summation order (a double sum can
     differ run to run in the last bits) and keeps the reference's type.
     Unknown products (sk −1) fall into the NULL category.
     """
@@ -120,4 +124,4 @@ def daily_sales(fact: DataFrame, dim_product: DataFrame,
     return (j.groupBy("date_key", "category")
              .agg(F.countDistinct("order_id").alias("orders_count"),
                   F.sum("quantity").cast("long").alias("units_sold"),
-                  F.sum(F.col("total_amount").cast("decimal(18,2)")).cast("double").alias("revenue")))
+                  F.round(F.sum(F.col("total_amount").cast("decimal(26,8)")), 2).cast("double").alias("revenue")))

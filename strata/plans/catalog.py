@@ -41,7 +41,8 @@ def _dt(spark, sf_dir) -> DriverTables:
 
 
 def _older(raw: DataFrame) -> DataFrame:
-    return M.batch_orders(raw.filter(F.col("_ingested_at") < ts(WINDOW_OLD_END)))
+    # rows without an arrival time belong to the older load
+    return M.batch_orders(raw.filter((F.col("_ingested_at") < ts(WINDOW_OLD_END)) | F.col("_ingested_at").isNull()))
 
 
 def _newer(raw: DataFrame) -> DataFrame:

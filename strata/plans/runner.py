@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from strata.plans import medallion as M
 from strata.sinks import store
 from strata.sinks.partitioned import merge_into_partitions
 from strata.sources.calendar import dim_date_covering
-from strata.sources.driver_tables import RUN_AS_OF, DriverTables, ts
+from strata.sources.driver_tables import DriverTables, ts
 from strata.streaming.ingest import BRONZE_EVENT_COLUMNS
 
 SNAPSHOTS = ("day1", "day2")
@@ -43,6 +44,7 @@ GE_RESULTS_SCHEMA = M.flat_schema("run_ts timestamp_ntz, table_name string, expe
 class RunResult:
     root: str
     snapshot: str
+    as_of: str
     tables: dict[str, DataFrame] = field(default_factory=dict)
     warnings: list[str] = field(default_factory=list)
     rows_written: dict[str, int] = field(default_factory=dict)
@@ -95,16 +97,18 @@ def _parallel(T: dict, jobs: dict) -> None:
 
 
 def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "day1",
-                  as_of: str = RUN_AS_OF, keep_unroutable: bool = False) -> RunResult:
+                  as_of: str | None = None, keep_unroutable: bool = False) -> RunResult:
     """One full run for ``snapshot``; raises ``QualityGateError`` at the first failed gate.
 
+    ``as_of`` (UTC, default now) stamps audit rows and rejected events.
     ``keep_unroutable`` stores on-time events without an ``order_id`` in
     ``silver.order_events_unroutable`` instead of dropping them (the
     default keeps the reference behaviour).
     """
     if snapshot not in SNAPSHOTS:
         raise ValueError(f"unknown snapshot {snapshot!r}, expected one of {SNAPSHOTS}")
-    r = RunResult(root, snapshot)
+    as_of = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
+    r = RunResult(root, snapshot, as_of)
     s, dt, run_ts = _Store(spark, root, r.rows_written), DriverTables(spark, sf_dir), ts(as_of)
     T = r.tables
 
@@ -189,4 +193,4 @@ def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "
 
 def expectations_of(result: RunResult, run_ts: Column | None = None) -> DataFrame:
     ge = result.tables["audit.ge_results"]
-    return ge.filter(F.col("run_ts") == (run_ts if run_ts is not None else ts(RUN_AS_OF)))
+    return ge.filter(F.col("run_ts") == (run_ts if run_ts is not None else ts(result.as_of)))

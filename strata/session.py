@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import os
+import re
 import shutil
 import tempfile
 import threading
@@ -83,16 +84,17 @@ def get_spark(app_name: str = "strata", master: str | None = None,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) is a private folder
-    created and registered.
+    A local session (one JVM) that leaves it unset gets a folder of its own;
+    on a cluster executors would not share it, so there it must be set.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="strata-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(root)
     return root
 
 

@@ -6,8 +6,8 @@ from the key, e.g. a hash bucket, or from an attribute that never changes,
 e.g. the event day), only the partitions the source touches can change:
 
 1. the touched partition values are ``source.select(parts).distinct()`` —
-   at most one row per partition of the table, a proven bound, so they are
-   collected to form a partition filter;
+   at most one row per partition folder (the driver lists those anyway), so
+   they are collected to form a partition filter;
 2. the target is read with that filter (partition pruning: only touched
    folders are listed and scanned);
 3. ``merge`` runs on those rows only, the result is staged in the shared
@@ -16,9 +16,9 @@ e.g. the event day), only the partitions the source touches can change:
    overwrite); touched partitions left empty by deletes are removed.
 
 Insert-only MERGE (no matched clause) rewrites nothing: new keys are found
-with an anti join against the key column of the touched partitions and
-appended, so a stream feeding a day partition of hundreds of GB reads one
-column of it per micro-batch and writes only the new rows.
+with an anti join against the key column of the whole table and appended. A
+key is unique over the table, not only in its partition: a second delivery
+whose partition differs (an event redelivered with another day) is no new row.
 
 The cost is proportional to the touched partitions, not the table. Each
 partition is replaced by a rename, so a failure mid-commit can leave some
@@ -32,6 +32,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.functions.columns import all_of, any_of
 from strata.operators.merge import Matched, NotMatched, merge
@@ -54,14 +55,25 @@ def _partition_filter(parts: Sequence[str], values: list[tuple]) -> Column:
     return any_of(all_of(F.col(c).eqNullSafe(F.lit(v)) for c, v in zip(parts, row)) for row in values)
 
 
-def _fmt(v) -> str:
-    return "__HIVE_DEFAULT_PARTITION__" if v is None else str(v)
+def _fmt(spark, v) -> str:
+    """Folder name of a partition value, escaped as Spark's writer does."""
+    if v is None or v == "":
+        return "__HIVE_DEFAULT_PARTITION__"
+    return spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName(str(v))
+
+
+def _read(source: DataFrame, path: str, parts: list[str]) -> DataFrame:
+    """The table with the source's types for the partition columns (a folder name such as 01 stays text)."""
+    spark = source.sparkSession
+    found = spark.read.parquet(path).schema
+    schema = StructType([source.schema[f.name] if f.name in parts else f for f in found.fields])
+    return spark.read.schema(schema).parquet(path)
 
 
 def merge_into_partitions(target_path: str, source: DataFrame, on: Sequence[str] | str,
                           partition_cols: Sequence[str], matched: Sequence[Matched] = (),
                           not_matched: Sequence[NotMatched] = (), target_condition=None,
-                          check_unique_source: bool = True, max_partitions: int = 100_000) -> list[tuple]:
+                          check_unique_source: bool = True) -> list[tuple]:
     """MERGE ``source`` into the partitioned table at ``target_path``; return touched partitions.
 
     ``source`` must carry the partition columns with the values its keys
@@ -69,9 +81,7 @@ def merge_into_partitions(target_path: str, source: DataFrame, on: Sequence[str]
     """
     spark = source.sparkSession
     parts = list(partition_cols)
-    touched = [tuple(r) for r in source.select(*parts).distinct().limit(max_partitions + 1).collect()]
-    if len(touched) > max_partitions:
-        raise ValueError(f"source touches more than {max_partitions} partitions; use a full MERGE")
+    touched = [tuple(r) for r in source.select(*parts).distinct().collect()]
     if not touched:
         return []
     if not store.path_exists(spark, target_path):
@@ -79,15 +89,14 @@ def merge_into_partitions(target_path: str, source: DataFrame, on: Sequence[str]
                          check_unique_source=False)
         inserted.write.mode("error").partitionBy(*parts).parquet(target_path)
         return touched
-    target = spark.read.parquet(target_path)
+    target = _read(source, target_path, parts)
     cols = target.columns
     current = target.filter(_partition_filter(parts, touched))
     if not matched and target_condition is None:
         # Insert-only: existing rows never change, so nothing is rewritten.
-        # Only the key columns of the touched partitions are read (pruned
-        # folders and columns); new keys are appended to their partitions.
+        # Only the key columns are read; new keys are appended to their partitions.
         keys = [on] if isinstance(on, str) else list(on)
-        new = source.select(*cols).join(current.select(*keys), keys, "left_anti")
+        new = source.select(*cols).join(target.select(*keys), keys, "left_anti")
         inserted = merge(new.filter(F.lit(False)), new, keys, [], list(not_matched) or [NotMatched()],
                          check_unique_source=False)
         store.append(inserted.select(*cols), target_path, partition_by=parts)
@@ -101,5 +110,5 @@ def merge_into_partitions(target_path: str, source: DataFrame, on: Sequence[str]
            .partitionBy(*parts).parquet(target_path))
     for row in touched:
         if row not in written:  # every row of the partition was deleted
-            _delete(spark, target_path.rstrip("/") + "/" + "/".join(f"{c}={_fmt(v)}" for c, v in zip(parts, row)))
+            _delete(spark, target_path.rstrip("/") + "/" + "/".join(f"{c}={_fmt(spark, v)}" for c, v in zip(parts, row)))
     return touched

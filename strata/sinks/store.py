@@ -52,7 +52,8 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def _versions(spark: SparkSession, base: str) -> list[int]:
+def _versions(spark: SparkSession, base: str, committed: bool = True) -> list[int]:
+    """Version numbers in ascending order: committed ones, or all folders (also of a write that broke off)."""
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     p = jvm.org.apache.hadoop.fs.Path(base)
@@ -62,7 +63,8 @@ def _versions(spark: SparkSession, base: str) -> list[int]:
     out = []
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if name.startswith(_VERSION) and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+        done = not committed or fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS"))
+        if name.startswith(_VERSION) and name[len(_VERSION):].isdigit() and done:
             out.append(int(name[len(_VERSION):]))
     return sorted(out)
 
@@ -77,8 +79,11 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
 
 
 def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
-    """Create-or-replace: write a new committed version folder; return its path."""
-    vs = _versions(df.sparkSession, base)
+    """Create-or-replace: write a new committed version folder; return its path.
+
+    A folder left by a write that broke off keeps its number and is never read or written again.
+    """
+    vs = _versions(df.sparkSession, base, committed=False)
     path = f"{base.rstrip('/')}/{_VERSION}{(vs[-1] + 1) if vs else 0}"
     _writer(df, "error", partition_by).parquet(path)
     return path

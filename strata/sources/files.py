@@ -18,11 +18,18 @@ def string_schema(schema: StructType | str) -> StructType:
 def read_csv_strings(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """CSV with a header, every column read as a string (no inference).
 
-    A missing trailing field becomes NULL. The explicit schema avoids the
-    inference pass over the files.
+    Columns are taken by the header's names: their order and further columns
+    do not matter, a declared column that the header lacks is an error. A missing
+    trailing field of a row becomes NULL. Files whose header differs from the
+    first one's are an error too (``enforceSchema`` is off).
     """
-    return (spark.read.option("header", True).option("mode", "PERMISSIVE")
-                 .schema(string_schema(schema)).csv(path))
+    wanted = string_schema(schema).fieldNames()
+    header = spark.read.option("header", True).csv(path).columns    # reads the first lines only
+    missing = [c for c in wanted if c not in header]
+    if header and missing:
+        raise ValueError(f"{path} has no columns {missing}; its header is {header}")
+    return (spark.read.option("header", True).option("mode", "PERMISSIVE").option("enforceSchema", False)
+                 .schema(StructType([StructField(c, StringType(), True) for c in header or wanted])).csv(path).select(*wanted))
 
 
 def apply_schema(df: DataFrame, schema: StructType | str) -> DataFrame:

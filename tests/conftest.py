@@ -16,12 +16,11 @@ def spark():
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-test-ckpt-"))
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
     from strata.session import apply_policy
     apply_policy(s)
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="strata-test-ckpt-"))
     yield s
 
 

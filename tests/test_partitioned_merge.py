@@ -55,3 +55,30 @@ def test_insert_only_appends_without_rewriting(spark, tmp_dir):
     assert all(after.get(f) == m for f, m in before.items())     # old files untouched
     assert len(after) > len(before)                               # new rows appended
     assert rows(spark.read.parquet(path), "id", "v") == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_redelivered_key_in_another_partition_is_no_new_row(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "events")
+    S = "id int, v string, d string"
+    merge_into_partitions(path, spark.createDataFrame([(1, "a", "01"), (2, "b", "02")], S), "id", ["d"], [], [NotMatched()])
+    merge_into_partitions(path, spark.createDataFrame([(1, "again", "02"), (3, "c", "02")], S), "id", ["d"], [], [NotMatched()])
+    got = spark.read.schema(S).parquet(path)
+    assert rows(got, "id", "v", "d") == [(1, "a", "01"), (2, "b", "02"), (3, "c", "02")]
+
+
+def test_partition_text_is_kept_and_escaped(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    S = "id int, v string, region string"
+    merge_into_partitions(path, spark.createDataFrame([(1, "a", "01"), (2, "b", "a:b")], S), "id", ["region"])
+    merge_into_partitions(path, spark.createDataFrame([(1, "x", "01"), (2, "y", "a:b")], S), "id", ["region"],
+                          [Matched(delete=True)])
+    assert not [d for d in os.listdir(path) if d.startswith("region=")]
+
+
+def test_many_partitions_of_two_columns(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "wide")
+    df = spark.range(1200).selectExpr("id", "id % 40 as a", "id % 30 as b", "'x' as v").selectExpr(
+        "id", "cast(id % 1200 / 30 as int) as a", "cast(id % 30 as int) as b", "v").coalesce(1)
+    merge_into_partitions(path, df, "id", ["a", "b"], [Matched()], [NotMatched()])
+    merge_into_partitions(path, df.selectExpr("id", "a", "b", "'y' as v"), "id", ["a", "b"], [], [NotMatched()])
+    assert spark.read.parquet(path).count() == 1200

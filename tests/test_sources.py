@@ -68,3 +68,27 @@ def test_layer_profile_counts_every_table(spark):
     out = layer_profile({"silver.a": spark.range(3), "gold.b": spark.range(0)})
     assert rows(out) == [("gold", "b", 0), ("silver", "a", 3)]
     assert preview(spark.range(100), 5).count() == 5
+
+
+def test_csv_columns_are_taken_by_header_name(spark, tmp_dir):
+    import pytest
+
+    from strata.sources.files import typed_csv
+    p = f"{tmp_dir}/x.csv"
+    with open(p, "w") as f:
+        f.write("price,extra,id\n9.5,z,1\n")
+    r = typed_csv(spark, p, "id bigint, price double").first()
+    assert (r.id, r.price) == (1, 9.5)
+    with pytest.raises(ValueError, match="no columns"):
+        typed_csv(spark, p, "id bigint, name string")
+
+
+def test_a_broken_off_write_does_not_block_the_table(spark, tmp_dir):
+    import os
+
+    from strata.sinks.store import read_latest, write_version
+    base = f"{tmp_dir}/t"
+    write_version(spark.range(1), base)
+    os.makedirs(f"{base}/v=1")
+    write_version(spark.range(2), base)
+    assert read_latest(spark, base).count() == 2

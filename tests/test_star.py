@@ -75,3 +75,15 @@ def test_asof_equals_literal_all_versions_pick(spark):
           FROM f_t o JOIN d_t d ON d.customer_id = o.customer_id) WHERE pick = 1""")
     assert got.count() == literal.count()
     assert got.exceptAll(literal).count() == 0 and literal.exceptAll(got).count() == 0
+
+
+def test_overlapping_versions_give_one_row_per_fact(spark):
+    import datetime as dt
+    from strata.operators.star import asof_lookup
+    day = lambda n: dt.datetime(2024, 1, n)
+    dim = spark.createDataFrame([(1, 10, day(1), day(20)), (1, 11, day(5), None), (1, 12, day(6), None), (2, 20, day(3), None), (2, 21, day(3), None)],
+                                "k int, sk long, effective_from timestamp_ntz, effective_to timestamp_ntz")
+    fact = spark.createDataFrame([(i, k, day(t)) for i, (k, t) in enumerate([(1, 2), (1, 7), (1, 25), (2, 1), (2, 4)])],
+                                 "id int, k int, t timestamp_ntz")
+    got = asof_lookup(fact, dim, "k", "t", "sk")
+    assert sorted((r.id, r.sk) for r in got.collect()) == [(0, 10), (1, 10), (2, 11), (3, 20), (4, 20)]
