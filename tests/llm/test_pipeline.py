@@ -1,5 +1,7 @@
 """The pipeline over a small folder, against what its stages must do."""
 
+import random
+
 from llm_fixtures import docs  # noqa: F401
 
 import corpus_pipeline
@@ -7,12 +9,17 @@ import corpus_pipeline
 
 def test_pipeline(spark, docs, tmp_path):
     bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda")], "item_id long, text string")
-    insult = spark.createDataFrame([(100 + k, f"you stupid idiot number {'ab' * k} goes home", "en", "s", 1, "r", k) for k in range(12)]
-                                   + [(200 + k, f"a calm day number {'cd' * k} goes well", "en", "s", 1, "r", k) for k in range(12)]
+    r = random.Random(4)
+    text = lambda: ["".join(r.choice(["ther", "tion", "nd", "wh", "on", "an", "er", "st", "re", "ou"]) for _ in range(r.randint(1, 3))) for _ in range(40)]
+    toxic, clean = [text() for _ in range(60)], [text() for _ in range(60)]
+    for k, t in enumerate(toxic):
+        t[7] = t[31] = ("idiot", "stupid")[k % 2]
+    insult = spark.createDataFrame([(100 + k, " ".join(t), "en", "s", 1, "r", k) for k, t in enumerate(toxic)]
+                                   + [(200 + k, " ".join(t), "en", "s", 1, "r", k) for k, t in enumerate(clean)]
                                    + [(300, "before alpha beta gamma delta epsilon zeta eta theta iota kappa lambda after", "en", "s", 1, "r", 0)], docs.schema)
     docs.union(insult).write.parquet(str(tmp_path / "documents.parquet"))
     bench.write.parquet(str(tmp_path / "benchmark.parquet"))
-    spark.createDataFrame([(100 + k, 0, 1) for k in range(12)] + [(200 + k, 1, 0) for k in range(12)] + [(k, 1, 0) for k in range(1, 18)],
+    spark.createDataFrame([(100 + k, 0, 1) for k in range(60)] + [(200 + k, 1, 0) for k in range(60)] + [(k, 1, 0) for k in range(1, 18)],
                           "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
     frames, now = {}, spark.read.parquet(str(tmp_path / "documents.parquet"))
     for name, stage in corpus_pipeline.STAGES:
@@ -22,7 +29,7 @@ def test_pipeline(spark, docs, tmp_path):
         out.write.parquet(str(tmp_path / name))
         now = frames[name] = spark.read.parquet(str(tmp_path / name))
     ids = {n: {r.doc_id for r in f.select("doc_id").collect()} for n, f in frames.items()}
-    assert not ids["toxicity"] & set(range(100, 112)) and {*range(200, 212), 1, 2, 6, 8, 300} <= ids["toxicity"]
+    assert not ids["toxicity"] & set(range(100, 160)) and {*range(200, 260), 1, 2, 6, 8, 300} <= ids["toxicity"]
     assert ids["line_dedup"] == ids["toxicity"] and ids["byte_bpe"] == ids["benchmark_decontamination"] == ids["simhash_near_dedup"]
     last = {r.doc_id: r.text for r in frames["benchmark_decontamination"].collect()}
     assert last[300].split() == ["before", "after"]
