@@ -15,12 +15,18 @@ from strata.session import get_spark
 
 
 def _run(a) -> int:
+    from strata.operators.expectations import ExpectationsFailed
     from strata.operators.quality import QualityGateError
-    from strata.plans.runner import run_medallion
+    from strata.plans.runner import Inputs, run_medallion, run_pipeline
+    own = [a.customers, a.products, a.orders]
+    if bool(a.sf_dir) == any(own) or any(own) and not all(own):
+        print("give either --sf-dir or all of --customers, --products and --orders", file=sys.stderr)
+        return 1
     spark = get_spark("strata-run", master=a.master, cluster=a.cluster)
     try:
-        r = run_medallion(spark, a.sf_dir, a.root, a.snapshot, a.as_of)
-    except QualityGateError as e:
+        r = (run_medallion(spark, a.sf_dir, a.root, a.snapshot, a.as_of) if a.sf_dir else
+             run_pipeline(spark, Inputs(*own, a.events), a.root, a.snapshot, a.as_of))
+    except (QualityGateError, ExpectationsFailed) as e:
         print(e, file=sys.stderr)
         return 2
     for name, n in r.rows_written.items():
@@ -73,9 +79,13 @@ def main(argv=None) -> int:
     p.add_argument("--cluster", action="store_true", help="apply the large-cluster sizing (CLUSTER_CONF)")
     sub = p.add_subparsers(dest="cmd", required=True)
     r = sub.add_parser("run")
-    r.add_argument("--sf-dir", required=True)
+    r.add_argument("--sf-dir", help="folder of the driver's tables; or name files of your own:")
+    r.add_argument("--customers", help="CSV path, header required (so for products and orders)")
+    r.add_argument("--products")
+    r.add_argument("--orders")
+    r.add_argument("--events", help="table of decoded events (default: the stream's, <root>/bronze/order_events)")
     r.add_argument("--root", required=True, help="table folder in shared storage")
-    r.add_argument("--snapshot", default="day1", choices=["day1", "day2"])
+    r.add_argument("--snapshot", default="day1", help="label of the customer dump (day1 or day2 with --sf-dir)")
     r.add_argument("--as-of", help="run clock as a UTC timestamp (default: now)")
     s = sub.add_parser("stream")
     s.add_argument("--landing", help="folder of (value, partition, offset) parquet records")

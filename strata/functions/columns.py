@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import DataType, StringType, StructType, TimestampNTZType
 
 ColumnLike = str | Column
 
@@ -90,7 +90,9 @@ def try_cast_to(schema: StructType | str, df: DataFrame) -> list[Column]:
     """Project ``df`` onto ``schema``: columns by name, each ``try_cast``.
 
     A value that does not parse becomes NULL instead of failing the job (the
-    pre-ANSI cast behaviour the ingestion relies on).
+    pre-ANSI cast behaviour the ingestion relies on). Text times with a zone
+    become wall-clock times of the session's zone (UTC, ``session.apply_policy``);
+    zone-less ones are kept.
     """
     if isinstance(schema, str):
         schema = flat_schema(schema)
@@ -101,7 +103,13 @@ def try_cast_to(schema: StructType | str, df: DataFrame) -> list[Column]:
     for f in schema.fields:
         src = df.schema[f.name].dataType
         c = F.col(f.name)
-        out.append((c if src == f.dataType else c.try_cast(f.dataType)).alias(f.name))
+        if src == f.dataType:
+            out.append(c)
+        elif isinstance(src, StringType) and isinstance(f.dataType, TimestampNTZType):
+            # a cast to NTZ drops the zone and a cast to TIMESTAMP takes a bare time of day, so both must parse
+            out.append(F.when(c.try_cast(f.dataType).isNotNull(), c.try_cast("timestamp").cast(f.dataType)).alias(f.name))
+        else:
+            out.append(c.try_cast(f.dataType).alias(f.name))
     return out
 
 

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
 
 from strata.functions.columns import ColumnLike, sort_keys
 
@@ -19,10 +20,14 @@ def latest_by(df: DataFrame, keys: Sequence[str] | str, order: Sequence[ColumnLi
     ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order, tiebreak) = 1``.
     Catalyst turns this into a partial ``WindowGroupLimit`` before the shuffle
     and a final one after it, so a hot key ships at most one row per input
-    partition instead of all of its rows. ``order`` + ``tiebreak`` should be
-    a total order within a key, or the survivor is arbitrary.
+    partition instead of all of its rows. Without ``tiebreak`` ties fall to
+    the smallest row over the other flat columns, so the survivor never
+    depends on the order of arrival.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if tiebreak is None:
+        tiebreak = [F.col(f"`{f.name}`").asc_nulls_first() for f in df.schema.fields
+                    if f.name not in keys and not isinstance(f.dataType, (ArrayType, MapType, StructType, VariantType))]
     w = Window.partitionBy(*keys).orderBy(*(sort_keys(order) + sort_keys(tiebreak)))
     return (df.withColumn(_RN, F.row_number().over(w))
               .filter(F.col(_RN) == 1)

@@ -1,95 +1,54 @@
 """Dense surrogate keys without a single-task global sort.
 
 ``start + ROW_NUMBER() OVER (ORDER BY k)`` over a whole table puts every row
-in one task. Here the order key is cut into at most ``max_buckets`` ranges of
-equal width; rows are numbered inside their range (a window partitioned by
-range), and each range is shifted by the number of rows in all ranges before
-it. The per-range counts form a table of at most ``max_buckets`` rows — a
-proven bound, so it is broadcast. The numbering equals the global window's
-and is deterministic under task retry (no ``monotonically_increasing_id``).
+in one task. Here the rows are range-partitioned by the key, with boundaries
+that Spark takes from a sample of the real keys (so outliers, shared prefixes
+and any orderable type are fine), and written once with the number of their
+range. Rows are numbered inside their range, and each range is shifted by the
+rows before it. The counts have one row per range, at most the session's
+shuffle partitions, so they are broadcast. The numbering equals the global
+window's; the sample moves the boundaries only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, IntegralType, StringType, TimestampNTZType, TimestampType
 
-_B = "__sk_bucket"
+from strata.sinks.store import materialize
 
+_R = "__sk_range"
 
-_PREFIX_BYTES = 7  # 56 bits: fits a signed long
 
-
-def _string_rank_key(df: DataFrame, order_col: str) -> Column:
-    """Order-preserving long for a string column (coarse: ties allowed).
-
-    Spark orders strings by their UTF-8 bytes. All values share the common
-    prefix of ``min`` and ``max`` (one aggregate row, collected), so the key
-    is the next 7 bytes, zero-padded, read as a big-endian number. Strings
-    equal on those bytes share a key and are ordered exactly inside their
-    range by the window.
-    """
-    lo, hi = df.agg(F.min(order_col), F.max(order_col)).first()
-    common = 0
-    if lo is not None and hi is not None:
-        a, b = lo.encode("utf-8"), hi.encode("utf-8")
-        while common < min(len(a), len(b)) and a[common] == b[common]:
-            common += 1
-    raw = F.substring(F.encode(F.col(order_col), "UTF-8"), common + 1, _PREFIX_BYTES)
-    padded = F.rpad(F.hex(raw), 2 * _PREFIX_BYTES, "0")
-    return F.conv(padded, 16, 10).cast("long")
-
-
-def _as_long(df: DataFrame, order_col: str) -> Column:
-    dt = df.schema[order_col].dataType
-    c = F.col(order_col)
-    if isinstance(dt, IntegralType):
-        return c.cast("long")
-    if isinstance(dt, DateType):
-        return F.unix_date(c).cast("long")
-    if isinstance(dt, (TimestampType, TimestampNTZType)):
-        return F.unix_micros(c.cast("timestamp"))
-    if isinstance(dt, StringType):
-        return _string_rank_key(df, order_col)
-    raise TypeError(f"surrogate keys need an integral, date, timestamp or string order column, "
-                    f"got {dt.simpleString()} for {order_col!r}")
+def key_ranges(df: DataFrame, order_col: str, tiebreak: Sequence[str] = (), ranges: int | None = None) -> DataFrame:
+    """``df`` with the number of its key range, staged in the shared folder; ranges rise with the key."""
+    n = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col(order_col).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tiebreak]]
+    return materialize(df.repartitionByRange(n, *order).withColumn(_R, F.spark_partition_id()), "key_ranges")
 
 
 def assign_surrogate_keys(df: DataFrame, order_col: str, out: str = "sk",
                           start: int | DataFrame = 0, tiebreak: Sequence[str] = (),
-                          max_buckets: int = 4096) -> DataFrame:
+                          ranges: int | None = None) -> DataFrame:
     """Add ``out = start + row_number() over (order by order_col, tiebreak)``.
 
     ``start`` is an integer or a one-row DataFrame whose first column is the
-    offset (e.g. ``COALESCE(MAX(sk), 0)`` of the existing dimension). NULL
-    order values sort first, as in the SQL window. The key range and the
-    offset are one-row aggregates fetched as scalars (bounded driver reads).
+    offset (e.g. ``COALESCE(MAX(sk), 0)`` of the existing dimension), fetched
+    as a scalar. NULL order values sort first, as in the SQL window. Rows
+    equal in the key and ``tiebreak`` share a range. ``ranges`` defaults to
+    the session's shuffle partitions.
     """
-    k = _as_long(df, order_col)
-    # one-row scalars, fetched once: the key range and the numbering offset
-    lo, hi = df.agg(F.min(k), F.max(k)).first()
-    width = max(1, -(-((hi - lo + 1) if lo is not None else 1) // max_buckets))
+    staged = key_ranges(df, order_col, tiebreak, ranges)
     base = int(start.first()[0] or 0) if isinstance(start, DataFrame) else int(start)
-    # NULL order values get bucket -1, which sorts before every range.
-    bucket = F.coalesce(F.floor((k - F.lit(lo if lo is not None else 0)) / F.lit(width)).cast("long"),
-                        F.lit(-1).cast("long"))
-    keyed = df.withColumn(_B, bucket)
-
-    counts = keyed.groupBy(_B).agg(F.count(F.lit(1)).alias("__n"))
-    # ≤ max_buckets + 1 rows: the running sum runs in one small task.
-    offsets = counts.select(
-        _B, (F.sum("__n").over(Window.orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("__off"))
-    offsets = offsets.select(_B, (F.coalesce("__off", F.lit(0)) + F.lit(base)).cast("long").alias("__off"))
-
-    w = Window.partitionBy(_B).orderBy(F.col(order_col).asc_nulls_first(), *[F.col(c) for c in tiebreak])
-    numbered = keyed.withColumn("__rn", F.row_number().over(w))
-    return (numbered.join(F.broadcast(offsets), _B)
-                    .withColumn(out, (F.col("__off") + F.col("__rn")).cast("long"))
-                    .drop(_B, "__off", "__rn"))
+    counts = staged.groupBy(_R).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy(_R).rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select(_R, (F.coalesce(before, F.lit(0)) + F.lit(base)).cast("long").alias("__off"))
+    w = Window.partitionBy(_R).orderBy(F.col(order_col).asc_nulls_first(), *[F.col(c).asc_nulls_first() for c in tiebreak])
+    return (staged.withColumn("__rn", F.row_number().over(w)).join(F.broadcast(offsets), _R)
+                  .withColumn(out, (F.col("__off") + F.col("__rn")).cast("long"))
+                  .drop(_R, "__off", "__rn"))
 
 
 def max_key(dim: DataFrame, sk: str) -> DataFrame:

@@ -15,6 +15,8 @@ every output column is a ``CASE`` over the clauses. Rules, as in SQL MERGE:
 * rows with a NULL key cannot match; a deterministic salt spreads them over
   the join's partitions, so many NULL keys do not funnel into one task;
 * target rows without a source partner are kept (no NOT MATCHED BY SOURCE).
+
+Without matched clauses it is target ∪ (source anti target) instead.
 """
 
 from __future__ import annotations
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.functions.columns import all_of, null_key_salt
+from strata.functions.columns import all_of, not_null, null_key_salt
 
 _T = "__t_"
 _S = "__s_"
@@ -106,6 +108,9 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str] | str,
             if bad:
                 raise MergeError(f"update of unknown target columns {sorted(bad)}")
 
+    if not matched and target_condition is None:
+        return _insert_only(target, source, on, not_matched)
+
     tdf = target.select(*[F.col(c).alias(_T + c) for c in tcols], F.lit(True).alias(_TP))
     sdf = source.select(*[F.col(c).alias(_S + c) for c in scols], F.lit(True).alias(_SP))
     # A row with a NULL key can never match; a salt spreads such rows over
@@ -177,6 +182,33 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str] | str,
     return j.select(*out)
 
 
+def _insert_only(target: DataFrame, source: DataFrame, on: list[str], clauses: Sequence[NotMatched]) -> DataFrame:
+    """Target ∪ inserted rows of (source anti target): the target meets the join with its keys only."""
+    tcols, scols = list(target.columns), list(source.columns)
+    t, s = Side(_T, tcols), Side(_S, scols)
+    new = source.select(*[F.col(c).alias(_S + c) for c in scols])
+    new = new.withColumn("__s_salt", null_key_salt([_S + k for k in on], [_S + c for c in scols]))
+    tkeys = [_T + k for k in on]
+    keys = target.select(*[F.col(k).alias(_T + k) for k in on]).filter(not_null(tkeys))
+    keys = keys.withColumn("__t_salt", null_key_salt(tkeys, tkeys))
+    new = new.join(keys, all_of(F.col(_T + k) == F.col(_S + k) for k in on) & (F.col("__t_salt") == F.col("__s_salt")), "left_anti")
+    for c in tcols:  # the conditions of an insert clause see an absent target row
+        new = new.withColumn(_T + c, F.lit(None).cast(target.schema[c].dataType))
+    idx = F.lit(None).cast("int")
+    for i in reversed(range(len(clauses))):
+        fires = F.lit(True) if clauses[i].cond is None else F.coalesce(clauses[i].cond(t, s), F.lit(False))
+        idx = F.when(fires, F.lit(i)).otherwise(idx)
+    new = new.withColumn("__n_idx", idx).filter(F.col("__n_idx").isNotNull())
+    out = []
+    for name in tcols:
+        value = F.lit(None)
+        for i in reversed(range(len(clauses))):
+            v = _value(clauses[i].insert, name, t, s, set(scols))
+            value = F.when(F.col("__n_idx") == i, F.lit(None) if v is None else v).otherwise(value)
+        out.append(value.cast(target.schema[name].dataType).alias(name))
+    return target.unionByName(new.select(*out))
+
+
 # Shapes used by the medallion flow -------------------------------------------------------
 
 def merge_upsert(target: DataFrame, source: DataFrame, on, check_unique_source: bool = True) -> DataFrame:

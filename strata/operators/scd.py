@@ -52,20 +52,20 @@ def scd2_close(dim: DataFrame, changes: DataFrame, key: str, changed_at: str = "
     """Close the current version of every changed key.
 
     ``MERGE … ON d.key = s.key AND d.is_current WHEN MATCHED THEN UPDATE SET
-    is_current = false, effective_to = s.changed_at``.
+    is_current = false, effective_to = s.changed_at``. Only current versions
+    can match, so the closed history passes by without a shuffle.
     """
-    return merge(dim, changes.select(key, changed_at), key,
-                 [Matched(update={current_flag: F.lit(False),
-                                  valid_to: (lambda t, s: s[changed_at])})],
-                 target_condition=lambda t: t[current_flag])
+    is_current = F.coalesce(F.col(current_flag), F.lit(False))
+    closed = merge(dim.filter(is_current), changes.select(key, changed_at), key,
+                   [Matched(update={current_flag: F.lit(False), valid_to: (lambda t, s: s[changed_at])})])
+    return dim.filter(~is_current).unionByName(closed)
 
 
 def scd2_open(changes: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str], sk: str,
               changed_at: str = "updated_at", valid_from: str = "effective_from",
-              valid_to: str = "effective_to", current_flag: str = "is_current",
-              max_buckets: int = 4096) -> DataFrame:
+              valid_to: str = "effective_to", current_flag: str = "is_current") -> DataFrame:
     """New open versions: ``sk = max(sk) + row_number() over (order by key)``."""
-    keyed = assign_surrogate_keys(changes, key, out=sk, start=max_key(dim, sk), max_buckets=max_buckets)
+    keyed = assign_surrogate_keys(changes, key, out=sk, start=max_key(dim, sk))
     ts_type = dim.schema[valid_from].dataType
     return keyed.select(
         F.col(sk).cast(dim.schema[sk].dataType).alias(sk), key, *attrs,
@@ -76,7 +76,7 @@ def scd2_open(changes: DataFrame, dim: DataFrame, key: str, attrs: Sequence[str]
 
 def scd2_apply(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[str],
                attrs: Sequence[str], sk: str, changed_at: str = "updated_at",
-               null_safe: bool = False, max_buckets: int = 4096, stage=None) -> DataFrame:
+               null_safe: bool = False, stage=None) -> DataFrame:
     """One SCD2 run: close changed current versions, open new ones.
 
     ``attrs`` are all carried attributes (tracked and untracked). A change
@@ -91,7 +91,7 @@ def scd2_apply(dim: DataFrame, source: DataFrame, key: str, tracked: Sequence[st
     if stage is not None:
         changes = stage(changes)
     closed = scd2_close(dim, changes, key, changed_at)
-    opened = scd2_open(changes, dim, key, attrs, sk, changed_at, max_buckets=max_buckets)
+    opened = scd2_open(changes, dim, key, attrs, sk, changed_at)
     return closed.unionByName(opened)
 
 

@@ -16,11 +16,12 @@ from pyspark.sql import functions as F
 from strata.operators.keyed import snapshot_replace
 from strata.operators.keys import assign_surrogate_keys, max_key
 from strata.operators.late import lateness_hours, stream_orders
-from strata.operators.merge import merge_conditional, merge_guarded, merge_insert_only, merge_upsert
+from strata.operators.merge import NotMatched, merge_conditional, merge_guarded, merge_insert_only, merge_upsert
 from strata.operators.profile import layer_profile
 from strata.operators.scd import scd2_changes, scd2_close
 from strata.operators.star import asof_lookup, unknown_member
 from strata.plans import medallion as M
+from strata.sinks.partitioned import merge_into_partitions
 from strata.sources.calendar import dim_date_covering
 from strata.session import scratch_path
 from strata.sources.driver_tables import RUN_AS_OF, DriverTables, ts
@@ -50,9 +51,10 @@ def _newer(raw: DataFrame) -> DataFrame:
 
 
 def csv_typed_load(spark, sf_dir):
-    """Land the raw orders as CSV files, then scan them as the batch loader does."""
+    """Land the raw orders as CSV files (other column order, one more column), then scan them as the batch loader does."""
     path = scratch_path(spark, "landing_orders_csv")
-    _dt(spark, sf_dir).orders_raw_strings().write.option("header", True).csv(path)
+    raw = _dt(spark, sf_dir).orders_raw_strings()
+    raw.select(*reversed(raw.columns), F.lit("x").alias("note")).write.option("header", True).csv(path)
     return typed_csv(spark, path, M.RAW_ORDERS_SCHEMA, as_of=RUN_AS_OF)
 
 
@@ -210,6 +212,45 @@ def stream_ingest(spark, sf_dir):
     return ingest_payload_files_once(spark, _dt(spark, sf_dir).payloads(), as_of=ts(RUN_AS_OF))
 
 
+def stream_to_silver(spark, sf_dir):
+    """Payload files → ingestion stream → bronze table → silver order states."""
+    from strata.streaming.ingest import ingest_payload_files_once
+    late = F.make_dt_interval(F.lit(0), (F.col("kafka_offset") % 60).cast("int"), F.lit(0), F.lit(0))
+    bronze = ingest_payload_files_once(spark, _dt(spark, sf_dir).payloads(), as_of=F.col("event_time") + late)
+    return stream_orders(M.route(bronze.drop("dt")).accepted)
+
+
+def late_redelivered(spark, sf_dir):
+    """Insert-only MERGE of two batches; the second delivers every event again, on the next day."""
+    path = scratch_path(spark, "late_redelivered")
+    L = M.build_layers(spark, sf_dir)
+    first = L["silver.order_events"].withColumn("dt", F.to_date("event_time"))
+    again = first.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 DAY")).withColumn("dt", F.to_date("event_time"))
+    for batch in (first, again):
+        merge_into_partitions(path, batch, "event_id", ["dt"], [], [NotMatched()], check_unique_source=False)
+    return spark.read.parquet(path)
+
+
+def asof_overlap(spark, sf_dir):
+    """As-of lookup where closed versions run on and some customers have two open versions."""
+    L = M.build_layers(spark, sf_dir)
+    L.prefetch(["silver.orders", "gold.dim_customer"])
+    dim = L["gold.dim_customer"]
+    longer = dim.withColumn("effective_to", F.col("effective_to") + F.expr("INTERVAL 2 YEARS"))
+    second = (dim.filter(F.col("is_current") & (F.col("customer_id") % 5 == 0))
+                 .withColumn("customer_sk", F.col("customer_sk") + 1000000000000)
+                 .withColumn("effective_from", F.col("effective_from") + F.expr("INTERVAL 1 YEAR")))
+    return asof_lookup(L["silver.orders"].select("order_id", "customer_id", "order_ts"), longer.unionByName(second),
+                       "customer_id", "order_ts", "customer_sk")
+
+
+def surrogate_keys_skewed(spark, sf_dir):
+    """Dense keys over customer ids with outliers beyond ±2^62."""
+    c, far = F.col("c_custkey"), F.lit(1 << 62)
+    k = F.when(c % 1000 == 0, far + c).when(c % 1000 == 1, -far - c).otherwise(c)
+    return assign_surrogate_keys(_dt(spark, sf_dir).table("customer").select(k.alias("k")), "k")
+
+
 def queries() -> dict[str, Query]:
     return {
         "csv_typed_load": csv_typed_load,
@@ -252,6 +293,10 @@ def queries() -> dict[str, Query]:
         "expect_report": _ex(None),
         "layer_profile": layer_profile_q,
         "stream_ingest": stream_ingest,
+        "stream_to_silver": stream_to_silver,
+        "late_redelivered": late_redelivered,
+        "asof_overlap": asof_overlap,
+        "surrogate_keys_skewed": surrogate_keys_skewed,
     }
 
 

@@ -80,10 +80,14 @@ def clean_orders(orders_raw: DataFrame) -> DataFrame:
                              & (F.col("quantity") > 0) & (F.col("total_amount") >= 0))
 
 
-def batch_orders(orders_raw: DataFrame) -> DataFrame:
-    """Clean, deduplicated batch orders in silver shape (``source='batch'``)."""
-    latest = latest_by(clean_orders(orders_raw), "order_id", ["_ingested_at DESC"],
-                       tiebreak=["_src_partkey", "_src_suppkey"])
+def batch_orders(orders_raw: DataFrame, tiebreak=None) -> DataFrame:
+    """Clean, deduplicated batch orders in silver shape (``source='batch'``).
+
+    Among rows of one load the first under ``tiebreak`` stays (default: the
+    order's own columns, in schema order).
+    """
+    tiebreak = tiebreak or [c for c in RAW_ORDERS_SCHEMA.fieldNames() if c != "order_id"]
+    latest = latest_by(clean_orders(orders_raw), "order_id", ["_ingested_at DESC"], tiebreak=tiebreak)
     return latest.select(*RAW_ORDERS_SCHEMA.fieldNames(), F.lit("batch").alias("source"),
                          F.col("_ingested_at").alias("updated_at"))
 

@@ -1,6 +1,9 @@
 """Stage runner: one medallion run per snapshot, with state carried between runs.
 
-``run_medallion(spark, sf_dir, root, snapshot)`` does what the scheduled
+``run_pipeline(spark, inputs, root, snapshot)`` takes the user's CSV files or
+DataFrames, and the events from a DataFrame, a table or the folder that the
+ingestion stream fills; ``run_medallion(spark, sf_dir, root, snapshot)`` takes
+the driver's tables. A run does what the scheduled
 chain of jobs does — seed bronze → gate → silver → gate → gold → gate →
 expectations — against tables stored under ``root`` (a folder in the shared
 storage). Every replaced table is written as a new version folder, so a run never
@@ -18,6 +21,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from strata.operators import expectations as ex
 from strata.operators import quality as dq
@@ -30,6 +34,8 @@ from strata.sinks import store
 from strata.sinks.partitioned import merge_into_partitions
 from strata.sources.calendar import dim_date_covering
 from strata.sources.driver_tables import DriverTables, ts
+from strata.sources.files import typed_csv
+from strata.sources.json_events import ORDER_EVENT_SCHEMA
 from strata.streaming.ingest import BRONZE_EVENT_COLUMNS
 
 SNAPSHOTS = ("day1", "day2")
@@ -40,6 +46,10 @@ GE_RESULTS_SCHEMA = M.flat_schema("run_ts timestamp_ntz, table_name string, expe
                                   "success boolean, observed bigint")
 
 
+BRONZE_EVENTS_SCHEMA = StructType([*ORDER_EVENT_SCHEMA.fields, *M.flat_schema(
+    "_ingested_at timestamp_ntz, kafka_partition int, kafka_offset bigint, dt date").fields])
+
+
 @dataclass
 class RunResult:
     root: str
@@ -96,33 +106,76 @@ def _parallel(T: dict, jobs: dict) -> None:
             T[name] = out
 
 
+CUSTOMERS_SCHEMA = M.flat_schema("customer_id bigint, full_name string, email string, city string, segment string, "
+                                 "signup_date date, updated_at timestamp_ntz")
+PRODUCTS_SCHEMA = M.flat_schema("product_id bigint, product_name string, category string, unit_price double")
+
+
+@dataclass
+class Inputs:
+    """What a run loads: CSV paths (header required) or DataFrames in bronze shape.
+
+    ``events`` is a DataFrame, the path of a table of decoded events, or None:
+    then ``<root>/bronze/order_events``, where the ingestion stream appends.
+    """
+
+    customers: str | DataFrame
+    products: str | DataFrame
+    orders: str | DataFrame
+    events: str | DataFrame | None = None
+
+
+def _loaded(spark: SparkSession, source: str | DataFrame, schema, as_of: str) -> DataFrame:
+    df = typed_csv(spark, source, schema) if isinstance(source, str) else source
+    if isinstance(source, str) or "_ingested_at" not in df.columns:
+        df = df.withColumn("_ingested_at", ts(as_of))
+    return df
+
+
 def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "day1",
                   as_of: str | None = None, keep_unroutable: bool = False) -> RunResult:
-    """One full run for ``snapshot``; raises ``QualityGateError`` at the first failed gate.
+    """``run_pipeline`` over the bronze views of the driver's tables."""
+    if snapshot not in SNAPSHOTS:
+        raise ValueError(f"unknown snapshot {snapshot!r}, expected one of {SNAPSHOTS}")
+    dt = DriverTables(spark, sf_dir)
+    inputs = Inputs(dt.customers_raw(snapshot), dt.products_raw(1 if snapshot == "day1" else 2), dt.orders_raw(), dt.order_events())
+    return run_pipeline(spark, inputs, root, snapshot, as_of, keep_unroutable)
+
+
+def run_pipeline(spark: SparkSession, inputs: Inputs, root: str, snapshot: str = "day1",
+                 as_of: str | None = None, keep_unroutable: bool = False) -> RunResult:
+    """One full run for ``snapshot``; raises ``QualityGateError`` at the first failed gate and
+    ``ExpectationsFailed`` if an expectation is not met (after its audit row is stored).
 
     ``as_of`` (UTC, default now) stamps audit rows and rejected events.
     ``keep_unroutable`` stores on-time events without an ``order_id`` in
     ``silver.order_events_unroutable`` instead of dropping them (the
     default keeps the reference behaviour).
     """
-    if snapshot not in SNAPSHOTS:
-        raise ValueError(f"unknown snapshot {snapshot!r}, expected one of {SNAPSHOTS}")
     as_of = as_of or datetime.now(timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f")
     r = RunResult(root, snapshot, as_of)
-    s, dt, run_ts = _Store(spark, root, r.rows_written), DriverTables(spark, sf_dir), ts(as_of)
+    s, run_ts = _Store(spark, root, r.rows_written), ts(as_of)
     T = r.tables
 
+    def events_in() -> DataFrame:
+        if isinstance(inputs.events, DataFrame):
+            return s.replace("bronze.order_events", inputs.events.select(*BRONZE_EVENT_COLUMNS)
+                             .withColumn("dt", F.to_date("event_time")), partition_by=["dt"])
+        path = inputs.events or s.path("bronze.order_events")    # the stream's table is read, never rewritten
+        if store.path_exists(spark, path):
+            return spark.read.parquet(path).select(*BRONZE_EVENT_COLUMNS, F.to_date("event_time").alias("dt"))
+        return M.empty(spark, BRONZE_EVENTS_SCHEMA)
+
     # bronze: customers are replaced per snapshot label, the rest is a full reload
     prev_cust = s.read("bronze.customers_raw", M.flat_schema(
         "customer_id bigint, full_name string, email string, city string, segment string, signup_date date, "
         "updated_at timestamp_ntz, snapshot string, _ingested_at timestamp_ntz"))
     _parallel(T, {
         "bronze.customers_raw": lambda: s.replace("bronze.customers_raw", snapshot_replace(
-            prev_cust, dt.customers_raw(snapshot), "snapshot", snapshot)),
-        "bronze.products_raw": lambda: s.replace("bronze.products_raw", dt.products_raw(1 if snapshot == "day1" else 2)),
-        "bronze.orders_raw": lambda: s.replace("bronze.orders_raw", dt.orders_raw()),
-        "bronze.order_events": lambda: s.replace("bronze.order_events", dt.order_events().select(*BRONZE_EVENT_COLUMNS)
-                                                 .withColumn("dt", F.to_date("event_time")), partition_by=["dt"]),
+            prev_cust, _loaded(spark, inputs.customers, CUSTOMERS_SCHEMA, as_of), "snapshot", snapshot)),
+        "bronze.products_raw": lambda: s.replace("bronze.products_raw", _loaded(spark, inputs.products, PRODUCTS_SCHEMA, as_of)),
+        "bronze.orders_raw": lambda: s.replace("bronze.orders_raw", _loaded(spark, inputs.orders, M.RAW_ORDERS_SCHEMA, as_of)),
+        "bronze.order_events": events_in,
     })
     _checks(s, T, "bronze", run_ts, r)
 
@@ -185,12 +238,9 @@ def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "
     ge = parts[0]
     for p in parts[1:]:
         ge = ge.unionByName(p)
-    ge = s.append("audit.ge_results", ge.select(*GE_RESULTS_SCHEMA.fieldNames()))
+    results = store.materialize(ge.select(*GE_RESULTS_SCHEMA.fieldNames()), "ge_results")
+    ge = s.append("audit.ge_results", results)
     T["audit.dq_results"] = spark.read.parquet(s.path("audit.dq_results"))
     T["audit.ge_results"] = ge
+    ex.assert_suite(results)
     return r
-
-
-def expectations_of(result: RunResult, run_ts: Column | None = None) -> DataFrame:
-    ge = result.tables["audit.ge_results"]
-    return ge.filter(F.col("run_ts") == (run_ts if run_ts is not None else ts(result.as_of)))

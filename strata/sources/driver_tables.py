@@ -35,6 +35,10 @@ NO_ID_EVERY = 83                         # payload without event_id
 BAD_TOKEN_QTY_EVERY = 53                 # csv: quantity 'n/a'
 BAD_TOKEN_TS_EVERY = 59                  # csv: order_ts 'not a date'
 BAD_TOKEN_PRICE_EVERY = 61               # csv: unit_price 'abc'
+ZONED_TS_EVERY = 7                       # csv and payloads: time written five hours on, with +05:00
+UTC_TS_EVERY = 11                        # payloads: time written with Z
+# event_type → order status
+EVENT_STATUS = {"signup": "created", "click": "paid", "view": "shipped", "purchase": "completed", "error": "cancelled"}
 RUN_AS_OF = "2026-01-01 00:00:00"        # fixed run clock (_ingested_at / run_ts / rejected_at)
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -45,6 +49,10 @@ def ts(value: str):
     return F.lit(value).cast("timestamp_ntz")
 
 
+def _status():
+    return F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_STATUS.items()], F.col("event_type"))
+
+
 @dataclass
 class DriverTables:
     spark: SparkSession
@@ -94,11 +102,7 @@ class DriverTables:
 
     # -- batch orders --------------------------------------------------------------------
     def orders_raw(self) -> DataFrame:
-        """Order lines as batch orders; ``order_id`` repeats across lines.
-
-        ``(_ingested_at DESC, _src_partkey, _src_suppkey)`` is a total order
-        within an ``order_id``.
-        """
+        """Order lines as batch orders; ``order_id`` repeats across lines."""
         li = self.table("lineitem").select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber",
                                            "l_quantity", "l_extendedprice", "l_returnflag",
                                            "l_linestatus", "l_shipdate")
@@ -115,9 +119,7 @@ class DriverTables:
             F.when(F.col("l_returnflag") == "R", "cancelled").when(F.col("l_linestatus") == "O", "shipped")
              .otherwise("completed").alias("status"),
             F.col("o_orderdate").alias("order_ts"),
-            F.col("l_shipdate").alias("_ingested_at"),
-            F.col("l_partkey").alias("_src_partkey"),
-            F.col("l_suppkey").alias("_src_suppkey"))
+            F.col("l_shipdate").alias("_ingested_at"))
 
     def orders_raw_strings(self) -> DataFrame:
         """``orders_raw`` as an all-string CSV would deliver it, with bad tokens."""
@@ -129,7 +131,9 @@ class DriverTables:
             F.when(k % BAD_TOKEN_QTY_EVERY == 0, F.lit("n/a")).otherwise(s("quantity")).alias("quantity"),
             F.when(k % BAD_TOKEN_PRICE_EVERY == 0, F.lit("abc")).otherwise(s("unit_price")).alias("unit_price"),
             s("total_amount").alias("total_amount"), "status",
-            F.when(k % BAD_TOKEN_TS_EVERY == 0, F.lit("not a date")).otherwise(s("order_ts")).alias("order_ts"))
+            F.when(k % BAD_TOKEN_TS_EVERY == 0, F.lit("not a date"))
+             .when(k % ZONED_TS_EVERY == 0, F.concat((F.col("order_ts") + F.expr("INTERVAL 5 HOURS")).cast("string"), F.lit("+05:00")))
+             .otherwise(s("order_ts")).alias("order_ts"))
 
     # -- stream events -------------------------------------------------------------------
     def order_events(self) -> DataFrame:
@@ -145,7 +149,7 @@ class DriverTables:
             F.col("user_id").alias("product_id"),
             qty.cast("int").alias("quantity"),
             F.col("value").alias("unit_price"),
-            F.col("event_type").alias("status"),
+            _status().alias("status"),
             F.col("ts").alias("event_time"),
             F.col("ts").alias("produced_at"),
             (F.col("ts") + late).alias("_ingested_at"),
@@ -155,7 +159,11 @@ class DriverTables:
     def payloads(self) -> DataFrame:
         """Message-bus records ``(value, partition, offset)`` carrying JSON events."""
         e = self.table("events")
-        t = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+        fmt = "yyyy-MM-dd HH:mm:ss"
+        t = (F.when(F.col("event_id") % ZONED_TS_EVERY == 0,
+                    F.concat(F.date_format(F.col("ts") + F.expr("INTERVAL 5 HOURS"), fmt), F.lit("+05:00")))
+              .when(F.col("event_id") % UTC_TS_EVERY == 0, F.concat(F.date_format("ts", fmt), F.lit("Z")))
+              .otherwise(F.date_format("ts", fmt)))
         eid = F.col("event_id").cast("string")
         uid = F.col("user_id").cast("string")
         qty = (F.get_json_object("props", "$.k").try_cast("int") % 5 + 1).cast("string")
@@ -167,7 +175,7 @@ class DriverTables:
             F.lit('"order_id": "U-'), uid, F.lit('", "customer_id": '), uid,
             F.lit(', "product_id": '), uid, F.lit(', "quantity": '), qty_part,
             F.lit(', "unit_price": '), F.col("value").cast("string"),
-            F.lit(', "status": "'), F.col("event_type"),
+            F.lit(', "status": "'), _status(),
             F.lit('", "event_time": "'), t, F.lit('", "produced_at": "'), t, F.lit('"}'))
         broken = F.concat(F.lit('{"event_id": "'), eid, F.lit('", "quantity": '))
         value = F.when(F.col("event_id") % BAD_JSON_EVERY == 0, broken).otherwise(body)

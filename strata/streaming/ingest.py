@@ -86,9 +86,38 @@ def route_each_batch(out: str, limit_hours: float = 48) -> Callable[[DataFrame,
     return run
 
 
+def _bucket(n: int):
+    return F.pmod(F.xxhash64("order_id"), F.lit(n)).cast("int")
+
+
+def _layout(spark: SparkSession, orders_path: str, buckets: int | None, default: int) -> int:
+    """The recorded bucket count of the table; recorded now if the table is new."""
+    record = orders_path.rstrip("/") + "_layout"
+    if not path_exists(spark, record + "/_SUCCESS"):
+        if path_exists(spark, orders_path):
+            raise ValueError(f"{orders_path} has no recorded bucket count ({record}); copy it with rebucket_orders")
+        n = buckets or default
+        spark.range(1).select(F.lit(n).alias("buckets")).write.mode("overwrite").parquet(record)
+        return n
+    found = spark.read.parquet(record).first().buckets
+    if buckets not in (None, found):
+        raise ValueError(f"{orders_path} is laid out in {found} buckets, not {buckets}; copy it with rebucket_orders")
+    return found
+
+
+def rebucket_orders(spark: SparkSession, orders_path: str, new_path: str, buckets: int) -> None:
+    """Copy the bucketed order table to ``new_path`` with another number of buckets (recorded there)."""
+    if path_exists(spark, new_path):
+        raise ValueError(f"{new_path} exists")
+    n = _layout(spark, new_path, buckets, buckets)
+    old = spark.read.parquet(orders_path).withColumn("bucket", _bucket(n))
+    old.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(new_path)
+
+
 def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: float = 48,
                        key: str = "event_id", orders_path: str | None = None,
-                       order_buckets: int = 64) -> Callable[[DataFrame, int], None]:
+                       order_buckets: int | None = None,
+                       order_bytes: int = 64 << 30) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: lateness split, then insert-only MERGE per micro-batch.
 
     Accepted and quarantined events go to tables partitioned by event day;
@@ -99,8 +128,11 @@ def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: floa
 
     With ``orders_path``, the current state of the orders touched by the
     batch is recomputed from their accepted history and upserted into
-    ``silver.orders``, which is laid out in ``order_buckets`` hash buckets of
-    ``order_id``, so a batch rewrites only the buckets of its orders.
+    ``silver.orders``, which is laid out in hash buckets of ``order_id``, so a
+    batch rewrites only the buckets of its orders. Their number is recorded
+    beside the table when it is first written: ``order_buckets``, or one per
+    GiB of ``order_bytes``, the size the table is expected to reach. Another
+    ``order_buckets`` later is refused (``rebucket_orders`` copies a table).
     """
     def run(batch: DataFrame, batch_id: int) -> None:
         r = route_events(batch, limit_hours=limit_hours, key=key,
@@ -112,7 +144,8 @@ def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: floa
         if orders_path is not None and path_exists(batch.sparkSession, accepted_path):
             history = batch.sparkSession.read.parquet(accepted_path)
             state = stream_orders_touched(history, routed.accepted)
-            state = state.withColumn("bucket", F.pmod(F.xxhash64("order_id"), F.lit(order_buckets)).cast("int"))
+            buckets = _layout(batch.sparkSession, orders_path, order_buckets, max(1, order_bytes >> 30))
+            state = state.withColumn("bucket", _bucket(buckets))
             merge_into_partitions(orders_path, state, "order_id", ["bucket"], [Matched()], [NotMatched()])
     return run
 

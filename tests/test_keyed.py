@@ -37,3 +37,10 @@ def test_snapshot_replace_is_null_safe(spark):
     new = spark.createDataFrame([(4, "x")], "id int, snapshot string")
     out = snapshot_replace(target, new, "snapshot", "day2")
     assert rows(out) == [(1, "day1"), (3, None), (4, "day2")]
+
+
+def test_survivor_does_not_depend_on_arrival_order(spark):
+    data = [(1, 5, "b"), (1, 5, "a"), (1, 5, None), (2, 1, "z"), (1, 4, "c")]
+    for order in (data, data[::-1]):
+        df = spark.createDataFrame(order, "k int, loaded int, name string").coalesce(1)
+        assert sorted(map(tuple, latest_by(df, "k", ["loaded DESC"]).collect())) == [(1, 5, None), (2, 1, "z")]

@@ -95,3 +95,12 @@ def test_single_merge_silver_orders_equals_two_step(spark):
     assert one.count() == 7
     assert one.exceptAll(two).count() == 0 and two.exceptAll(one).count() == 0
     assert rows(one.filter("order_id = 'k2'"), "status", "source") == [("paid", "stream")]
+
+
+def test_insert_only_has_no_full_outer_join_and_keeps_clause_rules(spark):
+    from strata.operators.merge import NotMatched, merge
+    t = spark.createDataFrame([(1, "a"), (None, "n")], "k int, v string")
+    s = spark.createDataFrame([(1, "x"), (2, "y"), (None, "m"), (3, "skip")], "k int, v string")
+    out = merge(t, s, "k", [], [NotMatched(cond=lambda t, s: s["v"] != "skip")])
+    assert "FullOuter" not in out._jdf.queryExecution().optimizedPlan().toString()
+    assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, "a"), (None, "n"), (2, "y"), (None, "m")], key=repr)

@@ -73,3 +73,43 @@ def test_unroutable_events_are_kept_on_request(spark):
     r = run_medallion(spark, SF, scratch_path(spark, "unroutable"), "day1", keep_unroutable=True)
     # the driver data has no NULL order ids, so the table exists and is empty
     assert r.tables["silver.order_events_unroutable"].count() == 0
+
+
+def _own_files(spark, status="paid"):
+    """CSV folders (one row group of each table, columns in another order) and a bronze table as the stream leaves it."""
+    from strata.streaming.ingest import file_records, start_ingest
+    root = scratch_path(spark, "own")
+    write = lambda rows, cols, name: spark.createDataFrame(rows, cols).write.option("header", True).csv(f"{root}/in/{name}")
+    write([("Ann", "1", "a@x", "Rome", "S", "2020-01-01", "2024-01-01 00:00:00")], "full_name string, customer_id string, email string, "
+          "city string, segment string, signup_date string, updated_at string", "customers")
+    write([("2.5", "7", "toys", "ball")], "unit_price string, product_id string, category string, product_name string", "products")
+    write([("b1", "1", "7", "2", "2.5", "5.0", "completed", "2024-01-05 00:00:00")], "order_id string, customer_id string, product_id string, "
+          "quantity string, unit_price string, total_amount string, status string, order_ts string", "orders")
+    event = ('{"event_id": "e1", "order_id": "s1", "customer_id": 1, "product_id": 7, "quantity": 1, "unit_price": 2.5, "status": "%s", '
+             '"event_time": "2024-01-06T00:00:00Z", "produced_at": "2024-01-06 00:00:00"}' % status)
+    spark.createDataFrame([(event, 0, 0)], "value string, partition int, offset bigint").write.parquet(f"{root}/landing")
+    from pyspark.sql import functions as F
+    start_ingest(file_records(spark, f"{root}/landing"), f"{root}/lake/bronze/order_events", f"{root}/ckpt", {"availableNow": True},
+                 F.col("event_time")).awaitTermination()
+    return root
+
+
+def test_csv_files_and_streamed_events_reach_gold(spark):
+    from strata.__main__ import main
+    root = _own_files(spark)
+    own = [x for n in ("customers", "products", "orders") for x in (f"--{n}", f"{root}/in/{n}")]
+    assert main(["run", *own, "--root", f"{root}/lake"]) == 0
+    from strata.sinks.store import read_latest
+    orders = read_latest(spark, f"{root}/lake/silver/orders").collect()
+    assert sorted((r.order_id, r.source) for r in orders) == [("b1", "batch"), ("s1", "stream")]
+    assert read_latest(spark, f"{root}/lake/gold/fact_orders").count() == 2
+    assert main(["run", "--customers", "x", "--root", root]) == 1
+
+
+def test_a_failed_expectation_fails_the_run_after_its_audit_row(spark):
+    from strata.operators.expectations import ExpectationsFailed
+    from strata.plans.runner import Inputs, run_pipeline
+    root = _own_files(spark, status="lost")
+    with pytest.raises(ExpectationsFailed):
+        run_pipeline(spark, Inputs(*(f"{root}/in/{n}" for n in ("customers", "products", "orders"))), f"{root}/lake")
+    assert spark.read.parquet(f"{root}/lake/audit/ge_results").filter("NOT success").count() == 1

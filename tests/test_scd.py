@@ -4,8 +4,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from conftest import d, rows, ts
-from strata.operators.keys import assign_surrogate_keys
-from strata.operators.scd import empty_dim, scd1, scd2_apply, scd2_changes
+from strata.operators.keys import assign_surrogate_keys, key_ranges
+from strata.operators.scd import empty_dim, scd1, scd2_apply, scd2_changes, scd2_close
 from strata.plans.medallion import CUSTOMER_ATTRS, DIM_CUSTOMER_SCHEMA, SCD2_TRACKED
 
 SRC = ("customer_id bigint, full_name string, email string, city string, segment string, "
@@ -77,7 +77,7 @@ def test_surrogate_keys_equal_global_row_number(spark):
     df = spark.createDataFrame([(k,) for k in keys], "k bigint")
     expect = df.withColumn("sk", 41 + F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first())))
     for buckets in (1, 7, 4096):
-        got = assign_surrogate_keys(df, "k", out="sk", start=41, max_buckets=buckets)
+        got = assign_surrogate_keys(df, "k", out="sk", start=41, ranges=buckets)
         assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
 
 
@@ -94,5 +94,22 @@ def test_surrogate_keys_on_string_keys_equal_global_row_number(spark):
     df = spark.createDataFrame([(k,) for k in set(keys)], "k string")
     expect = df.withColumn("sk", F.row_number().over(Window.orderBy(F.col("k").asc_nulls_first())))
     for buckets in (3, 512):
-        got = assign_surrogate_keys(df, "k", out="sk", max_buckets=buckets)
+        got = assign_surrogate_keys(df, "k", out="sk", ranges=buckets)
         assert got.exceptAll(expect).count() == 0 and expect.exceptAll(got).count() == 0
+
+
+def test_key_ranges_stay_even_with_outliers_and_shared_prefixes(spark):
+    longs = spark.range(20_000).select(F.when(F.col("id") == 0, 1 << 60).when(F.col("id") == 1, -(1 << 62)).otherwise(F.col("id")).alias("k"))
+    texts = spark.range(20_000).select(F.concat(F.lit("the same long prefix "), F.col("id").cast("string")).alias("k"))
+    for df in (longs, texts):
+        sizes = [r[0] for r in key_ranges(df, "k", ranges=20).groupBy("__sk_range").count().select("count").collect()]
+        assert sum(sizes) == 20_000 and max(sizes) < 4_000
+
+
+def test_close_does_not_shuffle_the_closed_history(spark):
+    t0 = ts("2024-01-01 00:00:00")
+    dim = spark.createDataFrame([(1, 1, t0, t0, False), (2, 1, t0, None, True), (3, 2, t0, None, None)],
+                                "sk long, k long, effective_from timestamp_ntz, effective_to timestamp_ntz, is_current boolean")
+    changes = spark.createDataFrame([(1, ts("2024-03-01 00:00:00")), (2, t0)], "k long, updated_at timestamp_ntz")
+    got = rows(scd2_close(dim, changes, "k"), "sk", "effective_to", "is_current")
+    assert got == sorted([(1, t0, False), (2, ts("2024-03-01 00:00:00"), False), (3, None, None)], key=repr)

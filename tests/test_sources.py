@@ -92,3 +92,14 @@ def test_a_broken_off_write_does_not_block_the_table(spark, tmp_dir):
     os.makedirs(f"{base}/v=1")
     write_version(spark.range(2), base)
     assert read_latest(spark, base).count() == 2
+
+
+def test_zoned_times_become_utc(spark):
+    from strata.sources.files import apply_schema
+    from strata.sources.json_events import decode_json_events
+    texts = [("2024-01-01 10:00:00",), ("2024-01-01T10:00:00Z",), ("2024-01-01 10:00:00+05:00",), ("10:00",), ("x",), (None,)]
+    want = [ts("2024-01-01 10:00:00"), ts("2024-01-01 10:00:00"), ts("2024-01-01 05:00:00"), None, None, None]
+    df = spark.createDataFrame(texts, "t string").coalesce(1)
+    assert [r.t for r in apply_schema(df, "t timestamp_ntz").collect()] == want
+    events = spark.createDataFrame([('{"event_id": "e", "event_time": "%s"}' % t[0],) for t in texts[:3]], "value string").coalesce(1)
+    assert [r.event_time for r in decode_json_events(events).collect()] == want[:3]

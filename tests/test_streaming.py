@@ -1,6 +1,9 @@
 import os
 
-from conftest import rows
+import pytest
+
+from conftest import rows, ts
+from strata.session import scratch_path
 from strata.streaming.ingest import bronze_events, file_records, route_each_batch, silver_events_sink, start_ingest
 
 
@@ -90,3 +93,21 @@ def test_stream_maintains_silver_orders_incrementally(spark, tmp_dir):
     assert got.count() == 3
     assert got.exceptAll(full).count() == 0 and full.exceptAll(got).count() == 0
     assert rows(got.filter("order_id = 'A'"), "status", "total_amount") == [("paid", 2.5)]
+
+
+def test_order_buckets_are_recorded_and_another_number_is_refused(spark):
+    from strata.streaming.ingest import rebucket_orders
+    a, r, o = (scratch_path(spark, n) for n in ("lay_a", "lay_r", "lay_o"))
+    t = ts("2024-01-01 00:00:00")
+    schema = ("event_id string, order_id string, customer_id bigint, product_id bigint, quantity int, unit_price double, status string, "
+              "event_time timestamp_ntz, produced_at timestamp_ntz, _ingested_at timestamp_ntz, kafka_partition int, kafka_offset bigint")
+    batch = lambda e, status, hour: spark.createDataFrame(
+        [(e, "o1", 1, 1, 1, 1.0, status, t.replace(hour=hour), t, t.replace(hour=hour), 0, hour)], schema)
+    silver_events_sink(a, r, orders_path=o, order_buckets=8)(batch("e1", "paid", 1), 0)
+    with pytest.raises(ValueError, match="8 buckets"):
+        silver_events_sink(a, r, orders_path=o, order_buckets=16)(batch("e2", "shipped", 2), 1)
+    silver_events_sink(a, r, orders_path=o)(batch("e2", "shipped", 2), 1)
+    assert [x.status for x in spark.read.parquet(o).collect()] == ["shipped"]
+    rebucket_orders(spark, o, o + "_more", 16)
+    silver_events_sink(a, r, orders_path=o + "_more", order_buckets=16)(batch("e3", "completed", 3), 2)
+    assert [x.status for x in spark.read.parquet(o + "_more").collect()] == ["completed"]
