@@ -78,9 +78,13 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str,
         F.col(sk).alias("__i_sk"), F.col("null_ts").alias("__null_ts"))
     t = F.col(ts)
     in_range = ((F.col("__lo").isNull() | (t >= F.col("__lo"))) & (F.col("__hi").isNull() | (t < F.col("__hi"))))
-    cond = (F.col(fk) == F.col("__i_key")) & F.when(t.isNull(), F.col("__null_ts")).otherwise(in_range)
-    j = fact.join(iv, cond, "inner")
-    return j.withColumn(sk, F.col("__i_sk")).drop("__i_key", "__lo", "__hi", "__i_sk", "__null_ts")
+    # the windows leave the intervals partitioned by the key; a second join key (0 on both sides)
+    # makes both inputs shuffle stages again, which AQE needs to split a hot key
+    iv = iv.withColumn("__i_salt", null_key_salt(["__i_key"], ["__i_key"]))
+    salted = fact.withColumn("__f_salt", null_key_salt([fk], [fk]))
+    cond = (F.col(fk) == F.col("__i_key")) & (F.col("__f_salt") == F.col("__i_salt")) & F.when(t.isNull(), F.col("__null_ts")).otherwise(in_range)
+    j = salted.join(iv, cond, "inner")
+    return j.withColumn(sk, F.col("__i_sk")).drop("__i_key", "__lo", "__hi", "__i_sk", "__null_ts", "__i_salt", "__f_salt")
 
 
 def unknown_member(fact: DataFrame, dim: DataFrame, key: str, sk: str,
