@@ -25,9 +25,10 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the later copies of repeated runs of two or more lines; ``n_chars`` follows the text."""
+    """Texts without the later copies of repeated runs of two or more lines, and of single lines of 10 words or 100 bytes; ``n_chars`` follows the text."""
     release()
-    return _columns(lines.remove_repeats(spark, docs, min_lines=2), docs)
+    out = lines.remove_repeats(spark, docs, min_lines=2, lone_words=lines.LONE_WORDS, lone_bytes=lines.LONE_BYTES)
+    return _columns(out, docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,8 @@ the suffix array for good and leave after each round. Doubling ends when the
 depth is that of the shortest run that counts: a rank that several suffixes have
 is then a longest-common-prefix interval of at least that many lines. All but
 the first of an interval start a repeated run; neighbouring starts make up the
-maximal runs, whose lines go.
+maximal runs, whose lines go. A line with enough content can count as a run by
+itself: it goes wherever it was seen before, whatever stands around it.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from pyspark.sql import functions as F
 from strata.llm.common import blocks, fresh, stage
 
 MIN_LINES = 2
+LONE_WORDS = 10        # a line of so many words, or of so many bytes, is a passage by itself
+LONE_BYTES = 100
 
 
 def _ranks(spark: SparkSession, pairs: DataFrame) -> DataFrame:
@@ -53,15 +56,24 @@ def repeated_starts(spark: SparkSession, lines: DataFrame, min_lines: int) -> Da
     return at.join(first, "r").where("at > first").select("rid", "n")
 
 
+def repeated_alone(lines: DataFrame) -> DataFrame:
+    """(rid, n): lines marked ``lone`` that an earlier place has too."""
+    lone = lines.where("lone").select("rid", "n", "a", "b", F.struct("place", "rid", "n").alias("at"))
+    first = lone.groupBy("a", "b").agg(F.min("at").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    return lone.join(first, ["a", "b"]).where("at > first").select("rid", "n")
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
-                   text_col: str = "text") -> DataFrame:
+                   text_col: str = "text", lone_words: int | None = None, lone_bytes: int | None = None) -> DataFrame:
     """``docs`` with the later copies of repeated line runs cut from the text, and
     ``n_lines_``, ``n_removed_``, ``run_start_``, ``run_lines_`` (the maximal runs cut).
 
     Lines end at "\\n" and are compared byte by byte. A line goes if it lies in
     ``min_lines`` or more consecutive lines of its document that also start
     earlier (a smaller id, null ids last, then input order; or above in the same
-    document; overlaps count), judged on the input. Kept lines are joined by "\\n".
+    document; overlaps count), judged on the input. So does a single line that
+    starts earlier if it has ``lone_words`` words (parted by ASCII blanks) or
+    ``lone_bytes`` bytes (None: not judged). Kept lines are joined by "\\n".
     A null text stays null with no lines, an empty text is one empty line; a text
     that loses all lines is empty. Repeated rows are documents of their own; no
     rows give no rows; other columns stay.
@@ -69,10 +81,19 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LI
     rid = fresh(docs, "rid_")
     base = stage(spark, docs.withColumn(rid, F.monotonically_increasing_id()), "line-docs")
     place = F.struct(F.col(f"`{id_col}`").isNull().alias("n"), F.col(f"`{id_col}`").alias("i"))
+    lone = F.lit(False)
+    if lone_words is not None:
+        lone |= F.size(F.filter(F.split("line", r"[\x20\x09-\x0D]+"), lambda w: w != "")) >= lone_words
+    if lone_bytes is not None:
+        lone |= F.octet_length("line") >= lone_bytes
     lines = stage(spark, base.where(F.col(f"`{text_col}`").isNotNull()).select(
         F.col(rid).alias("rid"), place.alias("place"), F.posexplode(F.split(F.col(f"`{text_col}`"), "\n", -1)).alias("n", "line"))
-        .select("rid", "place", "n", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), F.reverse("line")).alias("b")), "lines")
-    starts = repeated_starts(spark, lines, min_lines).groupBy("rid").agg(F.collect_list("n").alias("starts_"))
+        .select("rid", "place", "n", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), F.reverse("line")).alias("b"), lone.alias("lone")), "lines")
+    starts = repeated_starts(spark, lines, min_lines).withColumn("alone", F.lit(False))
+    if lone_words is not None or lone_bytes is not None:
+        starts = starts.union(repeated_alone(lines).withColumn("alone", F.lit(True)))
+    starts = starts.groupBy("rid").agg(F.collect_list(F.when(~F.col("alone"), F.col("n"))).alias("starts_"),
+                                       F.collect_list(F.when(F.col("alone"), F.col("n"))).alias("alone_"))
     found = base.join(starts.withColumnRenamed("rid", rid), rid, "left").drop(rid)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,7 +101,7 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LI
             i = b.schema.get_field_index(text_col)
             texts = b.column(i).to_pylist()
             counts, removed, run_start, run_lines = [], [], [], []
-            for k, starts in enumerate(b.column("starts_").to_pylist()):
+            for k, (starts, alone) in enumerate(zip(b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist())):
                 cut = texts[k].split("\n") if texts[k] is not None else []
                 counts.append(len(cut))
                 edge = np.zeros(len(cut) + 1, np.int64)
@@ -88,17 +109,18 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LI
                     edge[starts] += 1
                     np.add.at(edge, np.array(starts) + min_lines, -1)
                 gone = np.cumsum(edge[:-1]) > 0
+                gone[alone or []] = True
                 step = np.diff(np.r_[0, gone.astype(np.int8), 0])
                 first, last = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
                 run_start.append(first.tolist()), run_lines.append((last - first).tolist())
                 removed.append(int(gone.sum()))
                 if removed[-1]:
                     texts[k] = "\n".join(x for x, g in zip(cut, gone.tolist()) if not g)
-            cols = list(b.columns[:-1])
+            cols = list(b.columns[:-2])
             cols[i] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*cols, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(run_start, pa.list_(pa.int32())),
-                 pa.array(run_lines, pa.list_(pa.int32()))], names=[*b.schema.names[:-1], "n_lines_", "n_removed_", "run_start_", "run_lines_"])
+                 pa.array(run_lines, pa.list_(pa.int32()))], names=[*b.schema.names[:-2], "n_lines_", "n_removed_", "run_start_", "run_lines_"])
 
     from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
     added = [StructField("n_lines_", LongType()), StructField("n_removed_", LongType()),

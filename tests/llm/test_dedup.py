@@ -108,6 +108,33 @@ def test_lines(spark, docs, none, m):
     assert lines.remove_repeats(spark, none, m).count() == 0
 
 
+@pytest.mark.parametrize("words,size", [(3, None), (None, 12), (3, 12)])
+def test_lone_lines(spark, docs, none, words, size):
+    foot = "read more about this on our site"
+    more = [(100, f"one\n{foot}\nshort\ntwo"), (101, f"three\n{foot}\nfour\nshort"), (102, foot), (103, foot), (104, f"{foot}\n{foot}"), (105, "https://a/bcdef"),
+            (106, "x\nhttps://a/bcdef\ny"), (None, f"five\n{foot}")]
+    rows = docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id long, text string"))
+    lone = lambda x: (words is not None and len(re.findall(r"[^\x20\x09-\x0D]+", x)) >= words) or (size is not None and len(x.encode()) >= size)
+    pairs, seen, want = set(), set(), []
+    for i, t in texts(rows):
+        w = t.split("\n") if t is not None else []
+        gone = set()
+        for k, x in enumerate(w):
+            if k + 1 < len(w):
+                gone |= {k, k + 1} if (x, w[k + 1]) in pairs else set()
+                pairs.add((x, w[k + 1]))
+            gone |= {k} if lone(x) and x in seen else set()
+            seen.add(x)
+        want.append((i, len(w), len(gone), None if t is None else "\n".join(x for k, x in enumerate(w) if k not in gone)))
+    got = lines.remove_repeats(spark, rows, 2, lone_words=words, lone_bytes=size)
+    have = got.collect()
+    assert sorted(((r.doc_id, r.n_lines_, r.n_removed_, r.text) for r in have), key=repr) == sorted(want, key=repr)
+    assert all(sum(r.run_lines_) == r.n_removed_ for r in have)
+    by_id = {r.doc_id: r.text for r in have}
+    assert by_id[100] == f"one\n{foot}\nshort\ntwo" and (by_id[101], by_id[102], by_id[104]) == ("three\nfour\nshort", "", "")
+    assert lines.remove_repeats(spark, none, 2, lone_words=words, lone_bytes=size).count() == 0
+
+
 def brute_fingerprint(t):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
     sh = [b" ".join(w[k:k + 3]) for k in range(len(w) - 2)] or ([b" ".join(w)] if w else [])

@@ -34,3 +34,10 @@ def test_pipeline(spark, docs, tmp_path):
     last = {r.doc_id: r.text for r in frames["benchmark_decontamination"].collect()}
     assert last[300].split() == ["before", "after"]
     assert {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).select("doc_id").collect()} == ids["byte_bpe"]
+
+
+def test_pipeline_cuts_lone_lines(spark, tmp_path):
+    foot = "this one line of ten words stands under every article"
+    rows = [(1, f"first\n{foot}\nalpha", 6), (2, f"second\n{foot}\nbeta", 7), (3, foot, 8)]
+    out = corpus_pipeline.drop_repeated_lines(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), str(tmp_path))
+    assert sorted(map(tuple, out.collect())) == [(1, rows[0][1], len(rows[0][1])), (2, "second\nbeta", 11), (3, "", 0)]
