@@ -37,11 +37,13 @@ def load(table: pa.Table) -> tuple[np.ndarray, pa.Array, np.ndarray, np.ndarray]
     return np.asarray(table.column("rid")), table.column("doc_id"), buf, off
 
 
-def question(chunk: int, parts: tuple[np.ndarray, ...], again: np.ndarray, buckets: int) -> pa.Table:
-    """One row per bucket: count, the sorted hashes (one or two 64-bit parts) and the bits of those the chunk has again."""
+def question(chunk: int, parts: tuple[np.ndarray, ...], again: np.ndarray, buckets: int, times: np.ndarray | None = None) -> pa.Table:
+    """One row per bucket: count, the sorted hashes (one or two 64-bit parts) and the bits of those the chunk has again
+    (with ``times``, how often it has each of those follows)."""
     cut = np.searchsorted(bucket_of(parts[0], buckets), np.arange(buckets + 1))
     full = np.flatnonzero(cut[1:] > cut[:-1])
     payload = [len(again[a:z]).to_bytes(8, "little") + b"".join(p[a:z].tobytes() for p in parts) + np.packbits(again[a:z]).tobytes()
+               + (b"" if times is None else times[a:z][again[a:z]].astype("<u4").tobytes())
                for a, z in zip(cut[full], cut[full + 1])]
     return pa.table({"chunk": pa.array(np.full(len(full), chunk), pa.int64()), "kind": pa.array(np.full(len(full), len(parts)), pa.int32()),
                      "bucket": pa.array(full, pa.int32()), "payload": pa.array(payload, pa.binary())}, schema=_ANSWER)
@@ -78,15 +80,32 @@ def answer(table):
     return pa.table([table.column("chunk"), table.column("kind"), table.column("bucket"), pa.array(bits, pa.binary())], schema=_ANSWER)
 
 
-def ask(questions: DataFrame) -> DataFrame:
-    return questions.groupBy("bucket").applyInArrow(answer, ANSWER)
+def tally(table, bound: int):
+    """``answer`` to questions with ``times`` (one part); a second row of bits is set for hashes that occur more than ``bound`` times."""
+    payloads = table.column("payload").to_pylist()
+    read = [_read(p, 1) for p in payloads]
+    h = np.concatenate([r[0][0] for r in read])
+    times = []
+    for p, (_, again) in zip(payloads, read):
+        n = np.ones(len(again), np.int64)
+        n[again] = np.frombuffer(p, "<u4", int(again.sum()), 8 + 8 * len(again) + -(-len(again) // 8))
+        times.append(n)
+    _, group = np.unique(h, return_inverse=True)
+    total = np.bincount(group, weights=np.concatenate(times))[group]
+    ends = np.cumsum([len(n) for n in times])
+    bits = [np.packbits(total[z - len(n):z] > 1).tobytes() + np.packbits(total[z - len(n):z] > bound).tobytes() for n, z in zip(times, ends)]
+    return pa.table([table.column("chunk"), table.column("kind"), table.column("bucket"), pa.array(bits, pa.binary())], schema=_ANSWER)
+
+
+def ask(questions: DataFrame, bound: int | None = None) -> DataFrame:
+    return questions.groupBy("bucket").applyInArrow(answer if bound is None else lambda t: tally(t, bound), ANSWER)
 
 
-def answered(answers: pa.Table, kind: int, parts: tuple[np.ndarray, ...], buckets: int) -> np.ndarray:
-    """The bits of a chunk's sorted hashes, from the rows that came back to it."""
+def answered(answers: pa.Table, kind: int, parts: tuple[np.ndarray, ...], buckets: int, row: int = 0) -> np.ndarray:
+    """The bits of a chunk's sorted hashes, from the rows that came back to it (``row`` 1: the second row of bits)."""
     out = np.zeros(len(parts[0]), bool)
     cut = np.searchsorted(bucket_of(parts[0], buckets), np.arange(buckets + 1))
     for k, b, p in zip(*(answers.column(c).to_pylist() for c in ("kind", "bucket", "payload"))):
         if k == kind:
-            out[cut[b]:cut[b + 1]] = np.unpackbits(np.frombuffer(p, np.uint8), count=cut[b + 1] - cut[b])
+            out[cut[b]:cut[b + 1]] = np.unpackbits(np.frombuffer(p, np.uint8, offset=row * -(-int(cut[b + 1] - cut[b]) // 8)), count=cut[b + 1] - cut[b])
     return out

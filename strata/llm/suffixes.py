@@ -10,7 +10,10 @@ sides, read backwards, o bytes. Both are runs of longest common prefixes in a
 sorted order. Only anchors that occur again leave their documents, each with the
 bytes around it, to a bucket of the hash range, where they are sorted: multikey
 quicksort on eight-byte symbols down to a shallow depth, then a blind trie for
-each group that is still equal there.
+each group that is still equal there. An anchor that occurs too often for one
+bucket (a phrase that many documents have, with differing surroundings) sends the
+hashes of its windows instead, spread over all buckets: each chunk its different
+ones, with the first place of each.
 """
 
 from __future__ import annotations
@@ -27,6 +30,7 @@ from strata.llm.common import Rolling, mix
 WINDOW = 100
 GRAM = 32
 CHUNK_BYTES = 2 << 20
+HOT = 4096             # occurrences from which an anchor's windows are compared one by one
 SHALLOW = 3            # eight-byte symbols that the multikey quicksort looks at
 _BASE = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _PLACE_BITS = 36       # a chunk's places in the low bits, so that the leftmost of equal hashes is the smallest
@@ -60,12 +64,24 @@ class Anchors:
         first = np.flatnonzero(new)
         self.place, self.doc = place[first], doc[first]
         self.low, self.high = at[first], at[np.r_[first[1:], len(at)] - 1]
-        self.hash = h[self.place]
+        self.hash = mix(h[self.place])      # the smallest of many lie close together: mixed again, all buckets get their share
 
     def unique(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Index of each anchor's hash among the chunk's different ones, those, and whether they repeat."""
+        """Index of each anchor's hash among the chunk's different ones, those, and how often they occur."""
         h, index, n = np.unique(self.hash, return_inverse=True, return_counts=True)
-        return index, h, n > 1
+        return index, h, n
+
+    def windows(self, at: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The different windows of the anchors ``at``: their two hashes, sorted, the first start of each, and all later starts."""
+        if not len(at):
+            return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
+        size = self.high[at] - self.low[at] + 1
+        starts = np.sort(np.arange(size.sum()) + np.repeat(self.low[at] - (np.cumsum(size) - size), size))
+        h = [mix(Rolling(self.buf.astype(np.uint64) + np.uint64(1), b).of(starts, starts + window)) for b in _BASE[1:]]
+        by = np.lexsort((starts, h[1], h[0]))
+        new = np.ones(len(by), bool)
+        new[1:] = (h[0][by][1:] != h[0][by][:-1]) | (h[1][by][1:] != h[1][by][:-1])
+        return h[0][by][new], h[1][by][new], starts[by][new], starts[by][~new]
 
     def contexts(self, repeated: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
         """Repeated anchors, sorted so that those with the same bytes around them follow each other in
@@ -217,6 +233,7 @@ def later_windows(buf: np.ndarray, start: np.ndarray, left: np.ndarray, right: n
 
 _CONTEXT = pa.schema([("bucket", pa.int32()), ("chunk", pa.int64()), ("n", pa.int64()), ("head", pa.binary()), ("bytes", pa.binary())])
 _HEAD = np.dtype([("ctx", "<i4"), ("left", "<i4"), ("right", "<i4"), ("least", "<i4"), ("null", "<i4"), ("id", "<i8"), ("rid", "<i8"), ("at", "<i8")])
+_RANK = np.dtype([("null", "<i1"), ("id", "<i8"), ("rid", "<i8"), ("at", "<i8")])
 _FOUND = pa.schema([("chunk", pa.int64()), ("kind", pa.int32()), ("bucket", pa.int32()), ("payload", pa.binary())])
 
 
@@ -247,8 +264,30 @@ def _compare(table: pa.Table, window: int) -> pa.Table:
                      "payload": pa.array([runs[a:z].tobytes() for a, z in zip(cut, ends)], pa.binary())}, schema=_FOUND)
 
 
+def _later(table: pa.Table, bucket: int) -> pa.Table:
+    """One bucket of window hashes: for each chunk a bit for those that have an equal one of a smaller rank."""
+    n = table.column("n").to_pylist()
+    raw = table.column("bytes").to_pylist()
+    h1, h2 = (np.concatenate([np.frombuffer(r, np.uint64, k, 8 * k * part) for r, k in zip(raw, n)]) for part in (0, 1))
+    rank = np.concatenate([np.frombuffer(r, _RANK) for r in table.column("head").to_pylist()])
+    by = np.lexsort((rank["at"], rank["rid"], rank["id"], rank["null"], h2, h1))
+    later = np.zeros(len(by), bool)
+    later[by[1:]] = (h1[by][1:] == h1[by][:-1]) & (h2[by][1:] == h2[by][:-1])
+    bits = [np.packbits(later[z - k:z]).tobytes() for k, z in zip(n, np.cumsum(n).tolist())]
+    return pa.table({"chunk": table.column("chunk"), "kind": pa.array(np.full(len(n), 2), pa.int32()),
+                     "bucket": pa.array(np.full(len(n), bucket), pa.int32()), "payload": pa.array(bits, pa.binary())}, schema=_FOUND)
+
+
+def _found(around: DataFrame, window: int, groups: int) -> DataFrame:
+    """Answers to the chunks: buckets below ``groups`` hold contexts, the others window hashes."""
+    def one(key, table):
+        bucket = key[0].as_py()
+        return _compare(table, window) if bucket < groups else _later(table, bucket - groups)
+    return around.groupBy("bucket").applyInArrow(one, ex.ANSWER)
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, gram: int = GRAM, id_col: str = "doc_id",
-                   text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
+                   text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, hot: int = HOT) -> DataFrame:
     """One row per document: ``rid, doc_id, n_bytes, n_removed, kept`` (the bytes left) and the maximal
     removed ranges ``span_start, span_end``.
 
@@ -270,15 +309,20 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
         return rids, ids, a, *a.unique()
 
     def anchors(key, table):
-        *_, h, again = setup(table)
-        return ex.question(key[0].as_py(), (h,), again, buckets)
+        *_, h, times = setup(table)
+        return ex.question(key[0].as_py(), (h,), times > 1, buckets, times)
+
+    def split(a, index, h, answers):
+        """First ones of equal contexts, the others of each, and the windows of hot anchors' first ones."""
+        at, first = a.contexts(ex.answered(answers, 1, (h,), buckets)[index], window)
+        over = ex.answered(answers, 1, (h,), buckets, 1)[index][at]
+        return at[first & ~over], at[~first], a.windows(at[first & over], window)
 
     def contexts(key, table, answers):
         if not table.num_rows:
             return _CONTEXT.empty_table()
         rids, ids, a, index, h, _ = setup(table)
-        at, first = a.contexts(ex.answered(answers, 1, (h,), buckets)[index], window)
-        at = at[first]          # the chunk itself knows that the others are later
+        at, _, (h1, h2, start, _) = split(a, index, h, answers)     # the chunk itself knows that the others are later
         bucket = ex.bucket_of(a.hash[at], groups)
         null = np.asarray(ids.is_null())
         number = np.asarray(ids.fill_null(0))
@@ -290,11 +334,22 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
         raw = a.buf.tobytes()
         full = np.flatnonzero(cut[1:] > cut[:-1])
         low, end = a.low[at].tolist(), (a.high[at] + window).tolist()
-        return pa.table({"bucket": pa.array(full, pa.int32()), "chunk": pa.array(np.full(len(full), key[0].as_py()), pa.int64()),
+        doc = np.searchsorted(a.off, start, "right") - 1
+        rank = np.zeros(len(start), _RANK)
+        rank["null"], rank["id"], rank["rid"], rank["at"] = null[doc], number[doc], rids[doc], start - a.off[doc]
+        edge = np.searchsorted(ex.bucket_of(h1, groups), np.arange(groups + 1))
+        some = np.flatnonzero(edge[1:] > edge[:-1])
+        spread = pa.table({"bucket": pa.array(groups + some, pa.int32()), "chunk": pa.array(np.full(len(some), key[0].as_py()), pa.int64()),
+                           "n": pa.array(edge[some + 1] - edge[some], pa.int64()),
+                           "head": pa.array([rank[x:z].tobytes() for x, z in zip(edge[some], edge[some + 1])], pa.binary()),
+                           "bytes": pa.array([h1[x:z].tobytes() + h2[x:z].tobytes() for x, z in zip(edge[some], edge[some + 1])], pa.binary())},
+                          schema=_CONTEXT)
+        near = pa.table({"bucket": pa.array(full, pa.int32()), "chunk": pa.array(np.full(len(full), key[0].as_py()), pa.int64()),
                          "n": pa.array(cut[full + 1] - cut[full], pa.int64()),
                          "head": pa.array([head[x:z].tobytes() for x, z in zip(cut[full], cut[full + 1])], pa.binary()),
                          "bytes": pa.array([b"".join([raw[s:e] for s, e in zip(low[x:z], end[x:z])]) for x, z in zip(cut[full], cut[full + 1])],
                                            pa.binary())}, schema=_CONTEXT)
+        return pa.concat_tables([near, spread])
 
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
                         ("kept", pa.binary()), ("span_start", pa.list_(pa.int64())), ("span_end", pa.list_(pa.int64()))])
@@ -303,12 +358,13 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
         if not table.num_rows:
             return schema.empty_table()
         rids, ids, a, index, h, _ = setup(table)
-        at, first = a.contexts(ex.answered(answers, 1, (h,), buckets)[index], window)
+        at, local, (h1, h2, start, again) = split(a, index, h, answers)
         edge = np.zeros(len(a.buf) + 1, np.int32)
-        local = at[~first]
         np.add.at(edge, a.low[local], 1)
         np.add.at(edge, a.high[local] + window, -1)
-        at = at[first]
+        for later in (again, start[ex.answered(answers, 2, (h1, h2), groups)]):
+            np.add.at(edge, later, 1)
+            np.add.at(edge, later + window, -1)
         for kind, p in zip(answers.column("kind").to_pylist(), answers.column("payload").to_pylist()):
             if kind == 0:
                 ctx, lo, hi = np.frombuffer(p, "<i4").reshape(-1, 3).astype(np.int64).T
@@ -327,10 +383,10 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, window: int = WINDOW, g
         return pa.table([pa.array(rids), ids, pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()),
                          pa.array(starts, pa.list_(pa.int64())), pa.array(ends, pa.list_(pa.int64()))], schema=schema)
 
-    hashes = ex.ask(base.groupBy("chunk").applyInArrow(anchors, ex.ANSWER))
+    hashes = ex.ask(base.groupBy("chunk").applyInArrow(anchors, ex.ANSWER), hot)
     around = base.groupBy("chunk").cogroup(hashes.groupBy("chunk")).applyInArrow(
         contexts, "bucket int, chunk long, n long, head binary, bytes binary")
-    found = around.groupBy("bucket").applyInArrow(lambda t: _compare(t, window), ex.ANSWER)
+    found = _found(around, window, groups)
     return base.groupBy("chunk").cogroup(hashes.unionByName(found).groupBy("chunk")).applyInArrow(
         cut, "rid long, doc_id long, n_bytes long, n_removed long, kept binary, span_start array<bigint>, span_end array<bigint>")
 

@@ -68,6 +68,43 @@ def test_suffixes(spark, docs, none, window, gram):
     assert suffixes.remove_repeats(spark, none, window, gram).count() == 0
 
 
+@pytest.mark.parametrize("window,gram,hot", [(100, 32, 1), (20, 6, 3)])
+def test_suffixes_hot_anchors(spark, docs, none, window, gram, hot):
+    got = suffixes.remove_repeats(spark, docs, window, gram, chunk_bytes=3000, hot=hot)
+    have = sorted(((r.doc_id, r.n_bytes, r.n_removed, len(r.span_start), bytes(r.kept)) for r in got.collect()), key=repr)
+    assert have == brute_bytes(texts(docs), window)
+    assert suffixes.remove_repeats(spark, none, window, gram, hot=hot).count() == 0
+
+
+def test_common_phrase_is_spread(spark, monkeypatch):
+    """A phrase in all documents, with differing surroundings: no bucket gets a context of each document."""
+    r = random.Random(3)
+    rest = lambda n: "".join(r.choice("abcdefghijklmnop ") for _ in range(n))
+    phrase, twin = rest(60), rest(300)
+    rows = [(k, rest(150) + phrase + rest(150)) for k in range(400)] + [(k, twin + phrase + twin) for k in (400, 401)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    sent, found = [], suffixes._found
+    monkeypatch.setattr(suffixes, "_found", lambda around, *a: sent.append((around, a[-1])) or found(around, *a))
+    for hot in (40, 1 << 30):
+        got = suffixes.remove_repeats(spark, df, chunk_bytes=20_000, hot=hot)
+        have = sorted(((x.doc_id, x.n_bytes, x.n_removed, len(x.span_start), bytes(x.kept)) for x in got.collect()), key=repr)
+        assert have == brute_bytes(rows, 100) and max(x[2] for x in have) == 660
+    contexts, windows = [], []
+    for around, groups in sent:
+        sizes = [(x["bucket"], x["sum(n)"]) for x in around.groupBy("bucket").sum("n").collect()]
+        contexts.append(max((n for b, n in sizes if b < groups), default=0))
+        windows.append([n for b, n in sizes if b >= groups])
+    assert contexts[0] < 100 < contexts[1] and not windows[1]       # a bucket has a few anchors of at most 40
+    assert max(windows[0]) < sum(windows[0]) / 8
+
+
+def test_anchors_fill_all_buckets():
+    text = np.random.default_rng(6).integers(97, 123, 400_000).astype(np.uint8)
+    a = suffixes.Anchors(text, np.array([0, len(text)]), 100, 32)
+    share = np.bincount(suffixes.ex.bucket_of(a.hash, 32), minlength=32) / len(a.hash)
+    assert share.max() < 2 / 32 and share.min() > 0.5 / 32
+
+
 def test_deep_shallow_order():
     r = random.Random(5)
     strings = [bytes(r.choice(b"\x00ab") for _ in range(r.randint(0, 40))) for _ in range(400)] + [b"a" * 30 + bytes([k]) for k in range(50)]
