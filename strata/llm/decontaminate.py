@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import BLOCK_BYTES, blocks, staged_rows, utf8
+from strata.llm.common import BLOCK_BYTES, blocks, fresh, stage, utf8
 
 #: Word bytes after lower-casing: 0-9, a-z and all bytes of non-ASCII characters.
 _FOLD = bytes((b + 32 if 65 <= b <= 90 else b) if (48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128) else 32
@@ -228,17 +228,17 @@ def find_spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size:
     if set(names) & {c.lower() for c in docs.columns}:
         raise ValueError(f"docs must not have columns {names}")
     parts: list[DataFrame] = []
-    base = docs
+    base, rid = docs, fresh(docs, "rid_")
     for n, items in _item_blocks(spark, benchmark, item_col, item_text_col, item_bytes):
         if n > 1 and not parts:
-            base = staged_rows(spark, docs.withColumnRenamed("rid", "rid"), "decontaminate")
+            base = stage(spark, docs.withColumn(rid, F.monotonically_increasing_id()), "decontaminate")
         parts.append(_pass(spark, base, windows_of(items, size), text_col, block_bytes))
     if len(parts) == 1:
         return parts[0]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    every = union.groupBy("rid").agg(
+    every = union.groupBy(rid).agg(
         F.first("n_words_").alias("n_words_"), F.flatten(F.collect_list(F.arrays_zip("span_start_", "span_end_"))).alias("s"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items_")))).alias("items_"))
     # merge the blocks' ranges: sort, then extend or open
@@ -248,9 +248,9 @@ def find_spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size:
             F.get(a, F.size(a) - 1)["span_start_"].alias("span_start_"),
             F.greatest(F.get(a, F.size(a) - 1)["span_end_"], x["span_end_"]).alias("span_end_")))))
         .otherwise(F.concat(a, F.array(x))))
-    every = every.withColumn("s", acc).select("rid", "n_words_", F.col("s.span_start_").alias("span_start_"),
+    every = every.withColumn("s", acc).select(rid, "n_words_", F.col("s.span_start_").alias("span_start_"),
                                               F.col("s.span_end_").alias("span_end_"), "items_")
-    return base.join(every, "rid").drop("rid")
+    return base.join(every, rid).drop(rid)
 
 
 #: Columns that ``find_spans`` adds.

@@ -92,6 +92,14 @@ def test_remove_spans(spark, docs):
     assert left.where("size(items_) > 0").count() == 0
 
 
+def test_remove_spans_keeps_a_row_id_column(spark, docs):
+    """Several item blocks give the rows ids of their own; the table's column RID stays."""
+    bench = items(spark, docs).where("item_id in ('i1', 'i2')")
+    one, many = (decontaminate.remove_spans(spark, docs, bench, 10, item_bytes=n) for n in (1 << 20, 100))
+    assert many.schema == docs.schema
+    assert sorted(map(tuple, many.collect()), key=repr) == sorted(map(tuple, one.collect()), key=repr)
+
+
 def test_fm_index():
     rng = np.random.default_rng(3)
     seq = rng.integers(0, 4, 500)
