@@ -1,7 +1,7 @@
 """DuckDB SQL for the operators that SQL can express, written from their definitions.
 
 Not here: sharding (crc32 of texts), byte-level BPE, SimHash (XXH64), toxicity (a
-trained score) and the byte-wise suffix dedup; tests hold those against brute force.
+trained score), the byte-wise suffix dedup and token counts; tests hold those against brute force.
 """
 
 from __future__ import annotations
@@ -100,6 +100,51 @@ select query_id, rank::int as rank, vec_id, score
 from (select *, row_number() over (partition by k order by score desc, vec_id) as rank from s) where rank <= 5
 """
 
+OP11 = r"""
+with d as materialized (select row_number() over () as k, coalesce(lang, '') as lang, coalesce(source, '') as source,
+           regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+occ as (select k, lang, source, unnest(w) as term from d),
+kept as materialized (select lang, term, count(*)::hugeint as c from occ group by lang, term having count(distinct k) >= 3),
+cnt as materialized (select lang, source, term, count(*)::hugeint as c from occ semi join kept using (lang, term) group by lang, source, term),
+size as (select lang, count(*)::hugeint as v, sum(c)::hugeint as n from kept group by lang),
+grp as (select lang, source, coalesce(g.n, 0)::hugeint as n, coalesce(size.v, 0)::hugeint as v
+        from (select distinct lang, source from d) left join (select lang, source, sum(c)::hugeint as n from cnt group by lang, source) g using (lang, source)
+        left join size using (lang)),
+p as materialized (select g.lang, g.source, k.term, coalesce(c.c, 0) as c, 1 + (1000000000 * (coalesce(c.c, 0) + 1)) // (g.n + g.v) as p
+      from grp g join kept k using (lang) left join cnt c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+sums as (select a.lang, a.source, b.source as item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) as value
+         from p a join p b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+pairs as (select a.lang, a.source, 'pair' as part, b.source as item, coalesce(s.value, 0)::bigint as value
+          from grp a join grp b on a.lang = b.lang and a.source <> b.source
+          left join sums s on s.lang = a.lang and s.source = a.source and s.item = b.source),
+q as (select k.lang, k.term, 1 + (1000000000 * (k.c + 1)) // (s.n + s.v) as q from kept k join size s using (lang)),
+terms as (select p.lang, p.source, 'term' as part, p.term as item, (((p.p - q.q) * (p.p - q.q)) // q.q)::bigint as value
+          from p join q using (lang, term) where p.c > 0 and p.p > q.q)
+select lang, source, part, item, value, rank::int as rank
+from (select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) as rank
+      from (select * from pairs union all select * from terms))
+where part = 'pair' or rank <= 200
+"""
+
+_RANK_TERMS = (r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+               r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+OP12 = rf"""
+with d as materialized (select row_number() over () as k, doc_id, {_RANK_TERMS} as w from documents),
+totals as materialized (select count(*) filter (len(w) > 0) as n_docs, coalesce(sum(len(w)), 0)::bigint as n_all from d),
+item as materialized (select i, item_id, term, count(*) as times
+                      from (select i, item_id, unnest(w) as term from (select row_number() over () as i, item_id, {_RANK_TERMS} as w from benchmark)) group by all),
+tf as materialized (select k, term, count(*) as tf from (select k, unnest(w) as term from d) semi join item using (term) group by k, term),
+weight as materialized (select term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::bigint as weight from tf, totals group by term, n_docs),
+m as (select k, doc_id, 100 - 75 + (75 * len(w) * n_docs) // n_all as m from d, totals where len(w) > 0),
+gain as materialized (select k, m.doc_id, term, weight * ((1000000000 * tf) // (1000 * tf + 8 * m)) as gain from tf join weight using (term) join m using (k)),
+score as (select i, item_id, k, doc_id, sum(times * gain)::bigint as score from gain join item using (term) group by all)
+select item_id, rank::int as rank, doc_id, score
+from (select *, row_number() over (partition by i order by score desc, doc_id) as rank from score where score > 0) where rank <= 10
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_substring_dedup": OP1, "op4_line_dedup": OP4, "op5_warc_derivatives": OP5, "op7_decontamination": OP7, "op10_exact_topk": OP10}
+    return {"op1_substring_dedup": OP1, "op4_line_dedup": OP4, "op5_warc_derivatives": OP5, "op7_decontamination": OP7, "op10_exact_topk": OP10,
+            "op11_divergence_audit": OP11, "op12_ranked_search": OP12}

@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm import bpe, decontaminate, lines, sharding, simhash, substring, suffixes, topk, toxicity, warc
+from strata.llm import bpe, counts, decontaminate, lines, rank, sharding, simhash, stripes, substring, suffixes, topk, toxicity, warc
+from strata.session import scratch_path
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
+WORDS = "word_bpe_49k.json"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -81,6 +83,21 @@ def op10_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(spark, table(spark, sf_dir, "embeddings"), k=5, every=50, scale=256).select("query_id", "rank", "vec_id", "score")
 
 
+def op11_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stripes.audit(spark, table(spark, sf_dir, "documents"), min_docs=3, terms=200)
+
+
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank.search(spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), k=10)
+
+
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """With a cache of its own that starts empty; see ``counts.token_counts`` for one that lasts."""
+    out = counts.token_counts(spark, table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), scratch_path(spark, "token-cache"))
+    return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 2048).alias("over_limit"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_substring_dedup, op2_sharding, op3_byte_bpe, op4_line_dedup, op5_warc_derivatives, op6_simhash,
-                                    op7_decontamination, op8_toxicity, op9_suffix_dedup, op10_exact_topk)}
+                                    op7_decontamination, op8_toxicity, op9_suffix_dedup, op10_exact_topk,
+                                    op11_divergence_audit, op12_ranked_search, op13_token_counts)}
