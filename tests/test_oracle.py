@@ -1,6 +1,7 @@
 """Every catalogue query against its DuckDB oracle on the smallest fixture."""
 
 import math
+import threading
 from collections import Counter
 
 import duckdb
@@ -50,3 +51,13 @@ def test_query_matches_oracle(spark, con, name):
     idx = [ocols.index(c) for c in cols]
     orows = Counter(tuple(_norm(r[i]) for i in idx) for r in rel.fetchall())
     assert srows == orows
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE))
+def test_oracle_ends_under_a_limit(con, name):
+    stop = threading.Timer(20, con.interrupt)
+    stop.start()
+    try:
+        con.execute(f"SELECT * FROM ({ORACLE[name]}) LIMIT 1").fetchall()
+    finally:
+        stop.cancel()
