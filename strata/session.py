@@ -9,6 +9,8 @@ import shutil
 import tempfile
 import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -101,6 +103,7 @@ def checkpoint_root(spark: SparkSession) -> str:
 _SCRATCH: list[tuple[SparkSession, str]] = []
 _SCRATCH_LOCK = threading.Lock()
 _REGISTERED = False
+_SCOPES = threading.local()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -115,6 +118,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{root}/strata/{name}-{uuid.uuid4().hex[:12]}"
     with _SCRATCH_LOCK:
         _SCRATCH.append((spark, path))
+        for scope in getattr(_SCOPES, "open", []):
+            scope.add(path)
         if not _REGISTERED:
             # registered after the JVM gateway exists, so it runs before the gateway shuts down
             atexit.register(release_scratch)
@@ -122,11 +127,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
-def release_scratch() -> int:
-    """Delete every scratch path this process created; return how many."""
+@contextmanager
+def scratch_scope() -> Iterator[None]:
+    """Delete the scratch paths that this thread takes within the block when it ends, also by an error.
+
+    For work that repeats in one process (a micro-batch): what it stages must not
+    wait for the end of the process.
+    """
+    mine: set[str] = set()
+    _SCOPES.open = [*getattr(_SCOPES, "open", []), mine]
+    try:
+        yield
+    finally:
+        _SCOPES.open = _SCOPES.open[:-1]
+        release_scratch(mine)
+
+
+def release_scratch(only: set[str] | None = None) -> int:
+    """Delete the scratch paths this process created (or ``only`` these); return how many."""
     with _SCRATCH_LOCK:
-        items = list(_SCRATCH)
-        _SCRATCH.clear()
+        items = [x for x in _SCRATCH if only is None or x[1] in only]
+        _SCRATCH[:] = [x for x in _SCRATCH if x not in items]
     n = 0
     for spark, path in items:
         try:
@@ -149,8 +170,3 @@ def is_local_path(path: str) -> bool:
 
 def local_fs_path(path: str) -> str:
     return path[len("file:"):] if path.startswith("file:") else path
-
-
-def ensure_local_dir(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_fs_path(path), exist_ok=True)

@@ -27,7 +27,13 @@ def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None)
     spark = df.sparkSession
     path = scratch_path(spark, name)
     _writer(df, "error", partition_by).parquet(path)
-    return spark.read.parquet(path)
+    return read_as(spark, path, df.schema)
+
+
+def read_as(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table at ``path`` with the schema it was written with, also if it holds no file (a partitioned write of no rows)."""
+    names = [f"`{c}`" for c in schema.fieldNames()]
+    return spark.read.schema(schema).parquet(path).select(*names)
 
 
 def with_day(df: DataFrame, ts_col: str, out: str = "dt") -> DataFrame:
@@ -52,6 +58,47 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Whether a committed data file lies under ``path`` (a broken-off first write leaves ``_temporary`` alone)."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(root):
+        return False
+    for st in fs.listStatus(root):
+        name = st.getPath().getName()
+        if not name.startswith(("_", ".")) and (not st.isDirectory() or has_data(spark, st.getPath().toString())):
+            return True
+    return False
+
+
+def delete(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True))
+
+
+def clear_broken(spark: SparkSession, path: str) -> None:
+    """Delete what a broken-off write left beside the table's files.
+
+    The next commit into the same folder would publish its finished tasks as well.
+    For tables with one writer at a time.
+    """
+    delete(spark, f"{path.rstrip('/')}/_temporary")
+
+
+def recorded_number(spark: SparkSession, path: str, asked: int | None, default: int) -> int:
+    """A table's number of buckets, recorded beside it (``<path>_layout``) when it is first asked for."""
+    record = path.rstrip("/") + "_layout"
+    if not path_exists(spark, record + "/_SUCCESS"):
+        n = asked or default
+        spark.range(1).select(F.lit(n).alias("buckets")).write.mode("overwrite").parquet(record)
+        return n
+    found = spark.read.parquet(record).first().buckets
+    if asked not in (None, found):
+        raise ValueError(f"{path} is laid out in {found} buckets, not {asked}")
+    return found
+
+
 def _versions(spark: SparkSession, base: str, committed: bool = True) -> list[int]:
     """Version numbers in ascending order: committed ones, or all folders (also of a write that broke off)."""
     jvm = spark.sparkContext._jvm
@@ -78,17 +125,44 @@ def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
     return df.write.mode(mode)
 
 
-def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None) -> str:
-    """Create-or-replace: write a new committed version folder; return its path.
+def next_version(spark: SparkSession, base: str) -> str:
+    """The folder of the next version. One left by a write that broke off keeps its number and is never read or written again."""
+    vs = _versions(spark, base, committed=False)
+    return f"{base.rstrip('/')}/{_VERSION}{(vs[-1] + 1) if vs else 0}"
 
-    A folder left by a write that broke off keeps its number and is never read or written again.
-    """
-    vs = _versions(df.sparkSession, base, committed=False)
-    path = f"{base.rstrip('/')}/{_VERSION}{(vs[-1] + 1) if vs else 0}"
+
+def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None, path: str | None = None) -> str:
+    """Create-or-replace: write a new committed version folder (``path``, by default the next one); return its path."""
+    path = path or next_version(df.sparkSession, base)
     _writer(df, "error", partition_by).parquet(path)
     return path
 
 
+def expire(spark: SparkSession, base: str, keep: int, older_than_seconds: float) -> list[str]:
+    """Delete old versions of a replaced table; return their paths.
+
+    The newest ``keep`` committed versions stay, and so does any folder changed in
+    the last ``older_than_seconds``: longer than the longest job that may still be
+    reading a version or writing one. Folders of broken-off writes go by age alone.
+    """
+    if keep < 1:
+        raise ValueError("keep at least the newest version")
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(base)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    kept = set(_versions(spark, base)[-keep:])
+    limit = jvm.java.lang.System.currentTimeMillis() - int(older_than_seconds * 1000)
+    gone = []
+    for n in _versions(spark, base, committed=False):
+        path = f"{base.rstrip('/')}/{_VERSION}{n}"
+        if n not in kept and fs.getFileStatus(jvm.org.apache.hadoop.fs.Path(path)).getModificationTime() <= limit:
+            # its mark goes first: nobody starts to read a version that is being deleted
+            delete(spark, f"{path}/_SUCCESS")
+            delete(spark, path)
+            gone.append(path)
+    return gone
+
+
 def read_latest(spark: SparkSession, base: str, schema: StructType | None = None) -> DataFrame:
     """Newest committed version; an empty typed table if none exists yet."""
     vs = _versions(spark, base)
@@ -96,9 +170,11 @@ def read_latest(spark: SparkSession, base: str, schema: StructType | None = None
         if schema is None:
             raise FileNotFoundError(base)
         return empty_table(spark, schema)
-    return spark.read.parquet(f"{base.rstrip('/')}/{_VERSION}{vs[-1]}")
+    path = f"{base.rstrip('/')}/{_VERSION}{vs[-1]}"
+    return spark.read.parquet(path) if schema is None or has_data(spark, path) else read_as(spark, path, schema)
 
 
 def append(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Append rows by name (the file set is the table)."""
+    """Append rows by name (the file set is the table; one writer at a time)."""
+    clear_broken(df.sparkSession, path)
     _writer(df, "append", partition_by).parquet(path)

@@ -15,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from strata.operators.late import ROUTE, route_events, stream_orders_touched
+from strata.operators.late import ROUTE, fold_clause, order_state, orders_of, route_events
 from strata.operators.merge import Matched, NotMatched
-from strata.sinks.partitioned import merge_into_partitions
-from strata.sinks.store import materialize, path_exists
-from strata.session import scratch_path
+from strata.sinks.key_index import KeyIndex
+from strata.sinks.ledger import Ledger
+from strata.sinks.partitioned import merge_into_partitions, touched_rows
+from strata.sinks.store import append, has_data, materialize, path_exists, recorded_number
+from strata.session import scratch_path, scratch_scope
 from strata.sources.json_events import ORDER_EVENT_SCHEMA, decode_json_events
 
 RECORD_SCHEMA = "value string, partition int, offset bigint"
@@ -92,61 +94,100 @@ def _bucket(n: int):
 
 def _layout(spark: SparkSession, orders_path: str, buckets: int | None, default: int) -> int:
     """The recorded bucket count of the table; recorded now if the table is new."""
-    record = orders_path.rstrip("/") + "_layout"
-    if not path_exists(spark, record + "/_SUCCESS"):
-        if path_exists(spark, orders_path):
-            raise ValueError(f"{orders_path} has no recorded bucket count ({record}); copy it with rebucket_orders")
-        n = buckets or default
-        spark.range(1).select(F.lit(n).alias("buckets")).write.mode("overwrite").parquet(record)
-        return n
-    found = spark.read.parquet(record).first().buckets
-    if buckets not in (None, found):
-        raise ValueError(f"{orders_path} is laid out in {found} buckets, not {buckets}; copy it with rebucket_orders")
-    return found
+    if not path_exists(spark, f"{orders_path.rstrip('/')}_layout/_SUCCESS") and has_data(spark, orders_path):
+        raise ValueError(f"{orders_path} has no recorded bucket count; copy it with rebucket_orders")
+    return recorded_number(spark, orders_path, buckets, default)
+
+
+def _state_path(orders_path: str) -> str:
+    return orders_path.rstrip("/") + "_state"
 
 
 def rebucket_orders(spark: SparkSession, orders_path: str, new_path: str, buckets: int) -> None:
-    """Copy the bucketed order table to ``new_path`` with another number of buckets (recorded there)."""
+    """Copy the bucketed order table and its state to ``new_path`` with another number of buckets (recorded there)."""
     if path_exists(spark, new_path):
         raise ValueError(f"{new_path} exists")
     n = _layout(spark, new_path, buckets, buckets)
-    old = spark.read.parquet(orders_path).withColumn("bucket", _bucket(n))
-    old.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(new_path)
+    for old, new in ((orders_path, new_path), (_state_path(orders_path), _state_path(new_path))):
+        if has_data(spark, old):
+            spark.read.parquet(old).withColumn("bucket", _bucket(n)).hint("rebalance", "bucket").write.partitionBy("bucket").parquet(new)
+
+
+def fold_orders(spark: SparkSession, orders_path: str, new: DataFrame, buckets: int, history: DataFrame | None = None) -> None:
+    """Fold ``new`` events into the stored state of their orders and upsert those orders.
+
+    Reads and rewrites the buckets of the touched orders, no earlier event.
+    ``history`` is folded first where the orders are older than their state table.
+    Folding the same events again changes nothing.
+    """
+    state_path = _state_path(orders_path)
+    if history is not None and not has_data(spark, state_path):
+        older = materialize(order_state(history).withColumn("bucket", _bucket(buckets)), "older_state")
+        merge_into_partitions(state_path, older, "order_id", ["bucket"], [], [NotMatched()], check_unique_source=False)
+    state = materialize(order_state(new).withColumn("bucket", _bucket(buckets)), "batch_state")
+    merge_into_partitions(state_path, state, "order_id", ["bucket"], [fold_clause()], [NotMatched()], check_unique_source=False)
+    near, _ = touched_rows(state_path, state, ["bucket"])
+    folded = near.join(state.select("order_id", "bucket"), ["order_id", "bucket"], "left_semi")
+    orders = orders_of(folded).withColumn("bucket", _bucket(buckets))
+    merge_into_partitions(orders_path, materialize(orders, "batch_orders"), "order_id", ["bucket"], [Matched()], [NotMatched()], check_unique_source=False)
 
 
 def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: float = 48,
                        key: str = "event_id", orders_path: str | None = None,
-                       order_buckets: int | None = None,
-                       order_bytes: int = 64 << 30) -> Callable[[DataFrame, int], None]:
+                       order_buckets: int | None = None, order_bytes: int = 64 << 30,
+                       key_buckets: int | None = None, ledger_root: str | None = None,
+                       stream: str = "stream") -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` body: lateness split, then insert-only MERGE per micro-batch.
 
-    Accepted and quarantined events go to tables partitioned by event day;
-    each batch touches only the days it carries (``merge_into_partitions``).
-    Insert-only on ``event_id`` makes a replayed batch, or an event delivered
-    twice, a no-op — the stream's exactly-once guarantee does not have to
-    reach into the silver tables.
+    Accepted and quarantined events go to tables partitioned by event day. Which
+    events are stored already is asked of a key index beside each table
+    (``key_buckets`` buckets, recorded), so a batch reads the buckets of its own
+    keys. A replayed batch, or an event delivered twice, is a no-op — the stream's
+    exactly-once guarantee does not have to reach into the silver tables.
 
-    With ``orders_path``, the current state of the orders touched by the
-    batch is recomputed from their accepted history and upserted into
-    ``silver.orders``, which is laid out in hash buckets of ``order_id``, so a
-    batch rewrites only the buckets of its orders. Their number is recorded
+    With ``orders_path``, the batch's new events are folded into a stored state per
+    order and the touched orders upserted into ``silver.orders``; both tables
+    are laid out in hash buckets of ``order_id``, so a batch reads and rewrites the
+    buckets of its orders and no history. Their number is recorded
     beside the table when it is first written: ``order_buckets``, or one per
     GiB of ``order_bytes``, the size the table is expected to reach. Another
     ``order_buckets`` later is refused (``rebucket_orders`` copies a table).
+
+    Steps follow in this order: keys, states, orders, events. Whatever breaks off, the
+    events that are not in their table yet are new again when the batch is
+    replayed, and the earlier steps repeat without effect. With ``ledger_root`` a
+    replay also skips the tables that the batch had finished; ``stream`` names
+    the checkpoint (a new checkpoint counts batches from 0 again and needs a new name).
+    What a batch stages is deleted when it ends.
     """
     def run(batch: DataFrame, batch_id: int) -> None:
-        r = route_events(batch, limit_hours=limit_hours, key=key,
-                         rejected_at=F.current_timestamp().cast("timestamp_ntz"))
-        routed = r.over(materialize(r.routed, f"routed_batch_{batch_id}"))
-        for df, path in ((routed.accepted, accepted_path), (routed.rejected, rejected_path)):
-            merge_into_partitions(path, df.withColumn("dt", F.to_date("event_time")), key, ["dt"],
-                                  [], [NotMatched()], check_unique_source=False)
-        if orders_path is not None and path_exists(batch.sparkSession, accepted_path):
-            history = batch.sparkSession.read.parquet(accepted_path)
-            state = stream_orders_touched(history, routed.accepted)
-            buckets = _layout(batch.sparkSession, orders_path, order_buckets, max(1, order_bytes >> 30))
-            state = state.withColumn("bucket", _bucket(buckets))
-            merge_into_partitions(orders_path, state, "order_id", ["bucket"], [Matched()], [NotMatched()])
+        spark = batch.sparkSession
+        ledger = Ledger(spark, ledger_root, f"{stream}-{batch_id}") if ledger_root else None
+        done = lambda table: ledger is not None and ledger.finished(table) is not None
+        if done("accepted") and done("rejected"):
+            return
+        with scratch_scope():
+            r = route_events(batch, limit_hours=limit_hours, key=key,
+                             rejected_at=F.current_timestamp().cast("timestamp_ntz"))
+            routed = r.over(materialize(r.routed, f"routed_batch_{batch_id}"))
+            if not done("accepted"):
+                index = KeyIndex.beside(spark, accepted_path, key, ["dt"], key_buckets)
+                new = materialize(index.unseen(routed.accepted.withColumn("dt", F.to_date("event_time")), accepted_path), "new_events")
+                if not new.isEmpty():
+                    index.add(new)
+                    if orders_path is not None:
+                        buckets = _layout(spark, orders_path, order_buckets, max(1, order_bytes >> 30))
+                        history = spark.read.parquet(accepted_path) if has_data(spark, accepted_path) else None
+                        fold_orders(spark, orders_path, new, buckets, history)
+                    append(new, accepted_path, partition_by=["dt"])
+                if ledger is not None:
+                    ledger.finish("accepted", accepted_path)
+            if not done("rejected"):
+                late = routed.rejected.withColumn("dt", F.to_date("event_time"))
+                merge_into_partitions(rejected_path, late, key, ["dt"], [], [NotMatched()], check_unique_source=False,
+                                      index=KeyIndex.beside(spark, rejected_path, key, ["dt"], key_buckets))
+                if ledger is not None:
+                    ledger.finish("rejected", rejected_path)
     return run
 
 

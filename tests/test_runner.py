@@ -75,7 +75,7 @@ def test_unroutable_events_are_kept_on_request(spark):
     assert r.tables["silver.order_events_unroutable"].count() == 0
 
 
-def _own_files(spark, status="paid"):
+def _own_files(spark, status="paid", events=True):
     """CSV folders (one row group of each table, columns in another order) and a bronze table as the stream leaves it."""
     from strata.streaming.ingest import file_records, start_ingest
     root = scratch_path(spark, "own")
@@ -85,6 +85,8 @@ def _own_files(spark, status="paid"):
     write([("2.5", "7", "toys", "ball")], "unit_price string, product_id string, category string, product_name string", "products")
     write([("b1", "1", "7", "2", "2.5", "5.0", "completed", "2024-01-05 00:00:00")], "order_id string, customer_id string, product_id string, "
           "quantity string, unit_price string, total_amount string, status string, order_ts string", "orders")
+    if not events:
+        return root
     event = ('{"event_id": "e1", "order_id": "s1", "customer_id": 1, "product_id": 7, "quantity": 1, "unit_price": 2.5, "status": "%s", '
              '"event_time": "2024-01-06T00:00:00Z", "produced_at": "2024-01-06 00:00:00"}' % status)
     spark.createDataFrame([(event, 0, 0)], "value string, partition int, offset bigint").write.parquet(f"{root}/landing")
@@ -113,3 +115,101 @@ def test_a_failed_expectation_fails_the_run_after_its_audit_row(spark):
     with pytest.raises(ExpectationsFailed):
         run_pipeline(spark, Inputs(*(f"{root}/in/{n}" for n in ("customers", "products", "orders"))), f"{root}/lake")
     assert spark.read.parquet(f"{root}/lake/audit/ge_results").filter("NOT success").count() == 1
+
+
+OWN = ("customers", "products", "orders")
+
+
+def _inputs(root):
+    from strata.plans.runner import Inputs
+    return Inputs(*(f"{root}/in/{n}" for n in OWN))
+
+
+def test_a_run_without_any_event(spark):
+    from strata.plans.runner import run_pipeline
+    root = _own_files(spark, events=False)
+    for _ in range(2):
+        r = run_pipeline(spark, _inputs(root), f"{root}/lake")
+    assert r.tables["silver.order_events"].count() == r.tables["silver.order_events_rejected"].count() == 0
+    assert [x.order_id for x in r.tables["gold.fact_orders"].collect()] == ["b1"]
+    # an event table without rows, as a DataFrame and as a folder that a broken-off first write left
+    none = r.tables["bronze.order_events"].drop("dt")
+    import dataclasses
+    r = run_pipeline(spark, dataclasses.replace(_inputs(root), events=none), f"{root}/lake2")
+    assert r.tables["gold.fact_orders"].count() == 1
+    spark.range(1).write.parquet(f"{root}/lake3/bronze/order_events/_temporary/0/task_0")
+    assert run_pipeline(spark, _inputs(root), f"{root}/lake3").tables["gold.fact_orders"].count() == 1
+
+
+def test_runs_with_a_dataframe_leave_the_streams_table_alone(spark):
+    import dataclasses
+    from strata.plans.runner import run_pipeline
+    root = _own_files(spark)
+    lake = f"{root}/lake"
+    streamed = spark.read.parquet(f"{lake}/bronze/order_events").drop("dt")
+    copy = spark.createDataFrame(streamed.collect(), streamed.schema)
+    for _ in range(2):
+        run_pipeline(spark, dataclasses.replace(_inputs(root), events=copy), lake)
+    r = run_pipeline(spark, _inputs(root), lake)
+    assert r.tables["bronze.order_events"].count() == 1
+    assert r.tables["gold.fact_orders"].count() == 2
+
+
+@pytest.mark.parametrize("table", ["checks.bronze", "silver.orders", "gold.dim_customer"])
+def test_a_killed_run_goes_on_where_it_stopped(spark, monkeypatch, table):
+    """Killed after the table is written and before the ledger has it; and after the ledger has it."""
+    from strata.plans.runner import run_pipeline
+    from strata.sinks import store
+    from strata.sinks.ledger import Ledger
+    root = _own_files(spark)
+    finish = Ledger.finish
+    for lake, after in ((f"{root}/lake", False), (f"{root}/lake", True)):
+        def dies(self, name, *a, **k):
+            if after:
+                finish(self, name, *a, **k)
+            if name == table:
+                raise KeyboardInterrupt(name)
+            if not after:
+                finish(self, name, *a, **k)
+        monkeypatch.setattr(Ledger, "finish", dies)
+        with pytest.raises(KeyboardInterrupt):
+            run_pipeline(spark, _inputs(root), lake, run_id=f"r{after}")
+        monkeypatch.setattr(Ledger, "finish", finish)
+        written = []
+        monkeypatch.setattr(store, "write_version", lambda df, base, *a, f=store.write_version, **k: (written.append(base), f(df, base, *a, **k))[1])
+        r = run_pipeline(spark, _inputs(root), lake, run_id=f"r{after}")
+        monkeypatch.undo()
+        done = ["bronze.customers_raw", "bronze.products_raw", "bronze.orders_raw"]
+        assert not [w for w in written for d in done if w.endswith(d.replace(".", "/"))]
+        assert sorted(tuple(x) for x in r.tables["gold.daily_sales"].collect()) == [(20240105, "toys", 1, 2, 5.0)]
+        assert r.tables["silver.order_events"].count() == 1 and r.tables["gold.dim_customer"].count() == 1
+        assert r.tables["audit.dq_results"].filter(f"run_ts = timestamp_ntz'{r.as_of}'").count() == 21
+        assert r.tables["audit.ge_results"].filter(f"run_ts = timestamp_ntz'{r.as_of}'").count() == 15
+
+
+def test_stage_commands(spark, capsys):
+    from strata.__main__ import main
+    root = _own_files(spark)
+    lake = f"{root}/lake"
+    own = [x for n in OWN for x in (f"--{n}", f"{root}/in/{n}")]
+    assert main(["seed", *own, "--root", lake]) == 0
+    assert main(["dq", "bronze", "--root", lake]) == 0
+    assert main(["run", *own, "--root", lake, "--run-id", "a.1"]) == 0
+    assert main(["dq", "silver", "--root", lake]) == main(["dq", "gold", "--root", lake]) == main(["expect", "--root", lake]) == 0
+    assert spark.read.parquet(f"{lake}/audit/dq_results").count() == 7 + 21 + 8 + 6
+    assert main(["show", "--root", lake]) == 0
+
+
+def test_expire_keeps_the_newest_versions_and_young_ones(spark):
+    import os
+    from strata.sinks import store
+    base = scratch_path(spark, "expire")
+    for i in range(4):
+        store.write_version(spark.range(i), base)
+    spark.range(1).write.parquet(f"{base}/v=9/_temporary/x")
+    assert store.expire(spark, base, 2, 3600) == []
+    reading = spark.read.parquet(f"{base}/v=2")
+    assert [os.path.basename(p) for p in store.expire(spark, base, 2, -1)] == ["v=0", "v=1", "v=9"]
+    assert reading.count() == 2 and store.read_latest(spark, base).count() == 3
+    with pytest.raises(ValueError):
+        store.expire(spark, base, 0, 0)
