@@ -28,7 +28,7 @@ BROADCAST_MISSES = 200_000
 #: Longer texts are encoded in pieces cut at blanks.
 PIECE_CHARS = 1 << 16
 #: Words that a Python process remembers, and the longest of them.
-MEMO_WORDS = 300_000
+MEMO_WORDS = 800_000
 MEMO_CHARS = 64
 #: Part of the key: a change of ``normalised`` needs another number.
 NORMALISER = 1
