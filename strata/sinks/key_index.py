@@ -34,11 +34,22 @@ def touched_partitions(source: DataFrame, parts: Sequence[str]) -> DataFrame:
 
 def within(table: DataFrame, touched: DataFrame, parts: Sequence[str]) -> DataFrame:
     """The rows of ``table`` in the staged partitions, by a join that prunes the scan while it runs."""
-    few = touched.count() <= MAX_BROADCAST_PARTITIONS
-    # Spark prunes by a side that has a predicate of its own
-    side = touched.filter(F.col(_ROWS) > 0).select(*[F.col(c).alias(f"__p_{c}") for c in parts])
-    cond = all_of(F.col(c).eqNullSafe(F.col(f"__p_{c}")) for c in parts)
-    return table.join(F.broadcast(side) if few else side, cond, "left_semi")
+    # one row for each set of columns that are NULL together: almost always one
+    shapes = touched.select(*[F.col(c).isNull().alias(c) for c in parts], F.lit(1).alias(_ROWS)).groupBy(*parts).agg(F.sum(_ROWS).alias(_ROWS)).collect()
+    found = None
+    for shape in shapes:
+        null = [c for c in parts if shape[c]]
+        known = [c for c in parts if not shape[c]]
+        rows = table.filter(all_of(F.col(c).isNull() for c in null)) if null else table
+        if known:
+            # Spark prunes by equality with a side that has a predicate of its own
+            side = touched.filter(F.col(_ROWS) > 0)
+            side = side.filter(all_of(F.col(c).isNull() for c in null)) if null else side
+            side = side.select(*[F.col(c).alias(f"__p_{c}") for c in known])
+            side = F.broadcast(side) if shape[_ROWS] <= MAX_BROADCAST_PARTITIONS else side
+            rows = rows.join(side, all_of(F.col(c) == F.col(f"__p_{c}") for c in known), "left_semi")
+        found = rows if found is None else found.unionByName(rows)
+    return table.filter(F.lit(False)) if found is None else found
 
 
 class KeyIndex:
