@@ -4,10 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions.columns import OPEN_END, UNKNOWN_SK, date_key, null_key_salt, typed_null
+from strata.sinks.store import materialize
+
+
+#: Intervals of one key that a fact is compared with at most (twice that for a key with few).
+BIN = 64
+#: Rows of the list of bins that are broadcast at most (a key, two times and a number each); more are joined by a shuffle.
+BROADCAST_BINS = 200_000
 
 
 def lookup_intervals(dim: DataFrame, key: str, sk: str, valid_from: str = "effective_from",
@@ -15,41 +22,34 @@ def lookup_intervals(dim: DataFrame, key: str, sk: str, valid_from: str = "effec
     """Per key, intervals ``[lo, hi)`` that tile the whole time line, each with the sk to use.
 
     Covering versions keep their own ``[from, coalesce(to, OPEN_END))``
-    (empty and NULL-start versions cover nothing); every gap — before the
+    (empty and NULL-start versions cover nothing; of overlapping versions the earliest
+    start, then the lower sk, keeps the time it covers); every gap — before the
     first version, between versions, after the open end — maps to the key's
     earliest version (NULL ``valid_from`` first, then the lower sk). NULL
     ``lo``/``hi`` mean unbounded. ``null_ts`` flags the one interval a
-    fact with a NULL time falls back to. All work is on the dimension side:
-    a window over the versions of each key (few rows per key).
+    fact with a NULL time falls back to. One window over the versions of each
+    key: a version emits the gap before it, what is left of it and, if it is the
+    last, the gap behind. Versions without a key are left out.
     """
-    vf, vt = F.col(valid_from), F.col(valid_to)
-    end = F.coalesce(vt, F.lit(OPEN_END).cast(dim.schema[valid_to].dataType))
-    earliest = (dim.groupBy(key)
-                   .agg(F.min_by(F.col(sk), F.struct(vf.isNotNull(), vf, F.col(sk))).alias("__first")))
-    covers = (dim.filter(vf.isNotNull() & (vf < end))
-                 .select(key, vf.alias("lo"), end.alias("hi"), F.col(sk).alias("__sk")))
-    # overlapping versions: the earliest start (then the lower sk) keeps the time it covers
-    before_it = Window.partitionBy(key).orderBy("lo", "__sk").rowsBetween(Window.unboundedPreceding, -1)
-    covers = (covers.withColumn("lo", F.greatest("lo", F.max("hi").over(before_it)))
-                    .filter(F.col("lo") < F.col("hi")))
-    w = Window.partitionBy(key).orderBy("lo", "hi")
-    cw = covers.withColumn("__prev_hi", F.lag("hi").over(w)).withColumn("__next_lo", F.lead("lo").over(w))
-    # gap before each cover (the first one's starts at -inf) and after the last one
-    before = (cw.filter(F.col("__prev_hi").isNull() | (F.col("__prev_hi") < F.col("lo")))
-                .select(key, F.col("__prev_hi").alias("lo"), F.col("lo").alias("hi"),
-                        F.col("__prev_hi").isNull().alias("null_ts")))
-    after = cw.filter(F.col("__next_lo").isNull()).select(
-        key, F.col("hi").alias("lo"), typed_null(dim.schema[valid_to].dataType).alias("hi"),
-        F.lit(False).alias("null_ts"))
-    gaps = before.unionByName(after).join(earliest, key).select(key, "lo", "hi", F.col("__first").alias("__sk"),
-                                                                 "null_ts")
-    # keys without any covering version: one unbounded interval
-    bare = earliest.join(covers.select(key).distinct(), key, "left_anti").select(
-        key, typed_null(dim.schema[valid_from].dataType).alias("lo"),
-        typed_null(dim.schema[valid_to].dataType).alias("hi"), F.col("__first").alias("__sk"),
-        F.lit(True).alias("null_ts"))
-    return (covers.withColumn("null_ts", F.lit(False)).unionByName(gaps).unionByName(bare)
-                  .withColumnRenamed("__sk", sk))
+    time_type = dim.select(F.greatest(valid_from, valid_to).alias("t")).schema["t"].dataType
+    v = dim.filter(F.col(key).isNotNull()).select(
+        key, F.col(valid_from).cast(time_type).alias("__from"),
+        F.coalesce(F.col(valid_to).cast(time_type), F.lit(OPEN_END).cast(time_type)).alias("__end"), F.col(sk).alias("__sk"))
+    w = Window.partitionBy(key).orderBy(F.col("__from").asc_nulls_first(), "__sk")
+    start, end = F.col("__from"), F.col("__end")
+    covers = start.isNotNull() & (start < end)
+    v = v.select(key, "__from", "__end", "__sk", F.first("__sk").over(w).alias("__first"), F.lead(F.lit(1)).over(w).isNull().alias("__last"),
+                 F.max(F.when(covers, end)).over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("__reach"))
+    reach, first = F.col("__reach"), F.col("__first")  # how far the versions before reach
+    kept = covers & (reach.isNull() | (reach < end))
+    behind = F.greatest(reach, F.when(covers, end))
+
+    def part(here, lo, hi, of, null_ts):
+        return F.struct(F.coalesce(here, F.lit(False)).alias("here"), lo.alias("lo"), hi.alias("hi"), of.alias(sk), null_ts.alias("null_ts"))
+    parts = F.array(part(kept & (reach.isNull() | (reach < start)), reach, start, first, reach.isNull()),
+                    part(kept, F.greatest(start, reach), end, F.col("__sk"), F.lit(False)),
+                    part(F.col("__last"), behind, typed_null(time_type), first, behind.isNull()))
+    return v.select(key, F.explode(F.filter(parts, lambda x: x["here"])).alias("p")).select(key, "p.lo", "p.hi", f"p.{sk}", "p.null_ts")
 
 
 def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str,
@@ -64,27 +64,48 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str,
     (inner-join semantics).
 
     Plan: the dimension is turned into intervals that tile the time line
-    per key (``lookup_intervals``), so the fact meets the dimension in ONE
-    equi-join on the key with a range condition, each fact row matching
-    exactly one interval (of overlapping versions the earliest start wins, then the
-    lower sk). The fact is shuffled once, and because the join's
-    two inputs are shuffle stages, AQE can split a key that holds a large
-    share of the facts. No window runs over the fact. Zero-length versions
-    cover nothing.
+    per key (``lookup_intervals``), cut into bins of ``BIN`` neighbouring
+    intervals and staged. A fact meets the intervals of its key and bin in one equi-join
+    with a range condition, each fact row matching exactly one interval, so a key
+    with many versions and many facts is spread over its bins and no
+    fact is compared with all of its versions. Which bin a fact falls in is asked only
+    if some key has several: of the list of those keys' bins, by key and time.
+    Both inputs of the join are shuffle stages, so AQE can split a key
+    that holds a large share of the facts. No window runs over the fact.
     """
     fk = fact_key or key
-    iv = lookup_intervals(dim, key, sk, valid_from, valid_to).select(
-        F.col(key).alias("__i_key"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"),
-        F.col(sk).alias("__i_sk"), F.col("null_ts").alias("__null_ts"))
+    nth = F.row_number().over(Window.partitionBy(key).orderBy(F.col("lo").asc_nulls_first()))
+    iv = lookup_intervals(dim, key, sk, valid_from, valid_to).withColumn("__bin", F.floor((nth - 1) / F.lit(BIN)).cast("int"))
+    iv = materialize(iv.select(F.col(key).alias("__i_key"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col(sk).alias("__i_sk"),
+                               F.col("null_ts").alias("__null_ts"), F.col("__bin").alias("__i_bin")), "lookup_intervals")
     t = F.col(ts)
+    cond = (F.col(fk) == F.col("__i_key")) & (F.col("__f_salt") == F.col("__i_salt"))
+    facts = fact.withColumn("__f_salt", null_key_salt([fk], [fk]))
+    several = iv.filter(F.col("__i_bin") > 0)
+    if not several.isEmpty():
+        facts = _with_bin(facts, several, fk, t)
+        cond = cond & (F.col("__f_bin") == F.col("__i_bin"))
     in_range = ((F.col("__lo").isNull() | (t >= F.col("__lo"))) & (F.col("__hi").isNull() | (t < F.col("__hi"))))
-    # the windows leave the intervals partitioned by the key; a second join key (0 on both sides)
-    # makes both inputs shuffle stages again, which AQE needs to split a hot key
-    iv = iv.withColumn("__i_salt", null_key_salt(["__i_key"], ["__i_key"]))
-    salted = fact.withColumn("__f_salt", null_key_salt([fk], [fk]))
-    cond = (F.col(fk) == F.col("__i_key")) & (F.col("__f_salt") == F.col("__i_salt")) & F.when(t.isNull(), F.col("__null_ts")).otherwise(in_range)
-    j = salted.join(iv, cond, "inner")
-    return j.withColumn(sk, F.col("__i_sk")).drop("__i_key", "__lo", "__hi", "__i_sk", "__null_ts", "__i_salt", "__f_salt")
+    cond = cond & F.when(t.isNull(), F.col("__null_ts")).otherwise(in_range)
+    j = facts.join(iv.withColumn("__i_salt", null_key_salt(["__i_key"], ["__i_key"])), cond, "inner")
+    return j.select(*[F.col(f"`{c}`") for c in fact.columns if c != sk], F.col("__i_sk").alias(sk))
+
+
+def _with_bin(facts: DataFrame, several: DataFrame, fk: str, t: Column) -> DataFrame:
+    """The bin of each fact's time; 0 for keys with one bin and for facts without a time.
+
+    ``several``: the intervals in bins after the first. A bin starts where its first interval does and ends where the next one starts.
+    """
+    starts = several.groupBy("__i_key", "__i_bin").agg(F.min("__lo").alias("__from"))
+    until = F.lead("__from").over(Window.partitionBy("__i_key").orderBy("__i_bin"))
+    bins = materialize(starts.select(F.col("__i_key").alias("__b_key"), "__from", until.alias("__until"), F.col("__i_bin").alias("__b_bin")), "lookup_bins")
+    # facts before the first of these starts are in bin 0
+    bins = bins.withColumn("__b_salt", null_key_salt(["__b_key"], ["__b_key"]))
+    side = F.broadcast(bins) if bins.count() <= BROADCAST_BINS else bins
+    here = ((F.col(fk) == F.col("__b_key")) & (F.col("__f_salt") == F.col("__b_salt")) & (t >= F.col("__from"))
+            & (F.col("__until").isNull() | (t < F.col("__until"))))
+    return (facts.join(side, here, "left").withColumn("__f_bin", F.coalesce("__b_bin", F.lit(0)))
+                 .drop("__b_key", "__b_salt", "__b_bin", "__from", "__until"))
 
 
 def unknown_member(fact: DataFrame, dim: DataFrame, key: str, sk: str,

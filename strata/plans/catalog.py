@@ -13,15 +13,20 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.operators.incremental import changed_groups, fact_changes, refresh_daily_sales, refresh_fact
 from strata.operators.keyed import snapshot_replace
 from strata.operators.keys import assign_surrogate_keys, max_key
 from strata.operators.late import lateness_hours, stream_orders
-from strata.operators.merge import NotMatched, merge_conditional, merge_guarded, merge_insert_only, merge_upsert
+from strata.operators.merge import Matched, NotMatched, merge_conditional, merge_guarded, merge_insert_only, merge_upsert
 from strata.operators.profile import layer_profile
 from strata.operators.scd import scd2_changes, scd2_close
 from strata.operators.star import asof_lookup, unknown_member
+from strata.operators.star import daily_sales as daily_sales_of
+from strata.operators.star import fact_orders as fact_table
 from strata.plans import medallion as M
+from strata.sinks.key_index import KeyIndex
 from strata.sinks.partitioned import merge_into_partitions
+from strata.sinks.store import materialize
 from strata.sources.calendar import dim_date_covering
 from strata.session import scratch_path
 from strata.sources.driver_tables import RUN_AS_OF, DriverTables, ts
@@ -36,6 +41,10 @@ Query = Callable[[SparkSession, str], DataFrame]
 WINDOW_OLD_END = "1999-01-01 00:00:00"
 WINDOW_NEW_START = "1998-01-01 00:00:00"
 
+# When the second of two runs begins, and a customer that the tables do not have.
+SECOND_RUN = "1997-01-01 00:00:00"
+HOT_CUSTOMER = -1
+
 
 def _dt(spark, sf_dir) -> DriverTables:
     return DriverTables(spark, sf_dir)
@@ -221,13 +230,14 @@ def stream_to_silver(spark, sf_dir):
 
 
 def late_redelivered(spark, sf_dir):
-    """Insert-only MERGE of two batches; the second delivers every event again, on the next day."""
+    """Insert-only MERGE of two batches through the key index; the second delivers every event again, on the next day."""
     path = scratch_path(spark, "late_redelivered")
+    index = KeyIndex(spark, f"{path}_keys", "event_id", ["dt"], 16)
     L = M.build_layers(spark, sf_dir)
     first = L["silver.order_events"].withColumn("dt", F.to_date("event_time"))
     again = first.withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 DAY")).withColumn("dt", F.to_date("event_time"))
     for batch in (first, again):
-        merge_into_partitions(path, batch, "event_id", ["dt"], [], [NotMatched()], check_unique_source=False)
+        merge_into_partitions(path, batch, "event_id", ["dt"], [], [NotMatched()], check_unique_source=False, index=index)
     return spark.read.parquet(path)
 
 
@@ -244,6 +254,78 @@ def asof_overlap(spark, sf_dir):
                        "customer_id", "order_ts", "customer_sk")
 
 
+def asof_many_versions(spark, sf_dir):
+    """As-of lookup where one customer has a version for every order of the table (each two days long) and a third of the facts."""
+    L = M.build_layers(spark, sf_dir)
+    L.prefetch(["silver.orders", "gold.dim_customer"])
+    o = _dt(spark, sf_dir).table("orders")
+    start = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("o_orderkey") % 86400).cast("decimal(18,6)"))
+    hot = o.select((F.col("o_orderkey") + 2000000000000).alias("customer_sk"), F.lit(HOT_CUSTOMER).cast("long").alias("customer_id"),
+                   start.alias("effective_from"), (start + F.expr("INTERVAL 2 DAYS")).alias("effective_to"))
+    dim = L["gold.dim_customer"].select(*hot.columns).unionByName(hot)
+    who = F.when(F.col("quantity") % 3 == 0, F.lit(HOT_CUSTOMER)).otherwise(F.col("customer_id"))
+    facts = L["silver.orders"].select("order_id", who.cast("long").alias("customer_id"), "order_ts")
+    return asof_lookup(facts, dim, "customer_id", "order_ts", "customer_sk")
+
+
+def _two_runs(spark, sf_dir):
+    """Layers after the second run, and what the first run had: fewer orders, some in another
+    status, the first customer versions and nine tenths of the products at their first prices."""
+    L = M.build_layers(spark, sf_dir)
+    L.prefetch(["silver.orders", "gold.dim_customer", "gold.dim_product"])
+    late = (F.col("updated_at") >= ts(SECOND_RUN)) | (F.col("quantity") % 7 == 0)
+    orders = L["silver.orders"]
+    before = orders.filter(F.col("updated_at") < ts(SECOND_RUN)).withColumn("status", F.when(late, F.lit("created")).otherwise(F.col("status")))
+    products = M.dim_product(spark, [M.silver_products(_dt(spark, sf_dir).products_raw(1))]).filter("product_id % 10 <> 0")
+    fact = materialize(fact_table(before, L.dim_customer_day1(), products), "fact_run1")
+    changes = fact_changes(orders, orders.filter(late), L.dim_customer_day1(), L["gold.dim_customer"], products, L["gold.dim_product"])
+    return L, products, fact, changes
+
+
+def fact_incremental(spark, sf_dir):
+    """The first run's fact with the changes of the second: equal to a full build."""
+    _, _, fact, changes = _two_runs(spark, sf_dir)
+    return refresh_fact(fact, changes)
+
+
+def daily_sales_incremental(spark, sf_dir):
+    """The first run's mart with the groups that the second run touched computed again."""
+    L, products, fact, changes = _two_runs(spark, sf_dir)
+    mart = materialize(daily_sales_of(fact, products), "mart_run1")
+    groups = changed_groups(fact, changes, products, L["gold.dim_product"])
+    now = materialize(refresh_fact(fact, changes), "fact_run2")
+    return refresh_daily_sales(mart, now, L["gold.dim_product"], groups)
+
+
+def order_state_incremental(spark, sf_dir):
+    """Order states folded batch by batch in the streaming sink: three shuffled batches, then the first again with other values."""
+    from strata.streaming.ingest import silver_events_sink
+    root = scratch_path(spark, "order_state")
+    sink = silver_events_sink(f"{root}/accepted", f"{root}/rejected", M.LATE_LIMIT_HOURS, orders_path=f"{root}/orders", order_buckets=8, key_buckets=8)
+    events = _dt(spark, sf_dir).order_events()
+    nth = F.col("event_id").cast("long") % 3
+    again = (events.filter(nth == 0).withColumn("status", F.lit("again")).withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 3 DAYS"))
+                   .withColumn("_ingested_at", F.col("_ingested_at") + F.expr("INTERVAL 3 DAYS")))
+    for i, batch in enumerate([events.filter(nth == 0), events.filter(nth == 2), events.filter(nth == 1), again]):
+        sink(batch, i)
+    return spark.read.parquet(f"{root}/orders").select(*M.ORDER_COLUMNS)
+
+
+def partitioned_merge(spark, sf_dir):
+    """MERGE of one year's orders into a table of two partition columns (month, customer bucket) with over 1 000 partitions:
+    returned ones deleted, others updated, missing ones inserted."""
+    path = scratch_path(spark, "partitioned_merge")
+    o = _dt(spark, sf_dir).table("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM").alias("month"),
+                                                  (F.col("o_custkey") % 16).cast("int").alias("part"))
+    rows = lambda skip: o.filter(F.col("o_orderkey") % skip != 0)
+    merge_into_partitions(path, rows(5), "o_orderkey", ["month", "part"], [Matched()], [NotMatched()])
+    year = materialize(rows(3).filter(F.col("month").startswith("1996")).withColumn("o_totalprice", F.col("o_totalprice") + 1), "year")
+    merge_into_partitions(path, year, "o_orderkey", ["month", "part"],
+                          [Matched(cond=lambda t, s: s["o_orderstatus"] == "F", delete=True), Matched(update={"o_totalprice": lambda t, s: s["o_totalprice"]})],
+                          [NotMatched()])
+    return spark.read.parquet(path).select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.col("month").cast("string").alias("month"), "part")
+
+
 def surrogate_keys_skewed(spark, sf_dir):
     """Dense keys over customer ids with outliers beyond ±2^62."""
     c, far = F.col("c_custkey"), F.lit(1 << 62)
@@ -297,6 +379,11 @@ def queries() -> dict[str, Query]:
         "late_redelivered": late_redelivered,
         "asof_overlap": asof_overlap,
         "surrogate_keys_skewed": surrogate_keys_skewed,
+        "asof_many_versions": asof_many_versions,
+        "order_state_incremental": order_state_incremental,
+        "partitioned_merge": partitioned_merge,
+        "fact_incremental": fact_incremental,
+        "daily_sales_incremental": daily_sales_incremental,
     }
 
 

@@ -87,3 +87,29 @@ def test_overlapping_versions_give_one_row_per_fact(spark):
                                  "id int, k int, t timestamp_ntz")
     got = asof_lookup(fact, dim, "k", "t", "sk")
     assert sorted((r.id, r.sk) for r in got.collect()) == [(0, 10), (1, 10), (2, 11), (3, 20), (4, 20)]
+
+
+def test_many_versions_of_one_key_are_cut_into_bins(spark, monkeypatch):
+    """Bins of three intervals, broadcast and shuffled, against the definition; gaps, overlaps and facts without a time among them."""
+    import random
+    from datetime import datetime, timedelta
+    from strata.operators import star
+    rnd = random.Random(5)
+    base = datetime(2024, 1, 1)
+    dim = [(i, 7, base + timedelta(hours=rnd.randint(0, 900)), None if i == 50 else base + timedelta(hours=rnd.randint(0, 950))) for i in range(80)]
+    dim += [(100, 8, base, base + timedelta(days=1)), (101, None, base, None), (102, 9, None, None)]
+    facts = [(f"o{i}", rnd.choice([7, 7, 8, 9, 10, None]), None if i % 50 == 0 else base + timedelta(minutes=rnd.randint(-3000, 70000))) for i in range(1500)]
+    d, f = spark.createDataFrame(dim, DIM), spark.createDataFrame(facts, "order_id string, customer_id bigint, order_ts timestamp_ntz")
+
+    def expected(key, t):
+        versions = sorted((v for v in dim if v[1] == key), key=lambda v: (v[2] is not None, v[2] or base, v[0]))
+        covering = [v for v in versions if t and v[2] and v[2] <= t and (v[3] is None or t < v[3])]
+        return (covering or versions)[0][0] if versions else None
+
+    want = sorted((o, expected(k, t)) for o, k, t in facts if k is not None and expected(k, t) is not None)
+    monkeypatch.setattr(star, "BIN", 3)
+    for rows_ in (200_000, 0):
+        monkeypatch.setattr(star, "BROADCAST_BINS", rows_)
+        assert sorted(tuple(r) for r in asof_lookup(f, d, "customer_id", "order_ts", "customer_sk").select("order_id", "customer_sk").collect()) == want
+    assert asof_lookup(f, d.filter("false"), "customer_id", "order_ts", "customer_sk").count() == 0
+    assert asof_lookup(f.filter("false"), d, "customer_id", "order_ts", "customer_sk").count() == 0
