@@ -12,6 +12,7 @@ insult stays near its landmark. A document scores as its worst phrase.
 from __future__ import annotations
 
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -73,42 +74,73 @@ def _features(words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.nda
             yield np.array(part), np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(len(part), width), t, weight
 
 
+#: Cells of the direct table of triples; scripts with more characters look triples up in a sorted list.
+DIRECT_CELLS = 1 << 23
+
+
 class Kernel:
     """Cubed scaled kernel of words against fixed landmarks.
 
-    Characters that no landmark has count as one; ``row`` finds a triple's row of ``table`` (row 0: no landmark has it).
+    Characters that no landmark has count as one. The landmarks' triples are
+    numbered; triple ``r`` has entries ``starts[r]`` to ``starts[r + 1]``: which
+    landmarks hold it and with what weight (number 0: none does).
     """
 
     def __init__(self, landmarks: list[str]):
-        letters = sorted({ord(c) for w in landmarks for c in w} | {2, 3})
-        self.letter = np.zeros(0x110000, np.int64)
-        self.letter[letters] = np.arange(1, len(letters) + 1)
-        self.base = len(letters) + 1
+        self.size = len(landmarks)
+        self.letters = np.array(sorted({ord(c) for w in landmarks for c in w} | {2, 3}), np.int64)
+        self.base = len(self.letters) + 1
+        self._tables()
         cells: dict[int, dict[int, float]] = {}
         for which, chars, t, weight in _features(landmarks):
             for i, codes in zip(which.tolist(), self._codes(chars, t).tolist()):
                 for c, x in zip(codes, weight.tolist()):
                     line = cells.setdefault(c, {})
                     line[i] = line.get(i, 0.0) + x
-        self.row = np.zeros(self.base ** 3, np.int32)
-        self.table = np.zeros((len(cells) + 1, len(landmarks)), np.float32)
-        for r, (c, line) in enumerate(sorted(cells.items()), 1):
-            self.row[c] = r
-            self.table[r, list(line)] = list(line.values())
+        self.codes = np.array(sorted(cells), np.int64)
+        lines = [cells[c] for c in self.codes.tolist()]
+        self.starts = np.cumsum([0, 0] + [len(x) for x in lines])
+        self.which = np.array([i for x in lines for i in x], np.int64)
+        self.value = np.array([v for x in lines for v in x.values()])
+        self._tables()
+
+    def __getstate__(self):
+        return {k: v for k, v in self.__dict__.items() if k not in ("letter", "direct")}
+
+    def __setstate__(self, state):
+        self.__dict__.update(state)
+        self._tables()
+
+    def _tables(self) -> None:
+        """Tables that follow from the rest and are not sent along."""
+        self.letter = np.zeros(0x110000, np.int64)
+        self.letter[self.letters] = np.arange(1, self.base)
+        self.direct = None
+        if self.base ** 3 <= DIRECT_CELLS and hasattr(self, "codes"):
+            self.direct = np.zeros(self.base ** 3, np.int32)
+            self.direct[self.codes] = np.arange(1, len(self.codes) + 1)
 
     def _codes(self, chars: np.ndarray, t: np.ndarray) -> np.ndarray:
         x = self.letter[chars]
         return (x[:, t[:, 0]] * self.base + x[:, t[:, 1]]) * self.base + x[:, t[:, 2]]
 
+    def _numbers(self, codes: np.ndarray) -> np.ndarray:
+        """The number of each triple, 0 if no landmark has it."""
+        if self.direct is not None:
+            return self.direct[codes]
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, at + 1, 0)
+
     def __call__(self, words: list[str]) -> np.ndarray:
-        out = np.zeros((len(words), self.table.shape[1]), np.float32)
+        out = np.zeros((len(words), self.size), np.float32)
         for which, chars, t, weight in _features(words):
-            rows = self.row[self._codes(chars, t)]
-            word, col = np.nonzero(rows)
-            if len(word):
-                first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-                values = self.table[rows[word, col]] * weight[col].astype(np.float32)[:, None]
-                out[which[word[first]]] = np.add.reduceat(values, first, axis=0)
+            numbers = self._numbers(self._codes(chars, t))
+            word, col = np.nonzero(numbers)
+            first = self.starts[numbers[word, col]]
+            size = self.starts[numbers[word, col] + 1] - first
+            at = np.repeat(first - np.cumsum(size) + size, size) + np.arange(size.sum())
+            cell = np.repeat(word * self.size, size) + self.which[at]
+            out[which] = np.bincount(cell, np.repeat(weight[col], size) * self.value[at], len(which) * self.size).reshape(-1, self.size)
         return out ** POWER
 
 
@@ -281,20 +313,25 @@ def held_out(id_col) -> F.Column:
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = SAMPLE_DOCS,
         id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
     """Train on a bounded sample: of each class the ``sample`` ids with the smallest
-    hash among the rows that are not held out, texts of at most ``SAMPLE_BYTES``.
+    hash among the rows that are not held out and have a text of at most ``SAMPLE_BYTES``.
 
-    Ids that are null, have a null label or contradicting labels are not used.
+    Ids that are null, have a null label or contradicting labels are not used. None,
+    with a warning, if a class has no usable text: then every score is 0.
     """
     one = (labels.where(labels[id_col].isNotNull() & labels[label_col].isNotNull())
            .select(labels[id_col].cast("long").alias("doc_id"), labels[label_col].cast("int").alias("y"))
            .where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.min("y").alias("y"), F.max("y").alias("z")).where("y = z"))
     by = F.xxhash64("doc_id")
-    ids = one.where("y = 1").orderBy(by, "doc_id").limit(sample).union(one.where("y = 0").orderBy(by, "doc_id").limit(sample)).select("doc_id", "y")
     text = docs.where(docs[text_col].isNotNull() & (F.octet_length(docs[text_col]) <= SAMPLE_BYTES)).select(
         docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
+    one = one.join(text.select("doc_id").distinct(), "doc_id", "left_semi")  # only ids with a text that can be used take a place
+    ids = one.where("y = 1").orderBy(by, "doc_id").limit(sample).union(one.where("y = 0").orderBy(by, "doc_id").limit(sample)).select("doc_id", "y")
     rows = (text.join(F.broadcast(ids), "doc_id")          # at most 2 * sample ids
             .groupBy("doc_id", "y").agg(F.min("text").alias("text")).orderBy("doc_id").collect())
-    return train([r["text"] for r in rows if r["y"] == 1], [r["text"] for r in rows if r["y"] == 0])
+    model = train([r["text"] for r in rows if r["y"] == 1], [r["text"] for r in rows if r["y"] == 0])
+    if model is None:
+        warnings.warn("no toxicity model: a class has no usable labelled text", stacklevel=2)
+    return model
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:

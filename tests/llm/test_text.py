@@ -1,6 +1,7 @@
 """BPE, decontamination, toxicity, WARC, sharding and top-k against brute force."""
 
 import base64
+import pickle
 import random
 import zlib
 
@@ -199,3 +200,52 @@ def test_topk(spark, shard, block):
 
 def test_every_operator_has_its_query():
     assert [int(n[2:].split("_")[0]) for n in queries.queries()] == list(range(1, 11))
+
+
+def brute_kernel(a, b):
+    """Sums over common character triples of both words' gap weights, each word scaled by its length's norm, cubed."""
+    def features(word):
+        w = f"\x02{word}\x03"
+        at = [(i, j, k) for i in range(len(w)) for j in range(i + 1, len(w)) for k in range(j + 1, len(w)) if k - i < toxicity.SPAN]
+        norm = sum(toxicity.DECAY ** (2 * (k - i + 1)) for i, _, k in at) ** 0.5
+        found = {}
+        for i, j, k in at:
+            t = w[i] + w[j] + w[k]
+            found[t] = found.get(t, 0) + toxicity.DECAY ** (k - i + 1) / norm
+        return found
+    x, y = features(a), features(b)
+    return sum(v * y.get(t, 0) for t, v in x.items()) ** 3
+
+
+@pytest.mark.parametrize("cells", [1 << 23, 0])
+def test_kernel_is_the_subsequence_kernel(monkeypatch, cells):
+    monkeypatch.setattr(toxicity, "DIRECT_CELLS", cells)
+    r = random.Random(3)
+    words = ["a", "idiot", "idixot", "idiotidiot", "aaaa", "éü", "日本語日本", "x" * 24] + ["".join(r.choice("abcdi") for _ in range(r.randint(1, 12))) for _ in range(30)]
+    kernel = pickle.loads(pickle.dumps(toxicity.Kernel(words[:20])))
+    want = np.array([[brute_kernel(a, b) for b in words[:20]] for a in words])
+    assert np.allclose(kernel(words), want, atol=1e-5)
+
+
+def test_toxicity_of_unsegmented_text():
+    """Thousands of different characters in use: the tables stay small."""
+    r = random.Random(4)
+    signs = [chr(0x4E00 + i) for i in range(2500)]
+    clean = ["".join(r.choice(signs) for _ in range(60)) for _ in range(80)]
+    toxic = ["".join(r.choice(signs) for _ in range(30)) + "。 蠢猪坏蛋 。" + "".join(r.choice(signs) for _ in range(20)) for _ in range(80)]
+    m = toxicity.train(toxic, clean)
+    assert len(pickle.dumps(m)) < 20 << 20
+    p = m.probability(["天地玄黄 蠢猪坏蛋 宇宙", "天地玄黄宇宙洪荒"])
+    assert p[0] > 0.5 > p[1]
+
+
+def test_the_sample_is_drawn_from_usable_texts(spark):
+    bad = [(i, "you are a stupid idiot and a fool") for i in range(1, 60)]
+    good = [(i, f"the weather was fine on day {i} of the tour") for i in range(100, 160)]
+    long = [(i, "x " * toxicity.SAMPLE_BYTES) for i in range(200, 400)]
+    table = spark.createDataFrame([*bad, *good, *long, (500, None)], "doc_id long, text string")
+    marks = spark.createDataFrame([(i, int(i < 60 or i >= 200)) for i, _ in [*bad, *good, *long]] + [(500, 1), (501, 1)], "doc_id long, toxic int")
+    m = toxicity.fit(spark, table, marks, sample=30)
+    assert m is not None and m.probability(["you stupid idiot"])[0] > 0.5 > m.probability(["the weather on the tour"])[0]
+    with pytest.warns(UserWarning, match="no usable"):
+        assert toxicity.fit(spark, table.where("doc_id >= 100"), marks) is None
