@@ -61,10 +61,24 @@ class Words:
         self.doc = np.repeat(np.arange(len(n)), n)
         self.local = np.arange(len(self.start)) - self.first[self.doc] if len(n) else np.zeros(0, np.int64)
         self.left = self.first[self.doc + 1] - np.arange(len(self.start)) if len(n) else self.local
-        length = (self.end - self.start).astype(np.uint64)
-        raw = Rolling(buf.astype(np.uint64) + np.uint64(1), _BYTE).of(self.start, self.end)
-        h = mix(raw ^ mix(length))
-        self.rolls = [Rolling(mix(h + np.uint64(k)), base) for k, base in enumerate(_WORD)]
+        self.rolls = [Rolling(h, base) for h, base in zip(self._hashes(buf[word]), _WORD)]
+
+    def _hashes(self, chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Two hashes of each word: sums of scrambled (byte, place in the word) pairs.
+
+        A polynomial modulo 2**64 would not do: long words of two letters can be made
+        (and occur) whose polynomials agree in every base.
+        """
+        if not len(self.start):
+            return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        length = self.end - self.start
+        first = np.cumsum(length) - length
+        place = (np.arange(len(chars)) - np.repeat(first, length)).astype(np.uint64)
+        a = mix((place << np.uint64(8) | chars) + np.uint64(_BYTE))
+        sums = []
+        for x in (a, (a ^ (a >> np.uint64(31))) * np.uint64(_WORD[0])):
+            sums.append(mix(np.add.reduceat(x, first) ^ mix(length.astype(np.uint64))))
+        return sums[0], sums[1]
 
     def windows(self, at: np.ndarray, size: int, part: int) -> np.ndarray:
         return mix(self.rolls[part].of(at, at + size))

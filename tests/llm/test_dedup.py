@@ -37,6 +37,21 @@ def test_substring(spark, docs, none, window):
     assert substring.remove_repeats(spark, none, window).count() == 0
 
 
+def test_substring_of_words_with_equal_polynomials(spark):
+    """Thue-Morse words over two letters and their complements: their polynomial hashes modulo 2**64 agree in every base."""
+    def thue_morse(n, a, b):
+        return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+    shared = " ".join(f"w{i}" for i in range(34))
+    table = [(i, f"{shared} {w}") for i, w in enumerate(f(n, *ab) for n in (1024, 2048, 4096) for f in (thue_morse,) for ab in ("ab", "ba"))]
+    rnd = random.Random(8)
+    table += [(10 + i, f"{shared} " + "".join(rnd.choice("ab") for _ in range(1500))) for i in range(6)]
+    table += [(20, f"{shared} same"), (21, f"{shared} same")]
+    got = substring.remove_repeats(spark, spark.createDataFrame(table, "doc_id long, text string"), 35)
+    have = sorted(((r.doc_id, r.n_words, r.n_removed, bytes(r.kept)) for r in got.collect()), key=repr)
+    assert have == brute_words(table, 35)
+    assert {x[0]: x[2] for x in have if x[2]} == {20: 35, 21: 35}
+
+
 def test_cover():
     for v in (1, 3, 7, 13, 21, 31):
         c = substring.cover(v)
