@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import argparse
 import sys
+from datetime import date
 
 from strata.session import get_spark
 
@@ -56,7 +57,8 @@ def _run(a) -> int:
         inputs = driver_inputs(spark, a.sf_dir, a.snapshot) if a.sf_dir else Inputs(*own, a.events)
         if a.cmd == "seed":
             return seed(spark, inputs, a.root, a.snapshot, a.as_of)
-        return run_pipeline(spark, inputs, a.root, a.snapshot, a.as_of, run_id=a.run_id)
+        days = tuple(map(date.fromisoformat, a.calendar)) if a.calendar else None
+        return run_pipeline(spark, inputs, a.root, a.snapshot, a.as_of, run_id=a.run_id, calendar=days)
     return _gated(a, a.cmd, work)
 
 
@@ -65,7 +67,7 @@ def _stream(a) -> int:
     spark = get_spark("strata-stream", master=a.master, cluster=a.cluster)
     records = kafka_records(spark, a.kafka, a.topic) if a.kafka else file_records(spark, a.landing)
     trigger = {"availableNow": True} if a.once else {"processingTime": a.trigger}
-    q = start_ingest(records, a.out, a.checkpoint, trigger)
+    q = start_ingest(records, a.out, a.checkpoint, trigger, dedup_within=a.dedup_within)
     q.awaitTermination()
     return 0
 
@@ -116,6 +118,7 @@ def main(argv=None) -> int:
     sub = p.add_subparsers(dest="cmd", required=True)
     runs = [sub.add_parser(name) for name in ("run", "seed")]
     runs[0].add_argument("--run-id", help="keep a ledger under this name; start again with it after a crash")
+    runs[0].add_argument("--calendar", nargs=2, metavar=("FIRST", "LAST"), help="days of the date dimension (default: those of the orders)")
     for r in runs:
         _input_arguments(r)
     for name in ("dq", "expect"):
@@ -131,6 +134,7 @@ def main(argv=None) -> int:
     s.add_argument("--out", required=True)
     s.add_argument("--checkpoint", required=True)
     s.add_argument("--trigger", default="30 seconds")
+    s.add_argument("--dedup-within", help="drop an event delivered again within this time of arrival, e.g. '1 hour'")
     s.add_argument("--once", action="store_true", help="process what is available, then stop")
     sh = sub.add_parser("show")
     sh.add_argument("--root", required=True)

@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
-from datetime import datetime, timezone
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +35,7 @@ from strata.sinks import store
 from strata.sinks.key_index import KeyIndex
 from strata.sinks.ledger import Ledger
 from strata.sinks.partitioned import merge_into_partitions
-from strata.sources.calendar import dim_date_covering
+from strata.sources.calendar import dim_date, dim_date_covering
 from strata.sources.driver_tables import DriverTables, ts
 from strata.sources.files import typed_csv
 from strata.sources.json_events import ORDER_EVENT_SCHEMA
@@ -193,7 +193,8 @@ def run_medallion(spark: SparkSession, sf_dir: str, root: str, snapshot: str = "
 
 
 def run_pipeline(spark: SparkSession, inputs: Inputs, root: str, snapshot: str = "day1",
-                 as_of: str | None = None, keep_unroutable: bool = False, run_id: str | None = None) -> RunResult:
+                 as_of: str | None = None, keep_unroutable: bool = False, run_id: str | None = None,
+                 calendar: tuple[date, date] | None = None) -> RunResult:
     """One full run for ``snapshot``; raises ``QualityGateError`` at the first failed gate and
     ``ExpectationsFailed`` if an expectation is not met (after its audit row is stored).
 
@@ -205,13 +206,16 @@ def run_pipeline(spark: SparkSession, inputs: Inputs, root: str, snapshot: str =
     With ``run_id`` the run keeps a ledger of finished tables under ``root``. A run
     that broke off and is started again with the same id and inputs keeps its
     clock, reads the tables it had finished and goes on with the first that is missing.
+
+    ``calendar`` gives the first and last day of ``gold.dim_date``; a fact outside fails
+    its check. By default the calendar covers the orders, so that none is.
     """
     run = _begin(spark, root, snapshot, as_of, run_id)
     _bronze(run, inputs)
     _checks(*run.checks("bronze"))
     _silver(run, keep_unroutable)
     _checks(*run.checks("silver"))
-    _gold(run)
+    _gold(run, calendar)
     _checks(*run.checks("gold"))
     _expect(run)
     return run.result
@@ -345,15 +349,16 @@ def _silver(run: _Run, keep_unroutable: bool) -> None:
         previous=s.read("silver.orders", M.ORDERS_SCHEMA)))
 
 
-def _gold(run: _Run) -> None:
-    s, T = run.store, run.result.tables
+def _gold(run: _Run, calendar: tuple[date, date] | None) -> None:
+    spark, s, T = run.spark, run.store, run.result.tables
     _parallel(T, {
         "gold.dim_customer": lambda: s.replace("gold.dim_customer", lambda: scd2_apply(
             s.read("gold.dim_customer", M.DIM_CUSTOMER_SCHEMA), T["silver.customers"], "customer_id",
             M.SCD2_TRACKED, M.CUSTOMER_ATTRS, "customer_sk", stage=lambda df: store.materialize(df, "scd2_changes"))),
         "gold.dim_product": lambda: s.replace("gold.dim_product", lambda: scd1(
             s.read("gold.dim_product", M.DIM_PRODUCT_SCHEMA), T["silver.products"], "product_id", sk="product_sk")),
-        "gold.dim_date": lambda: s.replace("gold.dim_date", lambda: dim_date_covering(T["silver.orders"], "order_ts")),
+        "gold.dim_date": lambda: s.replace("gold.dim_date", lambda: dim_date(spark, *calendar) if calendar
+                                          else dim_date_covering(T["silver.orders"], "order_ts")),
     })
     # month partitions: a multi-year fact in day folders means thousands of
     # directories to list per read; a month keeps pruning useful and folders few

@@ -50,26 +50,36 @@ def file_records(spark: SparkSession, path: str, max_files_per_trigger: int | No
     return r.parquet(path)
 
 
-def bronze_events(records: DataFrame, as_of=None) -> DataFrame:
+def bronze_events(records: DataFrame, as_of=None, dedup_within: str | None = None) -> DataFrame:
     """Decode, drop unparseable records, stamp arrival time, fix column order, add ``dt``.
 
     The arrival stamp is the micro-batch clock, or ``as_of`` when a run
     clock is pinned (reproducible runs and checks).
+
+    ``dedup_within`` (e.g. ``"1 hour"``) keeps an event that was delivered again
+    within that time out of the stream. The time is that of arrival, not of the
+    event: no row is ever too late for it, so late events still reach the
+    lateness rule, and the state holds the ids of that time alone. Later redeliveries
+    are left to the insert-only MERGE behind.
     """
     ev = decode_json_events(records, ORDER_EVENT_SCHEMA, key="event_id")
+    if dedup_within is not None:
+        ev = (ev.withColumn("__arrived", F.current_timestamp()).withWatermark("__arrived", dedup_within)
+                .dropDuplicatesWithinWatermark(["event_id"]).drop("__arrived"))
     stamp = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
     ev = ev.withColumn("_ingested_at", stamp)
     return ev.select(*BRONZE_EVENT_COLUMNS).withColumn("dt", F.to_date("event_time"))
 
 
 def start_ingest(records: DataFrame, out: str, checkpoint: str, trigger: dict | None = None,
-                 as_of=None) -> StreamingQuery:
+                 as_of=None, dedup_within: str | None = None) -> StreamingQuery:
     """Append decoded events to ``out`` partitioned by event day.
 
     ``trigger`` is passed to ``DataStreamWriter.trigger`` (e.g.
-    ``{"processingTime": "30 seconds"}``, or ``{"availableNow": True}``).
+    ``{"processingTime": "30 seconds"}``, or ``{"availableNow": True}``);
+    ``dedup_within`` to ``bronze_events``.
     """
-    w = (bronze_events(records, as_of).writeStream.format("parquet").outputMode("append")
+    w = (bronze_events(records, as_of, dedup_within).writeStream.format("parquet").outputMode("append")
          .option("checkpointLocation", checkpoint).partitionBy("dt"))
     w = w.trigger(**(trigger or {"processingTime": "30 seconds"}))
     return w.start(out)

@@ -213,3 +213,14 @@ def test_expire_keeps_the_newest_versions_and_young_ones(spark):
     assert reading.count() == 2 and store.read_latest(spark, base).count() == 3
     with pytest.raises(ValueError):
         store.expire(spark, base, 0, 0)
+
+
+def test_a_fact_outside_the_calendar_fails_its_check(spark):
+    from datetime import date
+    from strata.plans.runner import run_pipeline
+    root = _own_files(spark)
+    days = lambda last: (date(2024, 1, 1), date(2024, 1, last))
+    with pytest.raises(QualityGateError, match="fact_orders_valid_date_key"):
+        run_pipeline(spark, _inputs(root), f"{root}/lake", calendar=days(5))
+    r = run_pipeline(spark, _inputs(root), f"{root}/lake", calendar=days(6))
+    assert r.tables["gold.dim_date"].count() == 6 and r.tables["gold.fact_orders"].count() == 2

@@ -111,3 +111,16 @@ def test_order_buckets_are_recorded_and_another_number_is_refused(spark):
     rebucket_orders(spark, o, o + "_more", 16)
     silver_events_sink(a, r, orders_path=o + "_more", order_buckets=16)(batch("e3", "completed", 3), 2)
     assert [x.status for x in spark.read.parquet(o + "_more").collect()] == ["completed"]
+
+
+def test_duplicates_are_dropped_in_the_stream_across_a_restart(spark, tmp_dir):
+    landing, out, ckpt = (os.path.join(tmp_dir, x) for x in ("landing", "bronze", "ckpt"))
+
+    def go():
+        start_ingest(file_records(spark, landing), out, ckpt, {"availableNow": True}, dedup_within="1 hour").awaitTermination()
+    _land(spark, landing, [_ev(1, "2024-01-03 00:00:00"), _ev(1, "2024-01-03 00:00:00"), _ev(2, "2024-01-03 00:00:00")])
+    go()
+    # a new query over the same checkpoint: known ids stay out, an event years before the others does not
+    _land(spark, landing, [_ev(1, "2024-01-03 00:00:00"), _ev(3, "2019-01-01 00:00:00")])
+    go()
+    assert rows(spark.read.parquet(out), "event_id") == [("e1",), ("e2",), ("e3",)]
