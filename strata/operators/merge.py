@@ -125,7 +125,9 @@ def merge(target: DataFrame, source: DataFrame, on: Sequence[str] | str,
     cond = all_of(F.col(_T + k) == F.col(_S + k) for k in on) & (F.col("__t_salt") == F.col("__s_salt"))
     if target_condition is not None:
         cond = cond & target_condition(t)
-    j = tdf.join(sdf, cond, "full_outer")
+    # without an insert clause a source row that matches nothing is dropped: the target's side alone is kept,
+    # and AQE can split a skewed target
+    j = tdf.join(sdf, cond, "full_outer" if not_matched else "left")
 
     is_m = F.col(_TP).isNotNull() & F.col(_SP).isNotNull()
     is_new = F.col(_TP).isNull()

@@ -209,6 +209,7 @@ def _ex(kinds):
 
 def layer_profile_q(spark, sf_dir):
     layers = M.build_layers(spark, sf_dir)
+    layers.stage_bronze()
     layers.prefetch(layers.names())
     tables = layers.all()
     tables["audit.dq_results"] = M.run_stage_checks(tables)

@@ -198,6 +198,13 @@ class Layers:
         with ThreadPoolExecutor(max_workers=min(workers, len(names))) as pool:
             list(pool.map(self.__getitem__, names))
 
+    def stage_bronze(self) -> None:
+        """Write the joined raw orders once, for callers that read them and build silver from them."""
+        name = "bronze.orders_raw"
+        with self._lock(name):
+            if name not in self._cache:
+                self._cache[name] = self._keep(self._bronze_orders_raw(), "bronze_orders_raw")
+
     def _keep(self, df: DataFrame, name: str, partition_by=None) -> DataFrame:
         return store.materialize(df, name, partition_by) if self.materialize else df
 
@@ -383,7 +390,10 @@ def run_stage_checks(tables, stages=("bronze", "silver", "gold"),
                      kinds: set[str] | None = None) -> DataFrame:
     """Audit rows for the chosen stages (and check kinds), one DataFrame."""
     if isinstance(tables, Layers):
-        tables.prefetch(tables.tables_for_checks(stages, kinds))
+        needed = tables.tables_for_checks(stages, kinds)
+        if "bronze.orders_raw" in needed:
+            tables.stage_bronze()
+        tables.prefetch(needed)
     out = None
     for stage in stages:
         cs = [c for c in checks()[stage] if kinds is None or c.kind in kinds]

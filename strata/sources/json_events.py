@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType, TimestampNTZType, TimestampType
@@ -41,10 +39,3 @@ def decode_json_events(raw: DataFrame, schema: StructType | str = ORDER_EVENT_SC
                if isinstance(f.dataType, TimestampNTZType) else F.col("__e")[f.name]).alias(f.name) for f in schema.fields]
     return (decoded.select(*fields, *[k for k in transport.values() if k in decoded.columns])
                    .filter(F.col(key).isNotNull()))
-
-
-def stamp_ingestion(df: DataFrame, order: Sequence[str] | None = None, as_of=None) -> DataFrame:
-    """Add ``_ingested_at`` (constant within a micro-batch) and fix the column order."""
-    ts = as_of if as_of is not None else F.current_timestamp().cast("timestamp_ntz")
-    df = df.withColumn("_ingested_at", ts)
-    return df.select(*order) if order else df

@@ -10,16 +10,19 @@ from __future__ import annotations
 import re
 import sys
 
+from pyspark.sql import functions as F
+
 sys.path.insert(0, __file__.rsplit("/tools/", 1)[0])
 
 from strata.operators.keyed import latest_by  # noqa: E402
-from strata.operators.star import asof_lookup, unknown_member  # noqa: E402
+from strata.operators.star import asof_lookup, daily_sales, unknown_member  # noqa: E402
 from strata.plans import medallion as M  # noqa: E402
 from strata.plans.catalog import queries  # noqa: E402
-from strata.session import get_spark  # noqa: E402
+from strata.session import get_spark, scratch_path  # noqa: E402
+from strata.sinks.partitioned import touched_rows  # noqa: E402
 from strata.sources.driver_tables import DriverTables  # noqa: E402
 
-KEEP = re.compile(r"(Exchange|Join|Window|WindowGroupLimit|Aggregate|FileScan|Scan|Broadcast|Union|Expand|Filter)")
+KEEP = re.compile(r"(Exchange|Join|dynamicpruning|Window|WindowGroupLimit|Aggregate|FileScan|Scan|Broadcast|Union|Expand|Filter)")
 
 
 def condensed(df) -> str:
@@ -38,6 +41,13 @@ def condensed(df) -> str:
     return "\n".join(out)
 
 
+def _pruned(spark, L):
+    path = scratch_path(spark, "plan_events")
+    events = L["silver.order_events"].withColumn("dt", F.to_date("event_time"))
+    events.write.partitionBy("dt").parquet(path)
+    return touched_rows(path, events.filter("order_id = 'U-7'"), ["dt"])[0]
+
+
 def main() -> None:
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     spark = get_spark("strata-plans", master="local[4]", shuffle_partitions=8)
@@ -58,7 +68,8 @@ def main() -> None:
                         "customer_id", "order_ts", "customer_sk"),
         "unknown_member: salted left join": unknown_member(L["silver.orders"].select("order_id", "product_id"),
                                                             L["gold.dim_product"], "product_id", "product_sk"),
-        "daily_sales mart": queries()["daily_sales"](spark, sf).select("*"),
+        "daily_sales mart": daily_sales(L["gold.fact_orders"], L["gold.dim_product"]),
+        "partition MERGE's read of its target: pruned by the batch's partitions while it runs": _pruned(spark, L),
         "dq_report: one aggregate per table + two-level duplicates + anti joins": queries()["dq_report"](spark, sf),
         "latest_by on a toy frame": latest_by(spark.range(100).selectExpr("id % 3 AS k", "id AS v"), "k", ["v DESC"]),
     }
