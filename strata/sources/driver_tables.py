@@ -53,6 +53,10 @@ def _status():
     return F.coalesce(*[F.when(F.col("event_type") == k, F.lit(v)) for k, v in EVENT_STATUS.items()], F.col("event_type"))
 
 
+#: Rows of a reference table that is broadcast at most.
+SMALL_ROWS = 10_000
+
+
 @dataclass
 class DriverTables:
     spark: SparkSession
@@ -67,9 +71,10 @@ class DriverTables:
         if snapshot not in ("day1", "day2"):
             raise ValueError(f"unknown snapshot {snapshot!r}, expected day1 or day2")
         c = self.table("customer")
-        # nation is fixed reference data (25 rows at every scale): a proven
-        # bound, so it is broadcast instead of shuffling the customers
-        n = F.broadcast(self.table("nation").select("n_nationkey", "n_name"))
+        # nation is fixed reference data (25 rows); its size is checked before it
+        # is broadcast instead of shuffling the customers
+        n = self.table("nation").select("n_nationkey", "n_name")
+        n = F.broadcast(n) if n.count() <= SMALL_ROWS else n
         j = c.join(n, c["c_nationkey"] == n["n_nationkey"], "left")
         moved = (F.col("c_custkey") % MOVED_EVERY == 0) if snapshot == "day2" else F.lit(False)
         return j.select(
