@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import isqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from strata.functions.columns import OPEN_END, UNKNOWN_SK, date_key, null_key_sa
 from strata.sinks.store import materialize
 
 
-#: Intervals of one key that a fact is compared with at most (twice that for a key with few).
+#: Neighbouring intervals in a bin at least; with more than the square of that of one key, bins are as large as their number.
 BIN = 64
 #: Rows of the list of bins that are broadcast at most (a key, two times and a number each); more are joined by a shuffle.
 BROADCAST_BINS = 200_000
@@ -64,8 +65,8 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str,
     (inner-join semantics).
 
     Plan: the dimension is turned into intervals that tile the time line
-    per key (``lookup_intervals``), cut into bins of ``BIN`` neighbouring
-    intervals and staged. A fact meets the intervals of its key and bin in one equi-join
+    per key (``lookup_intervals``) and staged, and cut into bins of neighbouring intervals
+    (``BIN`` of them, or the root of the number that any key has). A fact meets the intervals of its key and bin in one equi-join
     with a range condition, each fact row matching exactly one interval, so a key
     with many versions and many facts is spread over its bins and no
     fact is compared with all of its versions. Which bin a fact falls in is asked only
@@ -75,15 +76,17 @@ def asof_lookup(fact: DataFrame, dim: DataFrame, key: str, ts: str, sk: str,
     """
     fk = fact_key or key
     nth = F.row_number().over(Window.partitionBy(key).orderBy(F.col("lo").asc_nulls_first()))
-    iv = lookup_intervals(dim, key, sk, valid_from, valid_to).withColumn("__bin", F.floor((nth - 1) / F.lit(BIN)).cast("int"))
+    iv = lookup_intervals(dim, key, sk, valid_from, valid_to).withColumn("__nth", nth - 1)
     iv = materialize(iv.select(F.col(key).alias("__i_key"), F.col("lo").alias("__lo"), F.col("hi").alias("__hi"), F.col(sk).alias("__i_sk"),
-                               F.col("null_ts").alias("__null_ts"), F.col("__bin").alias("__i_bin")), "lookup_intervals")
+                               F.col("null_ts").alias("__null_ts"), "__nth"), "lookup_intervals")
+    widest = iv.agg(F.max("__nth")).first()[0] or 0
+    size = max(BIN, isqrt(widest))
+    iv = iv.withColumn("__i_bin", F.floor(F.col("__nth") / F.lit(size)).cast("int")).drop("__nth")
     t = F.col(ts)
     cond = (F.col(fk) == F.col("__i_key")) & (F.col("__f_salt") == F.col("__i_salt"))
     facts = fact.withColumn("__f_salt", null_key_salt([fk], [fk]))
-    several = iv.filter(F.col("__i_bin") > 0)
-    if not several.isEmpty():
-        facts = _with_bin(facts, several, fk, t)
+    if widest >= size:
+        facts = _with_bin(facts, iv.filter(F.col("__i_bin") > 0), fk, t)
         cond = cond & (F.col("__f_bin") == F.col("__i_bin"))
     in_range = ((F.col("__lo").isNull() | (t >= F.col("__lo"))) & (F.col("__hi").isNull() | (t < F.col("__hi"))))
     cond = cond & F.when(t.isNull(), F.col("__null_ts")).otherwise(in_range)

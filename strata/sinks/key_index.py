@@ -90,7 +90,8 @@ class KeyIndex:
         return near.join(wanted.select(*self.key, "bucket"), [*self.key, "bucket"], "left_semi").select(*self.key, *self.parts).distinct()
 
     def unseen(self, batch: DataFrame, table_path: str) -> DataFrame:
-        """The rows of ``batch`` whose key the table does not hold. The batch is read several times: stage it before."""
+        """The rows of ``batch`` whose key the table does not hold; rows without a key are always among them.
+        The batch is read several times: stage it before."""
         if not store.has_data(self.spark, self.path) or not store.has_data(self.spark, table_path):
             return batch
         found = store.materialize(self.candidates(batch), "known_keys")
