@@ -30,6 +30,7 @@ PHRASE = 4             # words of a phrase at most
 PIECE = 24             # longer words are scored by overlapping pieces of this length
 SAMPLE_DOCS = 800      # most labelled documents of each class that the machine is trained on
 SAMPLE_BYTES = 32768   # longer documents are not taken into that sample
+SCORE_BYTES = 1 << 20  # text that is cut into phrases at a time
 COST = 10.0
 POWER = 3
 LANDMARKS = 64         # of each kind: words of toxic documents, words of clean ones
@@ -342,7 +343,7 @@ def score(spark: SparkSession, docs: DataFrame, model: Model | None, text_col: s
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model | None = sent.value
-        for b in blocks(batches, text_col):
+        for b in blocks(batches, text_col, SCORE_BYTES):
             texts = [t or "" for t in b.column(text_col).to_pylist()]
             s = m.probability(texts) if m else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([*[b.column(c) for c in others], pa.array(s, pa.float64())], names=[*others, "score"])
@@ -357,7 +358,7 @@ def reject(spark: SparkSession, docs: DataFrame, model: Model | None, text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model | None = sent.value
-        for b in blocks(batches, text_col):
+        for b in blocks(batches, text_col, SCORE_BYTES):
             if m is None:
                 yield b
                 continue
