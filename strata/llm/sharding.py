@@ -11,52 +11,51 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strata.llm.common import stage
-
-#: Rows that one window task sorts, about.
-CELL_ROWS = 20_000
-
-
-def _ranked(df: DataFrame, group: list[str], share: Column, n: Column, order: list[Column], out: str) -> DataFrame:
-    """``out``: the 0-based rank in its group by ``order``. ``share`` (0 to 1) rises with
-    ``order``; it cuts a group of ``n`` rows into cells of about ``CELL_ROWS``, which are sorted on their own."""
-    cells = F.ceil(n / F.lit(float(CELL_ROWS)))
-    df = df.withColumn("cell", F.least(F.floor(share * cells), cells - 1))
-    count = df.groupBy(*group, "cell").agg(F.count("*").alias("c"))
-    before = count.withColumn("before", F.coalesce(F.sum("c").over(
-        Window.partitionBy(*group).orderBy("cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("c")
-    inside = F.row_number().over(Window.partitionBy(*group, "cell").orderBy(*order)) - 1
-    keep = df.columns
-    joined = df.withColumn("inside", inside)
-    cond = None
-    for c in [*group, "cell"]:
-        e = joined[c].eqNullSafe(before[c])
-        cond = e if cond is None else cond & e
-    return (joined.join(before, cond).select(*[joined[c] for c in keep if c != "cell"], (F.col("before") + joined["inside"]).alias(out)))
+from strata.llm.common import fresh, stage
+
+def _numbered(spark: SparkSession, df: DataFrame, order: list[Column], out: str) -> DataFrame:
+    """``df`` with ``out``, each row's 0-based place in ``order`` (a total order).
+
+    Rows go to ranges of the order, are numbered inside their range in the write
+    that stages them, and add the sizes of the ranges before. Ranges are cut
+    by Spark's sample of the whole order, so no group of rows is one task's work.
+    """
+    at = F.monotonically_increasing_id()     # range number, then 33 bits of the place inside
+    ranged = stage(spark, df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", at), "shard-order")
+    ranged = ranged.withColumn("part", F.shiftright("at", 33))
+    # a row per range, at most the shuffle partitions
+    sizes = ranged.groupBy("part").agg(F.count("*").alias("c"))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select("part", F.coalesce(F.sum("c").over(earlier), F.lit(0)).alias("before"))
+    place = F.col("before") + F.col("at").bitwiseAND(F.lit((1 << 33) - 1))
+    return ranged.join(F.broadcast(before), "part").withColumn(out, place).drop("part", "at", "before")
 
 
 def interleave(spark: SparkSession, rows: DataFrame, shards: int, source_col: str = "source", key_cols: tuple[str, ...] = ("doc_id",),
                seed: str = "strata") -> DataFrame:
-    """``rows`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in each shard).
+    """``rows`` with ``shard`` (0 to ``shards`` - 1) and ``slot`` (gapless from 0 in each shard);
+    with more underscores where ``rows`` has such a column in any case.
 
     Shard sizes differ by one row at most. The shuffle order is the md5 of seed and
-    ``key_cols`` (then the keys themselves; rows equal in all of them are alike). A
-    null source is a source of its own, null keys count as such; fewer rows than
-    shards leave shards empty; no rows give no rows. Only ``rows`` as given moves,
-    so pass ids and digests instead of texts.
+    ``key_cols`` (then the keys themselves; rows equal in all of them keep the order
+    they are staged in). A null source is a source of its own, null keys count as
+    such; fewer rows than shards leave shards empty; no rows give no rows. Only
+    ``rows`` as given moves, so pass ids and digests instead of texts.
     """
-    name = F.concat_ws("\x1f", F.lit(seed), *[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in key_cols])
-    df = rows.withColumn("h", F.md5(name))
-    df = df.withColumn("u", F.conv(F.substring("h", 1, 13), 16, 10).cast("double") / F.lit(float(16 ** 13)))
-    size = rows.groupBy(source_col).agg(F.count("*").alias("n_source"))
-    df = df.join(size.withColumnRenamed(source_col, "source__"), F.col(source_col).eqNullSafe(F.col("source__"))).drop("source__")
-    keys = [F.asc_nulls_last(c) for c in key_cols]
-    df = stage(spark, _ranked(df, [source_col], F.col("u"), F.col("n_source"), [F.col("h"), *keys], "r"), "shard-ranks")
-    total = int(df.count())
-    df = df.withColumn("f", (2 * F.col("r") + 1) / (2 * F.col("n_source")).cast("double")).withColumn("one", F.lit(0))
-    df = _ranked(df, ["one"], F.col("f"), F.lit(total), [F.col("f"), F.asc_nulls_last(source_col)], "pos")
+    name = F.concat_ws("\x1f", F.lit(seed), *[F.coalesce(rows[c].cast("string"), F.lit("\x00")) for c in key_cols])
+    keys = [f"k{i}" for i in range(len(key_cols))]
+    df = stage(spark, rows.select(F.struct(*[rows[c] for c in rows.columns]).alias("row"), rows[source_col].alias("source"), F.md5(name).alias("h"),
+                                  *[rows[c].alias(k) for c, k in zip(key_cols, keys)], F.monotonically_increasing_id().alias("rid")), "shard-rows")
+    df = _numbered(spark, df, [F.asc_nulls_last("source"), F.asc("h"), *map(F.asc_nulls_last, keys), F.asc("rid")], "pos").select("row", "source", "pos")
+    # staged: beside an aggregate Spark cannot split a source's rows
+    size = stage(spark, df.groupBy("source").agg(F.min("pos").alias("start"), F.count("*").alias("n")), "shard-sources")
+    size = size.withColumnRenamed("source", "of")
+    df = df.join(size, df["source"].eqNullSafe(size["of"])).drop("of")
+    df = df.withColumn("f", (2 * (F.col("pos") - F.col("start")) + 1) / (2 * F.col("n")).cast("double")).select("row", "source", "f")
+    total = int(size.agg(F.sum("n")).first()[0] or 0)
+    df = _numbered(spark, df, [F.asc("f"), F.asc_nulls_last("source")], "pos")
     # exact in whole numbers: shard = floor(pos * shards / total), begun at ceil(shard * total / shards)
-    shard = F.expr(f"(pos * {shards}) div {max(total, 1)}")
-    df = df.withColumn("shard", shard.cast("int"))
+    shard = F.expr(f"cast((pos * {shards}) div {max(total, 1)} as int)")
     begin = F.expr(f"(cast(shard as bigint) * {total} + {shards - 1}) div {shards}")
-    return df.withColumn("slot", F.col("pos") - begin).select(*rows.columns, "shard", "slot")
+    return df.withColumn("shard", shard).withColumn("slot", F.col("pos") - begin).select(
+        *[F.col("row")[c].alias(c) for c in rows.columns], F.col("shard").alias(fresh(rows, "shard")), F.col("slot").alias(fresh(rows, "slot")))

@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import tiktoken
 from llm_fixtures import docs, none  # noqa: F401
+from pyspark.sql import functions as F
 
 from strata.llm import bpe, decontaminate, queries, sharding, topk, toxicity, warc
 
@@ -94,7 +95,8 @@ def test_remove_spans(spark, docs):
 
 
 def test_remove_spans_keeps_a_row_id_column(spark, docs):
-    """Several item blocks give the rows ids of their own; the table's column RID stays."""
+    """Several item blocks give the rows ids of their own; the table's columns RID, items_ and SPAN_START_ stay."""
+    docs = docs.withColumn("items_", F.col("hit")).withColumn("SPAN_START_", F.col("hit"))
     bench = items(spark, docs).where("item_id in ('i1', 'i2')")
     one, many = (decontaminate.remove_spans(spark, docs, bench, 10, item_bytes=n) for n in (1 << 20, 100))
     assert many.schema == docs.schema
@@ -164,9 +166,47 @@ def test_warc(spark, tmp_path):
     assert back.where("not whole").count() == 0 and warc.derive(warc.responses(pages.limit(0))).count() == 0
 
 
-@pytest.mark.parametrize("cell", [20_000, 7])
-def test_sharding(spark, docs, none, cell, monkeypatch):
-    monkeypatch.setattr(sharding, "CELL_ROWS", cell)
+def brute_shards(rows, shards):
+    """doc_id to (shard, slot): a shuffle by md5 in each source, then fractional ranks, cut evenly."""
+    import hashlib
+    by = {}
+    for i, s in rows:
+        by.setdefault(s, []).append((hashlib.md5(f"strata\x1f{i}".encode()).hexdigest(), i))
+    order = sorted(((2 * r + 1) / (2 * len(g)), s is None, s or "", i) for s, g in by.items() for r, (_, i) in enumerate(sorted(g)))
+    out, n = {}, len(order)
+    for pos, (*_, i) in enumerate(order):
+        k = pos * shards // n
+        out[i] = (k, pos - -(-k * n // shards))
+    return out
+
+
+def test_sharding_against_brute_force(spark):
+    df = spark.range(3000).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot' when id % 7 = 0 then null when id % 2 = 0 then 'é' || id % 5 "
+                                      "else 'one' || id end as source", "'x' as SHARD", "id as pos", "'y' as `row`", "1 as h")
+    out = sharding.interleave(spark, df, 8)
+    assert out.columns == [*df.columns, "shard_", "slot"]
+    have = out.collect()
+    assert {r.doc_id: (r.shard_, r.slot) for r in have} == brute_shards([(r.doc_id, r.source) for r in have], 8)
+    assert all((r.SHARD, r.pos, r.row, r.h) == ("x", r.doc_id, "y", 1) for r in have) and len(have) == 3000
+
+
+def test_sharding_ranges_stay_small(spark):
+    """Sources of one row each share one fractional rank, and equal rows all their keys; neither is one task's work."""
+    one_each = spark.range(4000).selectExpr("id as doc_id", "concat('s', id) as source")
+    equal = spark.range(4000).selectExpr("1L as doc_id", "'s' as source")
+    for df in (one_each, equal):
+        staged = sharding.stage(spark, df.withColumn("f", F.lit(0.5)).withColumn("rid", F.monotonically_increasing_id()), "test-rows")
+        order = [F.asc("f"), F.asc("source"), F.asc("rid")]
+        out = sharding._numbered(spark, staged.repartition(16), order, "pos")
+        assert sorted(r.pos for r in out.select("pos").collect()) == list(range(4000))
+        # the ranges themselves, before Spark joins small neighbours
+        sizes = [r["count"] for r in staged.repartitionByRange(8, *order).groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) == 8 and max(sizes) < 1000
+        shards = sharding.interleave(spark, df, 8).groupBy("shard").agg(F.count("*").alias("n"), F.max("slot").alias("m")).collect()
+        assert sorted((r.n, r.m) for r in shards) == [(500, 499)] * 8
+
+
+def test_sharding(spark, docs, none):
     rows = spark.range(200).selectExpr("id as doc_id", "case when id % 3 = 0 then 'hot' when id % 7 = 0 then null else concat('s', id % 5) end as source")
     for df, n in ((rows, 8), (docs.select("doc_id", "source"), 3), (docs.select("doc_id", "source").limit(2), 5)):
         out = sharding.interleave(spark, df, n).collect()
