@@ -15,19 +15,20 @@ def components(spark: SparkSession, edges: DataFrame, limit: int = 100) -> DataF
     Each round hangs a node's larger neighbours, then its smaller ones, on its
     smallest neighbour; a component ends as a star after about log(size) rounds.
     Every round is one written table, so a lost executor costs one round.
-    Minima are aggregated before the shuffle, so a hub is no single task's work.
+    Minima are aggregated before the shuffle and written before they are joined:
+    Spark can split a hub's rows in a join of two tables, not beside an aggregate.
     """
     now = stage(spark, edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
     for _ in range(limit):
         if _stars(now):
             break
         both = now.union(now.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        least = stage(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "cc-least")
         # large star: larger neighbours go to the smallest neighbour or the node itself
         large = stage(spark, both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                       .where("u <> v").distinct(), "cc")
         # small star: a node and its smaller neighbours go to the smallest of them
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = stage(spark, large.groupBy("u").agg(F.min("v").alias("m")), "cc-least")
         now = stage(spark, large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                     .union(least.select("u", "m")).where("u <> v").distinct(), "cc")
     else:

@@ -215,8 +215,8 @@ def find_spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size:
                block_bytes: int = BLOCK_BYTES, item_bytes: int = ITEM_BLOCK_BYTES) -> DataFrame:
     """Every row of ``docs`` with ``n_words``, ``span_start``, ``span_end`` (merged word
     ranges that lie in occurrences of a window) and ``items`` (sorted ids of items
-    with an occurring window) added under names that ``docs`` does not have; see
-    ``NAMES``.
+    with an occurring window) added as ``NAMES``, with more underscores where ``docs``
+    has such a column in any case (``added``).
 
     A window is ``size`` consecutive words of an item; a shorter item with any
     word is one window. Null and empty texts have no words. A null item id counts
@@ -224,21 +224,19 @@ def find_spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size:
     The benchmark goes out in blocks of ``item_bytes``, one pass over the documents
     for each block, so its size is not limited.
     """
-    names = NAMES
-    if set(names) & {c.lower() for c in docs.columns}:
-        raise ValueError(f"docs must not have columns {names}")
+    names = added(docs)
     parts: list[DataFrame] = []
     base, rid = docs, fresh(docs, "rid_")
     for n, items in _item_blocks(spark, benchmark, item_col, item_text_col, item_bytes):
         if n > 1 and not parts:
             base = stage(spark, docs.withColumn(rid, F.monotonically_increasing_id()), "decontaminate")
-        parts.append(_pass(spark, base, windows_of(items, size), text_col, block_bytes))
+        parts.append(_pass(spark, base, windows_of(items, size), names, text_col, block_bytes))
     if len(parts) == 1:
         return parts[0]
     union = parts[0]
     for p in parts[1:]:
         union = union.unionByName(p)
-    every = union.groupBy(rid).agg(
+    every = union.select(F.col(rid).alias("rid"), *[F.col(f"`{c}`").alias(k) for c, k in zip(names, NAMES)]).groupBy("rid").agg(
         F.first("n_words_").alias("n_words_"), F.flatten(F.collect_list(F.arrays_zip("span_start_", "span_end_"))).alias("s"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("items_")))).alias("items_"))
     # merge the blocks' ranges: sort, then extend or open
@@ -248,8 +246,8 @@ def find_spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size:
             F.get(a, F.size(a) - 1)["span_start_"].alias("span_start_"),
             F.greatest(F.get(a, F.size(a) - 1)["span_end_"], x["span_end_"]).alias("span_end_")))))
         .otherwise(F.concat(a, F.array(x))))
-    every = every.withColumn("s", acc).select(rid, "n_words_", F.col("s.span_start_").alias("span_start_"),
-                                              F.col("s.span_end_").alias("span_end_"), "items_")
+    every = every.withColumn("s", acc).select(F.col("rid").alias(rid), *[F.col(c).alias(k) for c, k in zip(
+        ("n_words_", "s.span_start_", "s.span_end_", "items_"), names)])
     return base.join(every, rid).drop(rid)
 
 
@@ -257,7 +255,12 @@ def find_spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size:
 NAMES = ("n_words_", "span_start_", "span_end_", "items_")
 
 
-def _pass(spark: SparkSession, docs: DataFrame, w: Windows, text_col: str, block_bytes: int) -> DataFrame:
+def added(docs: DataFrame) -> list[str]:
+    """The names of the columns that ``find_spans`` adds to ``docs``."""
+    return [fresh(docs, c) for c in NAMES]
+
+
+def _pass(spark: SparkSession, docs: DataFrame, w: Windows, names: list[str], text_col: str, block_bytes: int) -> DataFrame:
     sent = spark.sparkContext.broadcast(w)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,12 +282,11 @@ def _pass(spark: SparkSession, docs: DataFrame, w: Windows, text_col: str, block
                 items.append(sorted({x for k in np.unique(window[a:z]) for x in win.items[k]}))
             cols = [pa.array([len(d) for d in lists], pa.int64()), pa.array(starts, pa.list_(pa.int32())),
                     pa.array(ends, pa.list_(pa.int32())), pa.array(items, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *NAMES])
+            yield pa.RecordBatch.from_arrays([*b.columns, *cols], names=[*b.schema.names, *names])
 
     from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
-    added = [StructField("n_words_", LongType()), StructField("span_start_", ArrayType(IntegerType())),
-             StructField("span_end_", ArrayType(IntegerType())), StructField("items_", ArrayType(StringType()))]
-    return docs.mapInArrow(run, StructType([*docs.schema.fields, *added]))
+    types = [LongType(), ArrayType(IntegerType()), ArrayType(IntegerType()), ArrayType(StringType())]
+    return docs.mapInArrow(run, StructType([*docs.schema.fields, *map(StructField, names, types)]))
 
 
 def cut_spans(text: bytes, starts: list[int], ends: list[int]) -> bytes:
@@ -301,14 +303,18 @@ def cut_spans(text: bytes, starts: list[int], ends: list[int]) -> bytes:
 
 def remove_spans(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, size: int = 10, text_col: str = "text",
                  **options) -> DataFrame:
-    """``docs`` with every merged span cut out of the text; other rows and columns stay as they are."""
+    """``docs`` with every merged span cut out of the text; other rows and columns stay as they are.
+
+    Null and empty texts stay, repeated rows are cut alike, a text whose words all
+    go keeps what stands before the first and after the last; no rows give no rows.
+    """
     found = find_spans(spark, docs, benchmark, size, text_col, **options)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             i = b.schema.get_field_index(text_col)
             texts = b.column(i).to_pylist()
-            for k, (s, e) in enumerate(zip(b.column("span_start_").to_pylist(), b.column("span_end_").to_pylist())):
+            for k, (s, e) in enumerate(zip(b.column(b.num_columns - 3).to_pylist(), b.column(b.num_columns - 2).to_pylist())):
                 if s:
                     texts[k] = cut_spans(texts[k].encode(), s, e).decode()
             cols = list(b.columns[:-len(NAMES)])

@@ -52,21 +52,28 @@ def repeated_starts(spark: SparkSession, lines: DataFrame, min_lines: int) -> Da
         depth += step
     places = lines.select("rid", "place").distinct()
     at = stage(spark, ranked.join(places, "rid").select("rid", "n", "r", F.struct("place", "rid", "n").alias("at")), "line-places")
-    first = at.groupBy("r").agg(F.min("at").alias("first"))
+    # staged: beside an aggregate Spark cannot split the commonest rank's rows
+    first = stage(spark, at.groupBy("r").agg(F.min("at").alias("first")), "line-first")
     return at.join(first, "r").where("at > first").select("rid", "n")
 
 
-def repeated_alone(lines: DataFrame) -> DataFrame:
+def repeated_alone(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """(rid, n): lines marked ``lone`` that an earlier place has too."""
     lone = lines.where("lone").select("rid", "n", "a", "b", F.struct("place", "rid", "n").alias("at"))
-    first = lone.groupBy("a", "b").agg(F.min("at").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c")
+    first = stage(spark, lone.groupBy("a", "b").agg(F.min("at").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "line-alone")
     return lone.join(first, ["a", "b"]).where("at > first").select("rid", "n")
 
 
+def added(docs: DataFrame) -> list[str]:
+    """The names of the columns that ``remove_repeats`` adds to ``docs``."""
+    return [fresh(docs, c) for c in ("n_lines_", "n_removed_", "run_start_", "run_lines_")]
+
+
 def remove_repeats(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LINES, id_col: str = "doc_id",
                    text_col: str = "text", lone_words: int | None = None, lone_bytes: int | None = None) -> DataFrame:
     """``docs`` with the later copies of repeated line runs cut from the text, and
-    ``n_lines_``, ``n_removed_``, ``run_start_``, ``run_lines_`` (the maximal runs cut).
+    ``n_lines_``, ``n_removed_``, ``run_start_``, ``run_lines_`` (the maximal runs cut;
+    with more underscores where ``docs`` has such a column in any case: ``added``).
 
     Lines end at "\\n" and are compared byte by byte. A line goes if it lies in
     ``min_lines`` or more consecutive lines of its document that also start
@@ -91,10 +98,11 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LI
         .select("rid", "place", "n", F.xxhash64("line").alias("a"), F.xxhash64(F.lit(1), F.reverse("line")).alias("b"), lone.alias("lone")), "lines")
     starts = repeated_starts(spark, lines, min_lines).withColumn("alone", F.lit(False))
     if lone_words is not None or lone_bytes is not None:
-        starts = starts.union(repeated_alone(lines).withColumn("alone", F.lit(True)))
-    starts = starts.groupBy("rid").agg(F.collect_list(F.when(~F.col("alone"), F.col("n"))).alias("starts_"),
-                                       F.collect_list(F.when(F.col("alone"), F.col("n"))).alias("alone_"))
+        starts = starts.union(repeated_alone(spark, lines).withColumn("alone", F.lit(True)))
+    starts = starts.groupBy("rid").agg(F.collect_list(F.when(~F.col("alone"), F.col("n"))).alias(fresh(docs, "starts_")),
+                                       F.collect_list(F.when(F.col("alone"), F.col("n"))).alias(fresh(docs, "alone_")))
     found = base.join(starts.withColumnRenamed("rid", rid), rid, "left").drop(rid)
+    names = added(docs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in blocks(batches, text_col):
@@ -120,9 +128,8 @@ def remove_repeats(spark: SparkSession, docs: DataFrame, min_lines: int = MIN_LI
             cols[i] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(
                 [*cols, pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(run_start, pa.list_(pa.int32())),
-                 pa.array(run_lines, pa.list_(pa.int32()))], names=[*b.schema.names[:-2], "n_lines_", "n_removed_", "run_start_", "run_lines_"])
+                 pa.array(run_lines, pa.list_(pa.int32()))], names=[*b.schema.names[:-2], *names])
 
     from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
-    added = [StructField("n_lines_", LongType()), StructField("n_removed_", LongType()),
-             StructField("run_start_", ArrayType(IntegerType())), StructField("run_lines_", ArrayType(IntegerType()))]
-    return found.mapInArrow(run, StructType([*docs.schema.fields, *added]))
+    types = [LongType(), LongType(), ArrayType(IntegerType()), ArrayType(IntegerType())]
+    return found.mapInArrow(run, StructType([*docs.schema.fields, *map(StructField, names, types)]))

@@ -74,7 +74,8 @@ def links(spark: SparkSession, distinct: DataFrame, radius: int) -> DataFrame:
     tables = stage(spark, distinct.select("fp", F.explode(F.array(*[
         F.struct(F.lit(i).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for i, m in enumerate(masks(radius))
     ])).alias("x")).select("x.t", "x.key", "fp"), "simhash-tables")
-    sizes = tables.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
+    # staged: beside an aggregate Spark cannot split a key that many fingerprints share
+    sizes = stage(spark, tables.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1"), "simhash-sizes")
     shared = stage(spark, tables.join(sizes, ["t", "key"]), "simhash-buckets")
 
     small = (shared.where(F.col("n") <= SMALL_BUCKET).groupBy("t", "key").agg(F.collect_list("fp").alias("fps"))
@@ -143,14 +144,18 @@ def classes(spark: SparkSession, prints: DataFrame, id_col: str, radius: int) ->
     distinct = stage(spark, prints.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-classes")
     parts = components(spark, links(spark, distinct.select("fp"), radius))
     named = distinct.join(parts.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    least = named.groupBy("root").agg(F.min("least").alias("label"))
+    least = stage(spark, named.groupBy("root").agg(F.min("least").alias("label")), "simhash-least")
     return stage(spark, named.join(least, "root").select("fp", "label"), "simhash-labels")
 
 
 def keep_one(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              shingle: int = 3, radius: int = 2) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id (then of the
-    smallest row id), all columns unchanged."""
+    smallest row id), all columns unchanged.
+
+    Null, empty and blank texts share fingerprint 0, so one of them stays (with
+    what links to it); null ids come last; no rows give no rows.
+    """
     rid = fresh(docs, "rid_")
     base = stage(spark, docs.withColumn(rid, F.monotonically_increasing_id()), "simhash-docs")
     order = F.struct(base[id_col].isNull().alias("n"), base[id_col].cast("long").alias("i"), base[rid].alias("r"))

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strata.llm.common import blocks
+from strata.llm.common import blocks, fresh
 
 DECAY = 0.6
 SPAN = 6               # widest triple
@@ -336,24 +336,29 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, sample: int = S
 
 
 def score(spark: SparkSession, docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) in place of the text. Null and empty texts score
+    """``docs`` with ``score`` (0 to 1; ``score_`` where another column has that name) in place of the text. Null and empty texts score
     as texts without any toxic phrase; without a model (a class had no labelled text) all score 0."""
     sent = spark.sparkContext.broadcast(model)
     others = [c for c in docs.columns if c != text_col]
+    name = fresh(docs.select(*[docs[f"`{c}`"] for c in others]), "score")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m: Model | None = sent.value
         for b in blocks(batches, text_col, SCORE_BYTES):
             texts = [t or "" for t in b.column(text_col).to_pylist()]
             s = m.probability(texts) if m else np.zeros(len(texts))
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in others], pa.array(s, pa.float64())], names=[*others, "score"])
+            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in others], pa.array(s, pa.float64())], names=[*others, name])
 
     from pyspark.sql.types import DoubleType, StructField, StructType
-    return docs.mapInArrow(run, StructType([*[docs.schema[c] for c in others], StructField("score", DoubleType())]))
+    return docs.mapInArrow(run, StructType([*[docs.schema[c] for c in others], StructField(name, DoubleType())]))
 
 
 def reject(spark: SparkSession, docs: DataFrame, model: Model | None, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
-    """``docs`` without the rows that score at least ``threshold``; the others unchanged."""
+    """``docs`` without the rows that score at least ``threshold``; the others unchanged.
+
+    Null and empty texts score as texts without any toxic phrase and stay, as does
+    every row if there is no model; repeated rows are judged alike; no rows give no rows.
+    """
     sent = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -41,3 +41,33 @@ def test_pipeline_cuts_lone_lines(spark, tmp_path):
     rows = [(1, f"first\n{foot}\nalpha", 6), (2, f"second\n{foot}\nbeta", 7), (3, foot, 8)]
     out = corpus_pipeline.drop_repeated_lines(spark, spark.createDataFrame(rows, "doc_id long, text string, n_chars long"), str(tmp_path))
     assert sorted(map(tuple, out.collect())) == [(1, rows[0][1], len(rows[0][1])), (2, "second\nbeta", 11), (3, "", 0)]
+
+
+CLASH = ["n_removed_", "starts_", "N_LINES_", "alone_", "items_", "n_words_", "Span_Start_", "score", "RID", "rid_", "r", "at", "fp", "place"]
+
+
+def test_stages_keep_columns_with_clashing_names(spark, tmp_path):
+    """Every stage before the last keeps columns named like its own."""
+    foot = "this one line of ten words stands under every article"
+    item = "alpha beta gamma delta epsilon zeta eta theta iota kappa"
+    texts = [f"first\n{foot}\nalpha", f"second\n{foot}\nbeta", None, "", f"before {item} after"]
+    rows = [(i, t, len(t or ""), *[f"{c}{i}" for c in CLASH]) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, " + ", ".join(f"`{c}` string" for c in CLASH))
+    spark.createDataFrame([("q1", item)], "item_id string, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    spark.createDataFrame([], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    want = {0: texts[0], 1: "second\nbeta", 2: None, 4: "before  after"}      # null and empty texts: one fingerprint
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, df, str(tmp_path))
+        assert out.schema == df.schema, name
+        out.write.parquet(str(tmp_path / name))
+        df = spark.read.parquet(str(tmp_path / name))
+    have = {r.doc_id: r for r in df.collect()}
+    assert {i: r.text for i, r in have.items()} == want
+    assert all(r[c] == f"{c}{i}" for i, r in have.items() for c in CLASH)
+
+
+def test_score_beside_a_column_of_that_name(spark):
+    from strata.llm import toxicity
+    df = spark.createDataFrame([(1, "a", 7)], "doc_id long, text string, SCORE int")
+    out = toxicity.score(spark, df, None)
+    assert out.columns == ["doc_id", "SCORE", "score_"] and tuple(out.first()) == (1, 7, 0.0)
