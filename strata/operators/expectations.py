@@ -10,10 +10,10 @@ values (no ``mostly`` threshold).
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 RESULT_COLUMNS = ["run_ts", "table_name", "expectation", "kwargs", "success", "observed"]
@@ -62,11 +62,12 @@ def row_count_between(min_value=None, max_value=None) -> Expectation:
     return Expectation("expect_table_row_count_to_be_between", kw)
 
 
-def _unexpected(e: Expectation) -> Column | None:
-    """Per-row aggregate for expectations that need no grouping."""
+def _unexpected(e: Expectation, rows: Column | None = None) -> Column | None:
+    """Per-row aggregate for expectations that need no grouping (over ``rows`` only)."""
     kw = e.kwargs
+    among = (lambda c: c) if rows is None else (lambda c: rows & c)
     if e.kind == "expect_column_values_to_not_be_null":
-        return F.count_if(F.col(e.column).isNull())
+        return F.count_if(among(F.col(e.column).isNull()))
     if e.kind == "expect_column_values_to_be_between":
         c = F.col(e.column)
         bad = F.lit(False)
@@ -74,15 +75,21 @@ def _unexpected(e: Expectation) -> Column | None:
             bad = bad | (c < F.lit(kw["min_value"]))
         if "max_value" in kw:
             bad = bad | (c > F.lit(kw["max_value"]))
-        return F.count_if(c.isNotNull() & bad)
+        return F.count_if(among(c.isNotNull() & bad))
     if e.kind == "expect_column_values_to_be_in_set":
         c = F.col(e.column)
-        return F.count_if(c.isNotNull() & ~c.isin(list(kw["value_set"])))
+        return F.count_if(among(c.isNotNull() & ~c.isin(list(kw["value_set"]))))
     if e.kind == "expect_table_row_count_to_be_between":
-        return F.count(F.lit(1))
+        return F.count(F.lit(1) if rows is None else F.when(rows, 1))
     return None
 
 
+def row_counts(expectations: Sequence[Expectation], rows: Column | None = None) -> dict[str, Column]:
+    """The row-level expectations of one table by their place in the suite, for a ``Watch`` over its write."""
+    found = {f"expectation_{i}": _unexpected(e, rows) for i, e in enumerate(expectations)}
+    return {n: c for n, c in found.items() if c is not None}
+
+
 def _success(e: Expectation, observed: Column) -> Column:
     if e.kind == "expect_table_row_count_to_be_between":
         ok = F.lit(True)
@@ -138,6 +145,22 @@ def run_suite(df: DataFrame, table_name: str, expectations: Sequence[Expectation
                     "kwargs", success.alias("success"), "observed")
 
 
+def observed_results(spark: SparkSession, counts: Mapping[str, int], table_name: str, expectations: Sequence[Expectation],
+                     run_ts: Column | None = None) -> DataFrame:
+    """The audit rows of ``run_suite`` for the expectations that a write has counted (one row each, no scan)."""
+    run_ts = run_ts if run_ts is not None else F.current_timestamp()
+    out = None
+    for i, e in enumerate(expectations):
+        if f"expectation_{i}" in counts:
+            n = F.lit(counts[f"expectation_{i}"]).cast("long")
+            row = spark.range(1).select(run_ts.alias("run_ts"), F.lit(table_name).alias("table_name"), F.lit(e.kind).alias("expectation"),
+                                        F.lit(e.kwargs_json()).alias("kwargs"), _success(e, n).alias("success"), n.alias("observed"))
+            out = row if out is None else out.unionByName(row)
+    if out is None:
+        raise ValueError(f"no expectation of {table_name} was counted")
+    return out
+
+
 class ExpectationsFailed(RuntimeError):
     def __init__(self, failed: int):
         self.failed = failed

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.columns import any_null
@@ -71,17 +71,28 @@ def _expr(c: str | Column) -> Column:
     return F.expr(c) if isinstance(c, str) else c
 
 
-def _row_metric(check: Check) -> Column | None:
-    """A per-table aggregate for checks that are plain row predicates."""
+#: Checks that are plain row predicates: one aggregate, or a count in the write of the table.
+ROW_KINDS = ("not_empty", "null_keys", "predicate")
+
+
+def _row_metric(check: Check, rows: Column | None = None) -> Column | None:
+    """A per-table aggregate for checks that are plain row predicates (over ``rows`` only)."""
+    among = (lambda c: c) if rows is None else (lambda c: rows & c)
     if check.kind == "not_empty":
-        return F.when(F.count(F.lit(1)) == 0, 1).otherwise(0).cast("long")
+        return F.when(F.count(F.lit(1) if rows is None else F.when(rows, 1)) == 0, 1).otherwise(0).cast("long")
     if check.kind == "null_keys":
-        return F.count_if(any_null(list(check.params["cols"]))).cast("long")
+        return F.count_if(among(any_null(list(check.params["cols"])))).cast("long")
     if check.kind == "predicate":
-        return F.count_if(F.coalesce(_expr(check.params["bad"]), F.lit(False))).cast("long")
+        return F.count_if(among(F.coalesce(_expr(check.params["bad"]), F.lit(False)))).cast("long")
     return None
 
 
+def row_counts(checks: Sequence[Check], rows: Column | None = None) -> dict[str, Column]:
+    """The row checks of one table by name, for a ``Watch`` over its write; ``rows``
+    says which of the rows written make up the table (all, by default)."""
+    return {c.name: _row_metric(c, rows) for c in checks if c.kind in ROW_KINDS}
+
+
 def _violations(check: Check, tables: Mapping[str, DataFrame]) -> DataFrame:
     df = tables[check.table]
     p = check.params
@@ -135,6 +146,16 @@ def run_checks(tables: Mapping[str, DataFrame], checks: Sequence[Check], stage:
                           "violations", (F.col("violations") == 0).alias("passed")))
 
 
+def observed_results(spark: SparkSession, counts: Mapping[str, int], checks: Sequence[Check], stage: str,
+                     run_ts: Column | None = None) -> DataFrame:
+    """The audit rows of ``run_checks`` for the checks that a write has counted (one row per check, no scan)."""
+    found = spark.createDataFrame([(c.name, c.severity, counts[c.name]) for c in checks if c.name in counts],
+                                  "check_name string, severity string, violations long")
+    run_ts = run_ts if run_ts is not None else F.current_timestamp()
+    return found.select(run_ts.alias("run_ts"), F.lit(stage).alias("stage"), "check_name", "severity",
+                        "violations", (F.col("violations") == 0).alias("passed"))
+
+
 class QualityGateError(RuntimeError):
     def __init__(self, stage: str, failed: Sequence[str]):
         self.stage, self.failed = stage, list(failed)

@@ -207,6 +207,14 @@ def _ex(kinds):
     return q
 
 
+def dq_observed(spark, sf_dir):
+    return M.observed_checks(M.build_layers(spark, sf_dir, observe=True))
+
+
+def expect_observed(spark, sf_dir):
+    return M.observed_suites(M.build_layers(spark, sf_dir, observe=True))
+
+
 def layer_profile_q(spark, sf_dir):
     layers = M.build_layers(spark, sf_dir)
     layers.stage_bronze()
@@ -385,6 +393,8 @@ def queries() -> dict[str, Query]:
         "partitioned_merge": partitioned_merge,
         "fact_incremental": fact_incremental,
         "daily_sales_incremental": daily_sales_incremental,
+        "dq_observed": dq_observed,
+        "expect_observed": expect_observed,
     }
 
 

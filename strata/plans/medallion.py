@@ -18,8 +18,9 @@ from strata.functions.columns import flat_schema, not_null
 from strata.operators import expectations as ex
 from strata.operators import quality as dq
 from strata.operators.keyed import latest_by
-from strata.operators.late import ROUTE, Routed, route_events, stream_orders
+from strata.operators.late import ACCEPTED, ROUTE, Routed, route_events, stream_orders
 from strata.operators.merge import Matched, NotMatched, merge
+from strata.operators.observed import Watch
 from strata.operators.scd import scd1, scd2_apply
 from strata.operators.star import daily_sales, fact_orders
 from strata.sinks import store
@@ -168,8 +169,10 @@ class Layers:
         "gold": ["dim_customer", "dim_product", "dim_date", "fact_orders", "daily_sales"],
     }
 
-    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True):
+    def __init__(self, spark: SparkSession, sf_dir: str, materialize: bool = True, observe: bool = False):
         self.spark = spark
+        self.observe = observe        # count row checks and expectations in the writes; raw tables are then written too
+        self.watches: dict[str, Watch] = {}
         self.dt = DriverTables(spark, sf_dir)
         self.materialize = materialize
         self._cache: dict[str, DataFrame] = {}
@@ -206,7 +209,22 @@ class Layers:
                 self._cache[name] = self._keep(self._bronze_orders_raw(), "bronze_orders_raw")
 
     def _keep(self, df: DataFrame, name: str, partition_by=None) -> DataFrame:
-        return store.materialize(df, name, partition_by) if self.materialize else df
+        return store.materialize(df, name, partition_by, self._watch(name)) if self.materialize else df
+
+    def _raw(self, df: DataFrame, name: str) -> DataFrame:
+        return self._keep(df, name) if self.observe else df
+
+    def _watch(self, name: str) -> Watch | None:
+        """The row checks and expectations of the table that is written as ``name``."""
+        if not self.observe:
+            return None
+        table, rows = name.replace("_", ".", 1), None
+        if name == "silver_routed_events":      # one write holds both routes
+            table, rows = "silver.order_events", F.col(ROUTE) == ACCEPTED
+        counts = dq.row_counts([c for cs in checks().values() for c in cs if c.table == table], rows)
+        counts |= ex.row_counts(suites().get(table, []), rows)
+        self.watches[table] = Watch(counts)
+        return self.watches[table]
 
     def _stage(self, name: str):
         return (lambda df: self._keep(df, name)) if self.materialize else None
@@ -242,16 +260,16 @@ class Layers:
 
     # bronze: lazy views over the driver tables
     def _bronze_customers_raw(self):
-        return self.dt.customers_bronze()
+        return self._raw(self.dt.customers_bronze(), "bronze_customers_raw")
 
     def _bronze_products_raw(self):
-        return self.dt.products_bronze()
+        return self._raw(self.dt.products_bronze(), "bronze_products_raw")
 
     def _bronze_orders_raw(self):
-        return self.dt.orders_raw()
+        return self._raw(self.dt.orders_raw(), "bronze_orders_raw")
 
     def _bronze_order_events(self):
-        return self.dt.order_events()
+        return self._raw(self.dt.order_events(), "bronze_order_events")
 
     # silver
     def routed(self) -> Routed:
@@ -311,8 +329,8 @@ class Layers:
         return self._keep(daily_sales(self["gold.fact_orders"], self["gold.dim_product"]), "gold_daily_sales")
 
 
-def build_layers(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Layers:
-    return Layers(spark, sf_dir, materialize)
+def build_layers(spark: SparkSession, sf_dir: str, materialize: bool = True, observe: bool = False) -> Layers:
+    return Layers(spark, sf_dir, materialize, observe)
 
 
 # -- quality definitions --------------------------------------------------------------------
@@ -404,6 +422,28 @@ def run_stage_checks(tables, stages=("bronze", "silver", "gold"),
     return out
 
 
+def observed_checks(layers: Layers) -> DataFrame:
+    """Audit rows of the checks on single rows, counted by the writes of ``layers`` (built with ``observe``)."""
+    per_stage = {stage: [c for c in cs if c.kind in dq.ROW_KINDS] for stage, cs in checks().items()}
+    layers.prefetch([c.table for cs in per_stage.values() for c in cs])
+    out = None
+    for stage, cs in per_stage.items():
+        counts = {n: v for t in dict.fromkeys(c.table for c in cs) for n, v in layers.watches[t].get().items()}
+        r = dq.observed_results(layers.spark, counts, cs, stage, run_ts())
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
+def observed_suites(layers: Layers) -> DataFrame:
+    """Audit rows of the expectations on single rows, counted by the writes of ``layers`` (built with ``observe``)."""
+    layers.prefetch(list(suites()))
+    out = None
+    for table, es in suites().items():
+        r = ex.observed_results(layers.spark, layers.watches[table].get(), table, es, run_ts())
+        out = r if out is None else out.unionByName(r)
+    return out
+
+
 def run_suites(tables, kinds: set[str] | None = None) -> DataFrame:
     if isinstance(tables, Layers):
         tables.prefetch([t for t, es in suites().items() if any(kinds is None or e.kind in kinds for e in es)])

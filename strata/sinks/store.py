@@ -8,25 +8,28 @@ cluster's shared folder, never a machine-local temp dir.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from strata.operators.observed import Watch
 from strata.session import scratch_path
 
 _VERSION = "v="
 
 
-def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, name: str, partition_by: list[str] | None = None, watch: Watch | None = None) -> DataFrame:
     """Write ``df`` once as parquet under the shared checkpoint folder and read it back.
 
     Cuts the lineage (later plans start from files, so a lost executor only
     re-reads them) and gives later scans column pruning and filter pushdown,
-    unlike ``DataFrame.checkpoint``'s row format.
+    unlike ``DataFrame.checkpoint``'s row format. ``watch`` counts in the write.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    _writer(df, "error", partition_by).parquet(path)
+    _writer(df, "error", partition_by, watch).parquet(path)
     return read_as(spark, path, df.schema)
 
 
@@ -116,13 +119,15 @@ def _versions(spark: SparkSession, base: str, committed: bool = True) -> list[in
     return sorted(out)
 
 
-def _writer(df: DataFrame, mode: str, partition_by: list[str] | None):
+def _writer(df: DataFrame, mode: str, partition_by: list[str] | None, watch: Watch | None = None):
     if partition_by:
         # AQE rebalance: one shuffle on the partition columns that splits big
         # partitions and merges small ones, so each day gets a few right-sized
         # files instead of one small file per task.
-        return df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by)
-    return df.write.mode(mode)
+        df = df.hint("rebalance", *partition_by)
+    if watch is not None:
+        df = watch(df)
+    return df.write.mode(mode).partitionBy(*partition_by) if partition_by else df.write.mode(mode)
 
 
 def next_version(spark: SparkSession, base: str) -> str:
@@ -131,10 +136,24 @@ def next_version(spark: SparkSession, base: str) -> str:
     return f"{base.rstrip('/')}/{_VERSION}{(vs[-1] + 1) if vs else 0}"
 
 
-def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None, path: str | None = None) -> str:
-    """Create-or-replace: write a new committed version folder (``path``, by default the next one); return its path."""
+def write_version(df: DataFrame, base: str, partition_by: list[str] | None = None, path: str | None = None,
+                  watch: Watch | None = None, judge: Callable[[dict[str, int]], None] | None = None) -> str:
+    """Create-or-replace: write a new committed version folder (``path``, by default the next one); return its path.
+
+    ``watch`` counts in the write. ``judge`` gets the counts before the version is
+    committed and refuses it by raising: the folder then never gets its mark, so
+    readers stay with the version before, and ``expire`` deletes it by age.
+    """
     path = path or next_version(df.sparkSession, base)
-    _writer(df, "error", partition_by).parquet(path)
+    writer = _writer(df, "error", partition_by, watch)
+    if judge is None:
+        writer.parquet(path)
+        return path
+    writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
+    judge(watch.get() if watch is not None else {})
+    jvm = df.sparkSession.sparkContext._jvm
+    mark = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    mark.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).create(mark).close()
     return path
 
 
