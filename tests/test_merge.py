@@ -104,3 +104,32 @@ def test_insert_only_has_no_full_outer_join_and_keeps_clause_rules(spark):
     out = merge(t, s, "k", [], [NotMatched(cond=lambda t, s: s["v"] != "skip")])
     assert "FullOuter" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert sorted(map(tuple, out.collect()), key=repr) == sorted([(1, "a"), (None, "n"), (2, "y"), (None, "m")], key=repr)
+
+
+def test_batch_orders_stay_where_their_join_left_them(spark, tmp_dir):
+    """Dedup by order_id and the meeting with the stream shuffle no order line a second time."""
+    from datetime import datetime
+    from strata.plans import medallion as M
+    from strata.sources.driver_tables import ORDER_KEY, DriverTables
+    day = lambda n: datetime(1997, 1, 1 + n % 28)
+    lines = [(k, k % 11, k % 40, None if k == 5 else n, 5.0, 10.0 * n, "R", "O", day(k + n)) for k in range(-3, 60) for n in (1, 1, 2)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, "
+                                 "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    orders = [(k, k % 7, day(k)) for k in range(-3, 60)] + [(8, 99, day(1))]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz").write.parquet(f"{tmp_dir}/orders.parquet")
+    events = [(str(i), o, 1, 2, 3, 4.0, "paid", day(i), day(i)) for i, o in enumerate(["1-1", "-2-1", "U-1", "x-1", "2-", "3-1-1", "99999999999999999999-1", "1-1"])]
+    accepted = spark.createDataFrame(events, "event_id string, order_id string, customer_id long, product_id long, quantity int, unit_price double, "
+                                             "status string, event_time timestamp_ntz, _ingested_at timestamp_ntz")
+    dt = DriverTables(spark, tmp_dir)
+    kept, shuffled = M.batch_orders(dt.order_lines()), M.batch_orders(dt.orders_raw())
+    assert rows(kept.drop(ORDER_KEY)) == rows(shuffled)
+    silver = M.silver_orders(spark, kept, accepted)
+    assert rows(silver) == rows(M.silver_orders(spark, shuffled, accepted))
+    assert {r.order_id: r.source for r in silver.filter("order_id IN ('1-1', '-2-1', '1-2')").collect()} == {"1-1": "stream", "-2-1": "stream", "1-2": "batch"}
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2     # the two sides of the join, nothing behind it
+    # a check that groups by the number as well counts alike, NULL ids being one group
+    from strata.operators import quality as dq
+    checks = [dq.duplicates("d", "t", "order_id", within=ORDER_KEY)]
+    assert [dq.run_checks({"t": t}, checks, "s").first().violations for t in (dt.order_lines(), dt.orders_raw())] == [
+        dt.orders_raw().count() - dt.orders_raw().select("order_id").distinct().count()] * 2
