@@ -113,3 +113,28 @@ def test_many_versions_of_one_key_are_cut_into_bins(spark, monkeypatch):
         assert sorted(tuple(r) for r in asof_lookup(f, d, "customer_id", "order_ts", "customer_sk").select("order_id", "customer_sk").collect()) == want
     assert asof_lookup(f, d.filter("false"), "customer_id", "order_ts", "customer_sk").count() == 0
     assert asof_lookup(f.filter("false"), d, "customer_id", "order_ts", "customer_sk").count() == 0
+
+
+def test_versions_and_facts_of_one_key_are_spread_over_ranges(spark, monkeypatch):
+    """The windows run over ranges of a key with many versions, and what the ranges hand on gives the result of one window."""
+    import random
+    from datetime import datetime, timedelta
+    from strata.operators import star
+    from strata.operators.keys import RANGE
+    rnd = random.Random(11)
+    base = datetime(2024, 1, 1)
+    dim = [(i, 7, base + timedelta(hours=rnd.randint(0, 900)), base + timedelta(hours=rnd.randint(0, 950))) for i in range(150)]
+    dim += [(150, 7, None, None), (151, 7, base + timedelta(hours=10), base + timedelta(hours=700)), (152, 8, base, None)]
+    facts = [(i, rnd.choice([7, 7, 7, 8]), base + timedelta(hours=rnd.choice([5, 5, 300, rnd.randint(-50, 1000)]))) for i in range(800)]
+    d, f = spark.createDataFrame(dim, DIM), spark.createDataFrame(facts, "id int, customer_id bigint, order_ts timestamp_ntz")
+    one = sorted(map(tuple, star.lookup_intervals(d, "customer_id", "customer_sk").collect()), key=str)
+    want = sorted(map(tuple, asof_lookup(f, d, "customer_id", "order_ts", "customer_sk").select("id", "customer_sk").collect()))
+    assert len(want) == 800
+    monkeypatch.setattr(star, "MANY", 5)
+    spread = star.lookup_intervals(d, "customer_id", "customer_sk")
+    assert f"windowspecdefinition({RANGE}" in spread._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, spread.collect()), key=str) == one
+    monkeypatch.setattr(star, "BIN", 3)
+    got = asof_lookup(f, d, "customer_id", "order_ts", "customer_sk")
+    assert f"windowspecdefinition({RANGE}" in got._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, got.select("id", "customer_sk").collect())) == want
