@@ -1,6 +1,7 @@
 """Fact and mart by changes against full builds, over random second runs."""
 
 import random
+import re
 from datetime import datetime, timedelta
 
 import pytest
@@ -67,3 +68,21 @@ def test_changed_keys_see_nulls_and_repeats(spark):
     a = spark.createDataFrame([(1, None), (2, "x"), (2, "x"), (3, "y"), (None, "z")], S)
     b = spark.createDataFrame([(1, None), (2, "x"), (3, None), (4, "n")], S)
     assert rows(changed_keys(a, b, "k", ["v"])) == [(2,), (3,), (4,)]
+
+
+def test_orders_and_facts_are_shuffled_once(spark):
+    """Few changed customers and products shuffle no orders, replacing facts shuffles the fact and the ids alone, and dates move no facts."""
+    before, after, touched, c1, c2, p1, p2 = _runs(4)
+    o1, o2 = spark.createDataFrame(before, ORDERS), spark.createDataFrame(after, ORDERS)
+    c1, c2 = (spark.createDataFrame(c, CUSTOMERS) for c in (c1, c2))
+    p1, p2 = (spark.createDataFrame(p, PRODUCTS) for p in (p1, p2))
+    fact = materialize(fact_orders(o1, c1, p1), "t_fact")
+    changes = fact_changes(o2, spark.createDataFrame(touched, "order_id string"), c1, c2, p1, p2)
+    now = refresh_fact(fact, changes)
+    exchanges = lambda df: df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+    assert exchanges(now) == 2
+    mart = materialize(daily_sales(fact, p1), "t_mart")
+    again = refresh_daily_sales(mart, fact, p1, mart.select("date_key", "category"))
+    by_date = r"Exchange hashpartitioning\(coalesce\(date_key#\d+, 0\), isnull\(date_key#\d+\), \d+\)"
+    assert not re.search(by_date, again._jdf.queryExecution().executedPlan().toString())
+    assert rows(again) == rows(mart)
