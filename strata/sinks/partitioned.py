@@ -51,7 +51,7 @@ def _fmt(spark, v) -> str:
 def read_partitioned(source: DataFrame, path: str, parts: list[str]) -> DataFrame:
     """The table with the source's types for the partition columns (a folder name such as 01 stays text)."""
     spark = source.sparkSession
-    found = spark.read.parquet(path).schema
+    found = store.table_schema(spark, path)
     schema = StructType([source.schema[f.name] if f.name in parts else f for f in found.fields])
     return spark.read.schema(schema).parquet(path)
 
@@ -79,22 +79,26 @@ def merge_into_partitions(target_path: str, source: DataFrame, on: Sequence[str]
         new = merge(source.filter(F.lit(False)), source, on, [], list(not_matched) or [NotMatched()], check_unique_source=False)
         if index is not None:
             new = store.materialize(new, "first_rows")
-            index.add(new)
+            write = index.add(new)
         store.append(new, target_path, partition_by=parts)
+        if index is not None:
+            index.settle(write)
         return [tuple(r) for r in source.select(*parts).distinct().collect()]
     if inserting:
         # Existing rows never change, so nothing is rewritten: new keys are appended to their partitions.
-        target = read_partitioned(source, target_path, parts)
-        cols = target.columns
+        cols = store.table_schema(spark, target_path).names
         if index is not None:
             new = index.unseen(source.select(*cols), target_path)
         else:
+            target = read_partitioned(source, target_path, parts)
             new = source.select(*cols).join(target.select(*keys), keys, "left_anti")
         new = merge(new.filter(F.lit(False)), new, keys, [], list(not_matched) or [NotMatched()], check_unique_source=False)
         if index is not None:
             new = store.materialize(new, "new_rows")
-            index.add(new)  # before the rows: a key without its row is found out, a row without its key is not
+            write = index.add(new)  # before the rows: a key without its row is found out, a row without its key is not
         store.append(new.select(*cols), target_path, partition_by=parts)
+        if index is not None:
+            index.settle(write)
         return [tuple(r) for r in source.select(*parts).distinct().collect()]
     current, touched = touched_rows(target_path, source, parts)
     cols = current.columns

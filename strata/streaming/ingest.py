@@ -184,12 +184,15 @@ def silver_events_sink(accepted_path: str, rejected_path: str, limit_hours: floa
                 index = KeyIndex.beside(spark, accepted_path, key, ["dt"], key_buckets)
                 new = materialize(index.unseen(routed.accepted.withColumn("dt", F.to_date("event_time")), accepted_path), "new_events")
                 if not new.isEmpty():
-                    index.add(new)
+                    write = index.add(new)
                     if orders_path is not None:
                         buckets = _layout(spark, orders_path, order_buckets, max(1, order_bytes >> 30))
-                        history = spark.read.parquet(accepted_path) if has_data(spark, accepted_path) else None
+                        # the events are listed only for a table of orders that is older than its states
+                        older = not has_data(spark, _state_path(orders_path)) and has_data(spark, accepted_path)
+                        history = spark.read.parquet(accepted_path) if older else None
                         fold_orders(spark, orders_path, new, buckets, history)
                     append(new, accepted_path, partition_by=["dt"])
+                    index.settle(write)
                 if ledger is not None:
                     ledger.finish("accepted", accepted_path)
             if not done("rejected"):

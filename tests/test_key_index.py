@@ -53,6 +53,58 @@ def test_an_index_beside_an_older_table_knows_its_keys(spark, tmp_dir):
     assert index.unseen(spark.createDataFrame([("a", "2", "y"), ("b", "1", "y")], S), path).collect()[0].id == "b"
 
 
+def test_keys_of_ended_writes_are_known_without_the_table(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    index = KeyIndex(spark, path + "_keys", "id", ["d"], 4)
+    put = lambda *r: merge_into_partitions(path, spark.createDataFrame(list(r), S), "id", ["d"], [], [NotMatched()], index=index)
+    put(("a", "1", "x"), ("b", "1", "y"))
+    put(("c", "1", "x"), ("b", "2", "z"))
+    again = spark.createDataFrame([("a", "2", "z"), ("b", "2", "x"), ("c", "2", "y"), ("e", "1", "x"), (None, "n", "x")], S)
+    assert store.names(spark, index.path + "_open") == []
+    for folder, _, files in os.walk(path):  # no file of the table can be read any more
+        for f in files:
+            if f.endswith(".parquet"):
+                with open(os.path.join(folder, f), "wb") as out:
+                    out.write(b"nothing")
+    assert rows(index.unseen(again, path), "id") == [("e",), (None,)]
+
+
+def test_keys_of_broken_off_and_unnamed_writes_are_looked_up(spark, tmp_dir):
+    path = os.path.join(tmp_dir, "t")
+    index = KeyIndex(spark, path + "_keys", "id", ["d"], 4)
+    merge_into_partitions(path, spark.createDataFrame([("a", "1", "x"), ("b", "1", "y")], S), "id", ["d"], [], [NotMatched()], index=index)
+    lost = spark.createDataFrame([("a", "1", "x"), ("c", "1", "y")], S)
+    index.add(lost)  # never settled
+    # entries from before writes had names: of a row and of none
+    store.append(index._entries(spark.createDataFrame([("b", "1", "y"), ("f", "1", "x")], S)), index.path, partition_by=["bucket"])
+    batch = spark.createDataFrame([(k, "2", "z") for k in "abcfg"], S)
+    for _ in range(2):
+        assert rows(index.unseen(batch, path), "id") == [("c",), ("f",), ("g",)]
+        index.compact()
+        assert store.names(spark, index.path + "_open") == []
+    index.settle(index.add(lost))
+    assert rows(index.unseen(batch, path), "id") == [("f",), ("g",)]
+
+
+def test_the_sink_settles_its_writes(spark, tmp_dir, monkeypatch):
+    acc, rej, orders = (os.path.join(tmp_dir, x) for x in ("acc", "rej", "orders"))
+    sink = silver_events_sink(acc, rej, orders_path=orders, order_buckets=4, key_buckets=4)
+    marks = lambda: [len(store.names(spark, f"{x}_keys_open")) for x in (acc, rej)]
+    sink(_events(spark, *BATCHES[0]), 0)
+    assert marks() == [0, 0]
+
+    def dies(*a, **k):
+        raise KeyboardInterrupt
+    monkeypatch.setattr(ingest, "append", dies)
+    with pytest.raises(KeyboardInterrupt):
+        sink(_events(spark, *BATCHES[1]), 1)
+    assert marks() == [1, 0]
+    monkeypatch.undo()
+    sink(_events(spark, *BATCHES[1]), 1)
+    assert marks() == [1, 0]
+    assert rows(spark.read.parquet(acc), "event_id") == [("e1",), ("e2",), ("e3",), ("e4",)]
+
+
 def test_scans_are_pruned_while_they_run(spark, tmp_dir):
     path = os.path.join(tmp_dir, "wide")
     df = spark.range(1200).selectExpr("id", "cast(id / 30 as int) a", "cast(id % 30 as int) b", "'x' v").coalesce(1)
