@@ -18,7 +18,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strata.llm.common import blocks, fresh, stage
@@ -29,39 +29,43 @@ LONE_BYTES = 100
 
 
 def _ranks(spark: SparkSession, pairs: DataFrame) -> DataFrame:
-    """(rid, n, r) of the suffixes whose pair (a, b) occurs more than once; ``r`` keeps the pairs' order."""
+    """(rid, place, n, r) of the suffixes whose pair (a, b) occurs more than once; ``r`` keeps the pairs' order."""
     repeated = pairs.groupBy("a", "b").agg(F.count("*").alias("c")).where("c > 1").select("a", "b")
     # partitions hold ascending ranges, so the id rises with (a, b); fixed by the write
     named = stage(spark, repeated.repartitionByRange("a", "b").sortWithinPartitions("a", "b")
                   .withColumn("r", F.monotonically_increasing_id()), "line-ranks")
-    return stage(spark, pairs.join(named, ["a", "b"]).select("rid", "n", "r"), "line-suffixes")
+    return pairs.join(named, ["a", "b"]).select("rid", "place", "n", "r")
+
+
+def _later(spark: SparkSession, pairs: DataFrame, name: str) -> DataFrame:
+    """(rid, n): rows whose pair (a, b) an earlier place has too."""
+    pairs = pairs.select("rid", "n", "a", "b", F.struct("place", "rid", "n").alias("at"))
+    # staged: beside an aggregate Spark cannot split the commonest pair's rows
+    first = stage(spark, pairs.groupBy("a", "b").agg(F.min("at").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), name)
+    return pairs.join(first, ["a", "b"]).where("at > first").select("rid", "n")
 
 
 def repeated_starts(spark: SparkSession, lines: DataFrame, min_lines: int) -> DataFrame:
     """(rid, n): lines that start a run of ``min_lines`` lines that starts at an earlier place too.
 
     ``lines`` has ``rid``, ``place`` (a document's place in the order), ``n`` (line number) and
-    the line's two hashes ``a`` and ``b``.
+    the line's two hashes ``a`` and ``b``. The last doubling only pairs the ranks: the first
+    place of each pair is all that is asked of it.
     """
-    ranked = _ranks(spark, lines.select("rid", "n", "a", "b"))
+    pairs = lines.select("rid", "place", "n", "a", "b")
     depth = 1
     while depth < min_lines:
         step = min(depth, min_lines - depth)
-        after = ranked.select("rid", (F.col("n") - step).alias("n"), F.col("r").alias("b"))
-        ranked = _ranks(spark, ranked.withColumnRenamed("r", "a").join(after, ["rid", "n"]))
+        after = Window.partitionBy("rid").orderBy("n").rangeBetween(step, step)
+        ranked = _ranks(spark, pairs).select("rid", "place", "n", F.col("r").alias("a"), F.max("r").over(after).alias("b"))
+        pairs = stage(spark, ranked.where("b IS NOT NULL"), "line-pairs")
         depth += step
-    places = lines.select("rid", "place").distinct()
-    at = stage(spark, ranked.join(places, "rid").select("rid", "n", "r", F.struct("place", "rid", "n").alias("at")), "line-places")
-    # staged: beside an aggregate Spark cannot split the commonest rank's rows
-    first = stage(spark, at.groupBy("r").agg(F.min("at").alias("first")), "line-first")
-    return at.join(first, "r").where("at > first").select("rid", "n")
+    return _later(spark, pairs, "line-first")
 
 
 def repeated_alone(spark: SparkSession, lines: DataFrame) -> DataFrame:
     """(rid, n): lines marked ``lone`` that an earlier place has too."""
-    lone = lines.where("lone").select("rid", "n", "a", "b", F.struct("place", "rid", "n").alias("at"))
-    first = stage(spark, lone.groupBy("a", "b").agg(F.min("at").alias("first"), F.count("*").alias("c")).where("c > 1").drop("c"), "line-alone")
-    return lone.join(first, ["a", "b"]).where("at > first").select("rid", "n")
+    return _later(spark, lines.where("lone"), "line-alone")
 
 
 def added(docs: DataFrame) -> list[str]:

@@ -187,6 +187,15 @@ def test_lone_lines(spark, docs, none, words, size):
     assert lines.remove_repeats(spark, none, 2, lone_words=words, lone_bytes=size).count() == 0
 
 
+@pytest.mark.parametrize("m", [2, 3])
+def test_lines_stage_little(spark, docs, monkeypatch, m):
+    """Each staged table costs every executor its files' writers: two to begin, two a doubling, one for the first places."""
+    names, stage = [], lines.stage
+    monkeypatch.setattr(lines, "stage", lambda spark, df, name: (names.append(name), stage(spark, df, name))[1])
+    assert lines.remove_repeats(spark, docs, m).agg({"n_removed_": "sum"}).first()[0] == sum(n for _, _, n, _ in brute_lines(texts(docs), m))
+    assert names == ["line-docs", "lines", *["line-ranks", "line-pairs"] * (m - 1), "line-first"]
+
+
 def brute_fingerprint(t):
     w = re.findall(rb"[^\x20\x09-\x0D]+", (t or "").encode().lower())
     sh = [b" ".join(w[k:k + 3]) for k in range(len(w) - 2)] or ([b" ".join(w)] if w else [])
